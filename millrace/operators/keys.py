@@ -24,17 +24,19 @@ def assign_keys(
     start: Column | int = 0,
     key_type: str = "int",
 ) -> DataFrame:
-    """Number rows ``start + 1 ..`` without gaps, in the order of a digest of their columns.
+    """Number rows ``start + 1 ..`` without gaps, in the order of a digest of ``order_by``.
 
-    Rows are ordered by ``(md5(values), values)``. Leading digest digits split them into even
+    Rows are ordered by ``(md5(values), values)``, remaining columns breaking ties; the default
+    is every column. Values that many different rows share belong in no short ``order_by``, as
+    equal digests share a bucket. Leading digest digits split them into even
     buckets: each bucket is numbered on its own, and the bucket sizes (a table of fixed length)
     give every bucket its offset. Equal rows are counted first, so a row with very many copies is
     one row in its bucket, and its copies are made again in parallel chunks.
     """
     columns = rows.columns
-    order = list(order_by or columns)
-    order += [c for c in columns if c not in order]
-    digest = F.md5(F.concat_ws(_SEPARATOR, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]))
+    hashed = list(order_by or columns)
+    order = hashed + [c for c in columns if c not in hashed]
+    digest = F.md5(F.concat_ws(_SEPARATOR, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in hashed]))
     counted = (
         rows.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_copies"))

@@ -81,7 +81,9 @@ def merge(
     if surrogate:
         extra = source.filter(~has_key) if null_keys == "insert" else None
         added = new.select(*insert) if extra is None else new.select(*insert).unionByName(extra.select(*insert))
-        added = assign_keys(added, surrogate, list(on), max_key(target, surrogate), dict(target.dtypes)[surrogate])
+        # All columns decide the order, so rows with a NULL key do not share one digest.
+        order = [*on, *[c for c in insert if c not in on]]
+        added = assign_keys(added, surrogate, order, max_key(target, surrogate), dict(target.dtypes)[surrogate])
         return old.unionByName(_inserted(target, added))
     merged = old.unionByName(_inserted(target, new.select(*insert)))
     return _with_null_keys(merged, target, source, has_key, insert, null_keys)

@@ -141,9 +141,17 @@ class TableStore:
         """
         return merge_counts(self.written_rows(name, version).select(ACTION))
 
+    def read_or_empty(self, name: str, schema: str) -> DataFrame:
+        """The latest version, or no rows of ``schema`` before the first."""
+        if self.exists(name):
+            return self.read(name)
+        fields = T._parse_datatype_string(schema).fields
+        # LIMIT 0 is known to be empty at planning time: joins with it are planned away.
+        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).limit(0)
+
     def create(self, name: str, schema: str) -> int:
         """An empty table."""
-        return self.write(self.spark.createDataFrame([], schema), name)
+        return self.write(self.read_or_empty(name, schema), name)
 
     # -- append, view, snapshot --------------------------------------------------------------------
 
