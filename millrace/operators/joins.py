@@ -71,7 +71,8 @@ def _split_lookup(left, side, left_key, take, how, max_broadcast_bytes) -> DataF
         .limit(HOT_KEYS)
         .select("_hot")
     )
-    hot_side = F.broadcast(hot_keys).join(side, F.col("_hot") == F.col("_key"), "left")
+    hot_found = side.join(F.broadcast(hot_keys), F.col("_key") == F.col("_hot"), "left_semi")
+    hot_side = hot_keys.join(hot_found, F.col("_hot") == F.col("_key"), "left")
     if not fits_broadcast(hot_side, max(max_broadcast_bytes, BROADCAST_BYTES)):
         # The right side repeats its own keys; leave the split to adaptive skew handling.
         return left.join(side, left[left_key] == side["_key"], how)

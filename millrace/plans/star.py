@@ -39,7 +39,8 @@ SCHEMAS = {
 FACT_COLUMNS = [
     "date_key", "product_key", "branch_key", "staff_key", "sale_ts", "volume_sold", "price", "cost", "revenue"
 ]
-YEAR = "sale_year"
+PERIOD = "sale_period"
+GRAINS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 
 # -- dimensions ----------------------------------------------------------------------------------
@@ -145,37 +146,50 @@ def fact_sales(target: DataFrame, rows: DataFrame, **options) -> DataFrame:
     return merge(target, rows, ["sale_id"], FACT_COLUMNS, null_keys="drop", unique_source=True, **options)
 
 
+def _laid_out(rows: DataFrame, grain: str) -> DataFrame:
+    """Fact rows with their period, spread so that each period becomes few, evenly sized files.
+
+    The spread is left to adaptive execution: it joins small periods and splits one that holds a
+    large share of the rows.
+    """
+    return rows.withColumn(PERIOD, F.date_format("sale_ts", GRAINS[grain])).hint("rebalance", PERIOD)
+
+
 def write_fact(
-    store: TableStore, rows: DataFrame, name: str = "fact_sales", bookmark: int | None = None, **options
+    store: TableStore,
+    rows: DataFrame,
+    name: str = "fact_sales",
+    bookmark: int | None = None,
+    grain: str = "month",
+    **options,
 ) -> int:
-    """Merge rows into the stored fact, which is partitioned by year of sale.
+    """Merge rows into the stored fact, which is partitioned by period of sale.
 
-    The first write is a plain write. A later one rewrites only the years that the rows fall in
-    or that hold an earlier version of one of their sales; other years' files stay in place.
+    The first write is a plain write. A later one rewrites only the periods that the rows fall in
+    or that hold an earlier version of one of their sales; the files of others stay in place.
     """
-    year = F.year("sale_ts").alias(YEAR)
     if not store.exists(name):
-        first = rows.filter(F.col("sale_id").isNotNull()).select("*", F.lit("I").alias(ACTION), year)
-        return store.write(first, name, [YEAR], bookmark)
+        first = rows.filter(F.col("sale_id").isNotNull()).withColumn(ACTION, F.lit("I"))
+        return store.write(_laid_out(first, grain), name, [PERIOD], bookmark)
     # The rows are read several times below: write them once.
     store.write(rows.filter(F.col("sale_id").isNotNull()), f"{name}_delta")
     rows = store.read(f"{name}_delta")
-    target = store.read(name)
-    known = store.manifest(name).partitions
     moved = lookup(
-        target.select("sale_id", YEAR),
+        store.read(name).select("sale_id", PERIOD),
         rows.select("sale_id", F.lit(True).alias("_hit")).distinct(),
         "sale_id", "sale_id", ["_hit"], "inner",
-    ).select(YEAR)
-    # Distinct years of two scans: a handful of values, which name folders in the manifest.
-    touched = sorted(str(r[0]) for r in rows.select(year).union(moved).distinct().toLocalIterator() if r[0] is not None)
-    part = target.filter(F.col(YEAR).isin(*[int(t) for t in touched])) if touched else target.filter(F.lit(False))
-    merged = fact_sales(part.drop(YEAR), rows, **options).select("*", year)
-    return store.write(merged, name, [YEAR], bookmark, [v for v in known if v not in touched])
+    ).select(PERIOD)
+    # Distinct periods of two scans: they name folders in the manifest.
+    periods = rows.select(F.date_format("sale_ts", GRAINS[grain]).alias(PERIOD)).union(moved).distinct()
+    touched = sorted(r[PERIOD] for r in periods.toLocalIterator())
+    part = store.read_partitions(name, touched).drop(PERIOD)
+    merged = fact_sales(part, rows, **options)
+    kept = [v for v in store.manifest(name).partitions if v not in touched]
+    return store.write(_laid_out(merged, grain), name, [PERIOD], bookmark, kept)
 
 
 def read_fact(store: TableStore, name: str = "fact_sales") -> DataFrame:
-    return store.read(name).drop(YEAR)
+    return store.read(name).drop(PERIOD)
 
 
 # -- the run ----------------------------------------------------------------------------------------

@@ -109,7 +109,7 @@ class TableStore:
                 version=version,
                 schema=df.schema.json(),
                 base=base,
-                folders=sorted(partitions.values()) if partitions else [folder],
+                folders=sorted(partitions.values()) if partition_by and partitions else [folder],
                 partition_by=list(partition_by),
                 partitions=partitions,
                 written=mark,
@@ -117,22 +117,30 @@ class TableStore:
             ),
         )
 
-    def _scan(self, manifest: Manifest) -> DataFrame:
+    def _scan(self, manifest: Manifest, folders: Sequence[str]) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(manifest.schema))
+        if not folders:
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).limit(0)
         schema = T.StructType([*schema.fields, T.StructField(_VERSION, T.StringType())])
-        return (
-            self.spark.read.schema(schema).option("basePath", manifest.base).parquet(*manifest.folders)
-        )
+        return self.spark.read.schema(schema).option("basePath", manifest.base).parquet(*folders)
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
         """The table's columns at a version (default: the latest)."""
         manifest = self.manifest(name, version)
-        return self._scan(manifest).drop(_VERSION, ACTION)
+        return self._scan(manifest, manifest.folders).drop(_VERSION, ACTION)
+
+    def read_partitions(self, name: str, values: Iterable[str]) -> DataFrame:
+        """The latest version's rows with these partition values; other folders are not listed."""
+        manifest = self.manifest(name)
+        return self._scan(manifest, [manifest.partitions[v] for v in values if v in manifest.partitions]).drop(
+            _VERSION, ACTION
+        )
 
     def written_rows(self, name: str, version: int | None = None) -> DataFrame:
         """Rows written by the run that made this version, with their merge action."""
         manifest = self.manifest(name, version)
-        return self._scan(manifest).filter(F.col(_VERSION) == manifest.written).drop(_VERSION)
+        new = [f for f in manifest.folders if f"/{_VERSION}={manifest.written}" in f]
+        return self._scan(manifest, new).drop(_VERSION)
 
     def merge_counts(self, name: str, version: int | None = None) -> DataFrame:
         """Inserted, updated and deleted rows of the merge that wrote this version.
