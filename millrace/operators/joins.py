@@ -43,6 +43,7 @@ def lookup(
     take: Sequence[str],
     how: str = "left",
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Add the ``take`` columns of ``right`` to ``left`` where the keys are equal.
 
@@ -50,6 +51,9 @@ def lookup(
     within the limit is broadcast, so ``left`` is not shuffled. Beyond it, rows of the most
     frequent left keys meet their few right rows by a broadcast join and rows with a NULL key skip
     the join; only the evenly spread rest is shuffled. Every row is kept on either way.
+
+    ``bound`` is a DataFrame that ``right`` is a part of and that is cheaper to measure, such as
+    the rows it was deduplicated from; when it fits, ``right`` fits.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -57,7 +61,8 @@ def lookup(
         F.col(right_key).alias("_key"), *[F.col(c) for c in take]
     )
     out = [F.col(f"`{c}`") for c in left.columns] + [F.col(f"`{c}`") for c in take]
-    if fits_broadcast(side, max_broadcast_bytes):
+    small = bound is not None and fits_broadcast(bound, max_broadcast_bytes)
+    if small or fits_broadcast(side, max_broadcast_bytes):
         return left.join(F.broadcast(side), left[left_key] == side["_key"], how).select(*out)
     return _split_lookup(left, side, left_key, take, how, max_broadcast_bytes).select(*out)
 

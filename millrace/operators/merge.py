@@ -30,6 +30,7 @@ def merge(
     null_keys: str = "insert",
     surrogate: str | None = None,
     unique_source: bool = False,
+    small_source: bool | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Upsert ``source`` into ``target``; columns share their names.
@@ -46,6 +47,8 @@ def merge(
         column numbered on from its highest value for inserted rows.
     unique_source
         the source was just deduplicated on the key: one full outer join then does the work.
+    small_source
+        whether the source may be broadcast, when the caller has measured it already.
 
     Two source rows for one target row fail the job. A small source is broadcast, so the target
     is not shuffled. A large one meets the target in a left join that takes at most two copies of
@@ -58,7 +61,7 @@ def merge(
     has_key = reduce(and_, [F.col(k).isNotNull() for k in on])
     keyed = source.filter(has_key)
     ranked = keyed.withColumn("_copy", F.row_number().over(Window.partitionBy(*on).orderBy(*on)))
-    small = fits_broadcast(keyed, max_broadcast_bytes)
+    small = fits_broadcast(keyed, max_broadcast_bytes) if small_source is None else small_source
     one_join = unique_source and not small and surrogate is None
     if not one_join:
         ranked = ranked.filter(F.col("_copy") <= 2)

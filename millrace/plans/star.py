@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import day_name, day_part, is_weekend_iso, month_part, quarter_part, year_part
 from ..operators import assign_keys, date_bounds, date_series, lookup, max_key, merge
-from ..operators.joins import BROADCAST_BYTES
+from ..operators.joins import BROADCAST_BYTES, fits_broadcast
 from ..operators.merge import ACTION
 from ..tables import TableStore, log_step
 from . import clean
@@ -161,7 +161,7 @@ def write_fact(
     name: str = "fact_sales",
     bookmark: int | None = None,
     grain: str = "month",
-    **options,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> int:
     """Merge rows into the stored fact, which is partitioned by period of sale.
 
@@ -174,16 +174,16 @@ def write_fact(
     # The rows are read several times below: write them once.
     store.write(rows.filter(F.col("sale_id").isNotNull()), f"{name}_delta")
     rows = store.read(f"{name}_delta")
-    moved = lookup(
-        store.read(name).select("sale_id", PERIOD),
-        rows.select("sale_id", F.lit(True).alias("_hit")).distinct(),
-        "sale_id", "sale_id", ["_hit"], "inner",
+    small = fits_broadcast(rows, max_broadcast_bytes)
+    ids = rows.select("sale_id")
+    moved = store.read(name).select("sale_id", PERIOD).join(
+        F.broadcast(ids) if small else ids, "sale_id", "left_semi"
     ).select(PERIOD)
     # Distinct periods of two scans: they name folders in the manifest.
     periods = rows.select(F.date_format("sale_ts", GRAINS[grain]).alias(PERIOD)).union(moved).distinct()
     touched = sorted(r[PERIOD] for r in periods.toLocalIterator())
     part = store.read_partitions(name, touched).drop(PERIOD)
-    merged = fact_sales(part, rows, **options)
+    merged = fact_sales(part, rows, small_source=small)
     kept = [v for v in store.manifest(name).partitions if v not in touched]
     return store.write(_laid_out(merged, grain), name, [PERIOD], bookmark, kept)
 
