@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day_name, day_part, is_weekend_iso, month_part, quarter_part, year_part
@@ -40,6 +40,7 @@ FACT_COLUMNS = [
     "date_key", "product_key", "branch_key", "staff_key", "sale_ts", "volume_sold", "price", "cost", "revenue"
 ]
 PERIOD = "sale_period"
+NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
 GRAINS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 
@@ -60,10 +61,17 @@ def calendar(days: DataFrame) -> DataFrame:
 
 
 def dim_date(sales: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Keyed calendar over the days of the sales; days already there keep their row and key."""
-    days = calendar(date_series(date_bounds(sales, "sale_ts")))
+    """Keyed calendar over the days of the sales; days already there keep their row and key.
+
+    An extended calendar has no gap: it runs from the earlier first day to the later last one.
+    """
+    bounds = date_bounds(sales, "sale_ts")
     if existing is None:
-        return _with_action(assign_keys(days, "date_key", ["date"]), "I")
+        return _with_action(assign_keys(calendar(date_series(bounds)), "date_key", ["date"]), "I")
+    bounds = bounds.unionByName(date_bounds(existing, "date")).agg(
+        F.min("min_d").alias("min_d"), F.max("max_d").alias("max_d")
+    )
+    days = calendar(date_series(bounds))
     # A calendar has at most 100,000 rows.
     fresh = days.join(F.broadcast(existing.select("date")), "date", "left_anti")
     added = assign_keys(fresh, "date_key", ["date"], max_key(existing, "date_key"))
@@ -152,7 +160,11 @@ def _laid_out(rows: DataFrame, grain: str) -> DataFrame:
     The spread is left to adaptive execution: it joins small periods and splits one that holds a
     large share of the rows.
     """
-    return rows.withColumn(PERIOD, F.date_format("sale_ts", GRAINS[grain])).hint("rebalance", PERIOD)
+    return rows.withColumn(PERIOD, _period(grain)).hint("rebalance", PERIOD)
+
+
+def _period(grain: str) -> Column:
+    return F.coalesce(F.date_format("sale_ts", GRAINS[grain]), F.lit(NO_PERIOD))
 
 
 def write_fact(
@@ -178,9 +190,9 @@ def write_fact(
     ids = rows.select("sale_id")
     moved = store.read(name).select("sale_id", PERIOD).join(
         F.broadcast(ids) if small else ids, "sale_id", "left_semi"
-    ).select(PERIOD)
+    ).select(F.coalesce(PERIOD, F.lit(NO_PERIOD)))
     # Distinct periods of two scans: they name folders in the manifest.
-    periods = rows.select(F.date_format("sale_ts", GRAINS[grain]).alias(PERIOD)).union(moved).distinct()
+    periods = rows.select(_period(grain).alias(PERIOD)).union(moved).distinct()
     touched = sorted(r[PERIOD] for r in periods.toLocalIterator())
     part = store.read_partitions(name, touched).drop(PERIOD)
     merged = fact_sales(part, rows, small_source=small)

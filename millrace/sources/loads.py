@@ -8,6 +8,7 @@ used again. Changes since a load are a partition filter on ``load_id``.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable
 from functools import reduce
@@ -135,7 +136,8 @@ class LandingZone:
                 return n
         return 0
 
-    def _all_rows(self, spec: LoadSpec) -> DataFrame:
+    def _rows(self, spec: LoadSpec, after: int = 0) -> DataFrame:
+        """Rows of committed loads after a number; only their folders are listed."""
         last = self.last_load(spec.table)
         fields = [T.StructField(f.name, T._parse_datatype_string(_type_of(f.type))) for f in spec.fields]
         if spec.identity:
@@ -144,10 +146,13 @@ class LandingZone:
         fields += [T.StructField("loaded_at", T.TimestampType())]
         fields += [T.StructField("load_id", T.LongType()), T.StructField(STATUS, T.StringType())]
         schema = T.StructType(fields)
-        if last == 0:
+        if last <= after:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(self._rows_path(spec.table))
-        return rows.filter(F.col("load_id") <= last)
+        root = self._rows_path(spec.table)
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        if after == 0:
+            return reader.parquet(root).filter(F.col("load_id") <= last)
+        return reader.parquet(*[f"{root}/load_id={n}" for n in range(after + 1, last + 1)])
 
     # -- reading -----------------------------------------------------------------------------------
 
@@ -158,12 +163,12 @@ class LandingZone:
     def changes_since(self, spec: LoadSpec, bookmark: int) -> DataFrame:
         """Rows of loads after ``bookmark``, with ``load_id``; older folders are not read."""
         columns = ([spec.identity] if spec.identity else []) + spec.columns
-        rows = self._all_rows(spec).filter((F.col("load_id") > bookmark) & (F.col(STATUS) == LOADED))
+        rows = self._rows(spec, bookmark).filter(F.col(STATUS) == LOADED)
         return rows.select(*columns, "load_id")
 
     def rejected_rows(self, spec: LoadSpec, since: Column | None = None) -> DataFrame:
         """Rejected records with reason and file, optionally those loaded after a moment."""
-        rows = self._all_rows(spec).filter(F.col(STATUS) == REJECTED)
+        rows = self._rows(spec).filter(F.col(STATUS) == REJECTED)
         rows = rows if since is None else rows.filter(F.col("loaded_at") >= since)
         return rows.select(RAW, ERROR, FILE, "load_id", "loaded_at")
 
@@ -214,11 +219,13 @@ class LandingZone:
     def write_load(self, spec: LoadSpec, records: DataFrame, batch: str | None = None) -> int | None:
         """Write one batch of text records as the next load.
 
-        A ``batch`` label already in the history is not loaded again.
+        A ``batch`` label that a committed load carries is not loaded again.
         """
-        if batch is not None and not self.load_history(spec).filter(F.col("batch") == batch).isEmpty():
+        if batch is not None and self._is_loaded(spec, batch):
             return None
         load_id = self.last_load(spec.table) + 1
+        if batch is not None:
+            self._fs.create_text(self._batch_path(spec, batch), str(load_id), overwrite=True)
         marked = apply_error_rule(parse(records, spec), spec)
         if spec.identity:
             marked = self._with_identity(spec, marked)
@@ -227,6 +234,19 @@ class LandingZone:
         self._write_history(spec, load_id, folder, batch)
         return load_id
 
+    def _batch_path(self, spec: LoadSpec, batch: str) -> str:
+        return f"{self.root}/{spec.table}/batches/{hashlib.md5(batch.encode()).hexdigest()}"
+
+    def _is_loaded(self, spec: LoadSpec, batch: str) -> bool:
+        """Whether the load last begun for a batch label was committed under that label."""
+        path = self._batch_path(spec, batch)
+        if not self._fs.exists(path):
+            return False
+        folder = f"{self._history_path(spec.table)}/load_id={self._fs.read_text(path)}"
+        if not self._fs.exists(f"{folder}/_SUCCESS"):
+            return False
+        return not self.spark.read.schema(_HISTORY).parquet(folder).filter(F.col("batch") == batch).isEmpty()
+
     def _with_identity(self, spec: LoadSpec, marked: DataFrame) -> DataFrame:
         good = assign_keys(
             marked.filter(F.col(STATUS) == LOADED),

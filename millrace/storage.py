@@ -33,9 +33,9 @@ class FileSystem:
         finally:
             stream.close()
 
-    def create_text(self, path: str, text: str) -> None:
+    def create_text(self, path: str, text: str, overwrite: bool = False) -> None:
         """Write a new file; fails when it exists, which is what makes it a commit point."""
-        stream = self._fs.create(self._path(path), False)
+        stream = self._fs.create(self._path(path), overwrite)
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
