@@ -68,7 +68,8 @@ def lookup(
 
 
 def _split_lookup(left, side, left_key, take, how, max_broadcast_bytes) -> DataFrame:
-    hot_keys = (
+    # The most frequent keys, at most HOT_KEYS values: one counting pass, which combines per task.
+    frequent = (
         left.filter(F.col(left_key).isNotNull())
         .groupBy(F.col(left_key).alias("_hot"))
         .count()
@@ -76,6 +77,7 @@ def _split_lookup(left, side, left_key, take, how, max_broadcast_bytes) -> DataF
         .limit(HOT_KEYS)
         .select("_hot")
     )
+    hot_keys = left.sparkSession.createDataFrame(frequent.collect(), frequent.schema)
     hot_found = side.join(F.broadcast(hot_keys), F.col("_key") == F.col("_hot"), "left_semi")
     hot_side = hot_keys.join(hot_found, F.col("_hot") == F.col("_key"), "left")
     if not fits_broadcast(hot_side, max(max_broadcast_bytes, BROADCAST_BYTES)):

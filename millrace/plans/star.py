@@ -72,7 +72,7 @@ def dim_date(sales: DataFrame, existing: DataFrame | None = None) -> DataFrame:
         F.min("min_d").alias("min_d"), F.max("max_d").alias("max_d")
     )
     days = calendar(date_series(bounds))
-    # A calendar has at most 100,000 rows.
+    # One row per day: fewer than four million days exist, so a calendar is safe to broadcast.
     fresh = days.join(F.broadcast(existing.select("date")), "date", "left_anti")
     added = assign_keys(fresh, "date_key", ["date"], max_key(existing, "date_key"))
     return _with_action(existing, "K").unionByName(_with_action(added, "I"))
@@ -111,7 +111,7 @@ def dim_staff(target: DataFrame, staff: DataFrame, **options) -> DataFrame:
 def join_date(sales: DataFrame, dates: DataFrame) -> DataFrame:
     """Sales on a day of the calendar, with its key; sales without a timestamp drop out."""
     days = dates.select("date_key", F.col("date").alias("_date"))
-    # A calendar has at most 100,000 rows.
+    # One row per day: fewer than four million days exist, so a calendar is safe to broadcast.
     return sales.join(F.broadcast(days), sales["sale_ts"].cast("date") == days["_date"], "inner").drop("_date")
 
 
