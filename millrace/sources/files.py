@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 NULL_TOKENS = (r"\N", "NULL", "")
 
 FILE = "_file"
+MALFORMED = "_malformed"
 
 
 def _text_schema(names: Sequence[str]) -> T.StructType:
@@ -37,10 +38,21 @@ def _json_options(multi_line: bool) -> dict[str, str]:
         "mode": "PERMISSIVE",
         "multiLine": str(multi_line).lower(),
         "primitivesAsString": "true",
+        "columnNameOfCorruptRecord": MALFORMED,
         "recursiveFileLookup": "true",
     }
 
 
+def _json_columns(raw: DataFrame, fields: Sequence[str], pattern: str | None, malformed: bool) -> DataFrame:
+    # Spark refuses a JSON scan of nothing but the malformed text, which a plan that needs no
+    # field would ask for; the empty prefix of a field keeps one in the scan.
+    text = F.nullif(F.greatest(F.col(MALFORMED), F.left(F.col(fields[0]), F.lit(0))), F.lit(""))
+    df = _with_file(raw, pattern)
+    if malformed:
+        return df.select(*fields, text.alias(MALFORMED), FILE)
+    return df.filter(text.isNull()).select(*fields, FILE)
+
+
 def _with_file(df: DataFrame, pattern: str | None) -> DataFrame:
     df = df.select("*", F.col("_metadata.file_path").alias(FILE))
     # The pattern has to match the whole path.
@@ -79,14 +91,17 @@ def read_json(
     fields: Sequence[str],
     pattern: str | None = None,
     multi_line: bool = True,
+    malformed: bool = False,
 ) -> DataFrame:
     """Text columns from JSON records, one row per element of a file's outer array.
 
-    Fields a record lacks are NULL, further ones are ignored. ``multi_line=False`` reads files
-    with a record (or an array) per line; only those split into several tasks.
+    Fields a record lacks are NULL, further ones are ignored. Text that is no JSON is left out;
+    with ``malformed`` it comes as a row of its own in the ``_malformed`` column.
+    ``multi_line=False`` reads files with a record (or an array) per line; only those split into
+    several tasks.
     """
-    raw = spark.read.schema(_text_schema(fields)).options(**_json_options(multi_line)).json(path)
-    return _with_file(raw, pattern).select(*fields, FILE)
+    raw = spark.read.schema(_text_schema([*fields, MALFORMED])).options(**_json_options(multi_line)).json(path)
+    return _json_columns(raw, fields, pattern, malformed)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -103,10 +118,10 @@ def stream_csv(spark: SparkSession, path: str, columns: Sequence[str], null_toke
 
 
 def stream_json(spark: SparkSession, path: str, fields: Sequence[str], pattern=None, multi_line: bool = True, **options) -> DataFrame:
-    """:func:`read_json` over files as they arrive."""
+    """:func:`read_json` over files as they arrive, with the ``_malformed`` column."""
     settings = {**_json_options(multi_line), **options}
-    raw = spark.readStream.schema(_text_schema(fields)).options(**settings).json(path)
-    return _with_file(raw, pattern).select(*fields, FILE)
+    raw = spark.readStream.schema(_text_schema([*fields, MALFORMED])).options(**settings).json(path)
+    return _json_columns(raw, fields, pattern, True)
 
 
 def list_stage(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..operators.joins import lookup
 from ..operators.keys import assign_keys, max_key
 from ..storage import FileSystem
-from .files import FILE, list_stage, read_csv, read_json
+from .files import FILE, MALFORMED, list_stage, read_csv, read_json
 from .specs import Field, LoadSpec
 
 STATUS, ERROR, RAW = "status", "_error", "_raw"
@@ -71,18 +71,22 @@ def _reason(field: Field, typed: Column) -> Column | None:
 def parse(records: DataFrame, spec: LoadSpec) -> DataFrame:
     """Cast text records and mark each one: typed columns, ``status``, ``_error``, ``_raw``, ``_file``.
 
-    A rejected record keeps its text as JSON in ``_raw``; its typed columns are NULL.
+    A rejected record keeps its text as JSON in ``_raw``; its typed columns are NULL. Text that
+    could not be read as a record is rejected as it is.
     """
     checked = {f.name: _reason(f, _typed(f)) for f in spec.fields}
     reasons = [r for r in checked.values() if r is not None]
+    text = F.to_json(F.struct(*dict.fromkeys(f.record_field for f in spec.fields)))
+    if MALFORMED in records.columns:
+        reasons.insert(0, F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed record")))
+        text = F.coalesce(F.col(MALFORMED), text)
     error = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
-    source = list(dict.fromkeys(f.record_field for f in spec.fields))
     bad = F.col(ERROR).isNotNull()
     return records.withColumn(ERROR, error).select(
         *[F.when(~bad, _typed(f)).cast(_type_of(f.type)).alias(f.name) for f in spec.fields],
         F.when(bad, F.lit(REJECTED)).otherwise(F.lit(LOADED)).alias(STATUS),
         F.col(ERROR),
-        F.when(bad, F.to_json(F.struct(*source))).alias(RAW),
+        F.when(bad, text).alias(RAW),
         F.col(FILE),
     )
 
@@ -209,7 +213,7 @@ class LandingZone:
             return lambda spark, path: read_csv(spark, path, fields, multi_line=bool(spec.multi_line))
         if spec.format == "json":
             multi_line = spec.multi_line if spec.multi_line is not None else True
-            return lambda spark, path: read_json(spark, path, fields, multi_line=multi_line)
+            return lambda spark, path: read_json(spark, path, fields, multi_line=multi_line, malformed=True)
         if spec.format == "parquet":
             return lambda spark, path: spark.read.parquet(*([path] if isinstance(path, str) else path)).select(
                 *[F.col(c).cast("string") for c in fields], F.col("_metadata.file_path").alias(FILE)

@@ -156,6 +156,21 @@ def test_identity_and_constraints(spark, stage, folder):
     assert rows(zone.rejected_rows(spec).select("_error")) == [("city_name: longer than 50",), ("city_name: missing",)]
 
 
+@pytest.mark.parametrize("rule", ["continue", "skip_file"])
+def test_text_that_is_no_json_is_rejected(spark, stage, folder, rule):
+    lines = ['{"staff_id": "S1", "employee_id": "E1"}', '{"staff_id": "S2", ', '[{"staff_id": "S3"}, {"staff_id": "S4"}]', ""]
+    write(stage / "s" / "a.json", "\n".join(lines))
+    zone, spec = LandingZone(spark, f"{folder}/a"), SPECS["staff"].with_options(multi_line=False, on_error=rule)
+    zone.load(spec, str(stage / "s"))
+    want = [("S1", "E1"), ("S3", None), ("S4", None)]
+    assert rows(zone.table(spec)) == (want if rule == "continue" else [])
+    assert rows(zone.rejected_rows(spec).select("_error", "_raw")) == [("malformed record", lines[1])]
+    assert read_json(spark, str(stage / "s"), spec.columns, multi_line=False).count() == 3
+    streamed = LandingZone(spark, f"{folder}/b")
+    run(streamed, spec, str(stage / "s"), f"{folder}/c")
+    assert rows(streamed.table(spec)) == rows(zone.table(spec))
+
+
 def test_parquet_source(spark, stage, folder):
     path = str(stage / "pq")
     spark.createDataFrame([(1, "a"), (2, "b")], "staff_id int, employee_id string").write.parquet(path)
