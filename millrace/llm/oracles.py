@@ -39,10 +39,10 @@ placed AS (SELECT doc_id, source, tokens, (sum(tokens) OVER (PARTITION BY source
 copies AS (
   SELECT doc_id, source, tokens, unnest(range(0, (quota - 1) // total + 1)) AS copy, total, start, quota, part
   FROM placed JOIN plan USING (source)),
-shown AS (SELECT *, copy * total + start AS at FROM copies WHERE copy * total + start < quota)
-SELECT block, row_number() OVER (PARTITION BY block ORDER BY md5(concat_ws('|', 'mix', block::VARCHAR, copy::VARCHAR, coalesce(doc_id::VARCHAR, ''))), doc_id, source, at)::INTEGER AS place,
+shown AS (SELECT *, copy * total + start AS pos FROM copies WHERE copy * total + start < quota)
+SELECT block, row_number() OVER (PARTITION BY block ORDER BY md5(concat_ws('|', 'mix', block::VARCHAR, copy::VARCHAR, coalesce(doc_id::VARCHAR, ''))), doc_id, source, pos)::INTEGER AS place,
        copy::INTEGER AS copy, doc_id, nullif(source, chr(1) || 'none') AS source, tokens::BIGINT AS tokens
-FROM (SELECT *, at // part AS block FROM shown)
+FROM (SELECT *, pos // part AS block FROM shown)
 """
 
 OP6 = rf"""
@@ -53,7 +53,7 @@ covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM grams, range(0, 3) AS
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM parts),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id),
 metrics AS (
-  SELECT p.doc_id, p.source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT p.doc_id, p.source, len(w)::BIGINT AS n_words, coalesce(length(array_to_string(w, '')), 0)::BIGINT AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(d.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
   FROM parts p LEFT JOIN covered c USING (doc_id) LEFT JOIN dups d USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM metrics),
