@@ -78,4 +78,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES = {"op1_mix_sources": OP1, "op6_quality_rules": OP6, "op7_line_dedup": OP7}
+
+OP4 = rf"""
+WITH parts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM parts WHERE len(w) >= 20),
+seen AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5(array_to_string(w[i:i + 19], ' ')) ORDER BY doc_id, i) AS n FROM windows),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM seen, range(0, 20) AS r(k) WHERE n > 1),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM parts),
+left_over AS (
+  SELECT doc_id, count(*) FILTER (WHERE g.i IS NOT NULL) AS n_removed, string_agg(x, ' ' ORDER BY word.i) FILTER (WHERE g.i IS NULL) AS kept
+  FROM word LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM parts LEFT JOIN left_over USING (doc_id)
+"""
+
+OP5 = """
+WITH payloads AS (
+  SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+last AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS last FROM payloads)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last <> page_id THEN last END AS refers_to, url
+FROM last
+"""
+
+ORACLES = {"op1_mix_sources": OP1, "op4_substring_dedup": OP4, "op5_warc_index": OP5, "op6_quality_rules": OP6, "op7_line_dedup": OP7}

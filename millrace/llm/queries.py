@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dedup, packing, quality, token_files
+from . import line_dedup, mixing, near_dedup, packing, quality, substring_dedup, token_files, url_filter, warc
 from .common import tables, text_or_empty
 from .oracles import ORACLES
 
@@ -38,6 +38,17 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(tables(spark, sf_dir, "documents"), path, end_id=0)
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(tables(spark, sf_dir, "documents"), substring_dedup.Repeats(length=20))
+    return left.select("doc_id", F.col("__words").alias("n_words"), F.col("__removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(tables(spark, sf_dir, "pages"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(tables(spark, sf_dir, "documents"))
@@ -52,6 +63,22 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules of the URL query, as verdict, host and path.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(tables(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("distrust", 6).alias("distrust"))
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
