@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import importlib
-import re
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +56,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def key_text(word: str) -> str:
-    """Lower-case A-Z only."""
-    return re.sub("[A-Z]+", lambda m: m[0].lower(), word)
+def text_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` set to the length of the text, where the table has that column."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.length("text").cast(kind))

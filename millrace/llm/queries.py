@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dedup, packing, quality, substring_dedup, token_files, url_filter, warc
+from . import ann, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, token_files, url_filter, warc
 from .common import tables, text_or_empty
 from .oracles import ORACLES
 
@@ -79,6 +79,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("distrust", 6).alias("distrust"))
 
 
+@query
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(tables(spark, sf_dir, "embeddings"), ann.Search(k=20, every=20))
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")

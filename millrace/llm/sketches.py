@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions, text_or_empty
 
 _M = np.uint64(0x9E3779B97F4A7C15)
+_M_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 class WordHashes(dict):
@@ -38,15 +39,28 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of each run of ``n`` words; none when there are fewer words."""
-    if len(words) < n:
+def window_hashes(words: np.ndarray, n: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each run of ``n`` words, or of those that start at ``at``; none in a shorter text.
+
+    A polynomial of the words' hashes over 64-bit numbers, from sums of prefixes: the cost of a
+    window does not depend on its length.
+    """
+    k = len(words)
+    if k < n:
         return np.empty(0, np.uint64)
-    out = np.zeros(len(words) - n + 1, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(n):
-            out = mix(out * _M + words[k : len(words) - n + 1 + k])
-    return out
+        sums = np.zeros(k + 1, np.uint64)
+        np.cumsum(words * _powers(_M, k), out=sums[1:])
+        back = _powers(_M_INVERSE, k - n + 1)
+        if at is None:
+            return mix((sums[n:] - sums[: k - n + 1]) * back)
+        return mix((sums[at + n] - sums[at]) * back[at])
+
+
+def _powers(base: np.uint64, k: int) -> np.ndarray:
+    out = np.full(k, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
 
 def shingles(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

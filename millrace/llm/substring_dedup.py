@@ -28,28 +28,33 @@ class Repeats:
     """``gram`` words make an anchor; ``length - gram + 1`` neighbouring grams choose one."""
 
     length: int = 20
-    gram: int = 6
+    gram: int = 10
 
     @property
     def run(self) -> int:
         return self.length - self.gram + 1
 
 
+def _sliding(best, x: np.ndarray, run: int) -> np.ndarray:
+    """Minimum or maximum of each ``run`` neighbours, in steps that double the reach."""
+    reach = 1
+    while reach < run:
+        step = min(reach, run - reach)
+        x = best(x[: len(x) - step], x[step:])
+        reach += step
+    return x
+
+
 def winnow(hashes: np.ndarray, run: int) -> np.ndarray:
-    """Places of the smallest hash (the rightmost, if several) of each run of ``run`` hashes."""
+    """Places of the smallest hash of each run of ``run`` hashes; of equal ones, all.
+
+    A hash is the smallest of some run that holds it if it equals the largest of their minima.
+    """
     if len(hashes) < run:
         return np.empty(0, np.int64)
-    runs = np.lib.stride_tricks.sliding_window_view(hashes[::-1], run)
-    at = len(hashes) - 1 - (np.argmin(runs, axis=1) + np.arange(len(runs)))
-    return np.unique(at)
-
-
-def _winnow_blocks(hashes: np.ndarray, run: int, block: int = 100_000) -> np.ndarray:
-    """``winnow`` in pieces that overlap, so that a very long text takes no more memory."""
-    if len(hashes) <= block:
-        return winnow(hashes, run)
-    parts = [lo + winnow(hashes[lo : lo + block + run - 1], run) for lo in range(0, len(hashes), block)]
-    return np.unique(np.concatenate(parts))
+    least = np.zeros(len(hashes) + run - 1, np.uint64)
+    least[run - 1 : len(hashes)] = _sliding(np.minimum, hashes, run)
+    return np.flatnonzero(_sliding(np.maximum, least, run) == hashes)
 
 
 def _second(hashes: np.ndarray) -> np.ndarray:
@@ -57,12 +62,8 @@ def _second(hashes: np.ndarray) -> np.ndarray:
     return mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("h"), text_or_empty().alias("text"))
-
-
 def _anchors(rows: DataFrame, config: Repeats) -> DataFrame:
-    """Anchors of each document, once per hash: (anchor, doc_id, h, times)."""
+    """Anchors of each document, once per hash, and whether it has them twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -75,7 +76,7 @@ def _anchors(rows: DataFrame, config: Repeats) -> DataFrame:
                     own = np.empty(0, np.uint64)
                     if len(words) >= config.length:
                         grams = window_hashes(known.of(words), config.gram)
-                        own = grams[_winnow_blocks(grams, config.run)]
+                        own = grams[winnow(grams, config.run)]
                     distinct, n = np.unique(own, return_counts=True)
                     found.append(distinct.view(np.int64))
                     times.append(n)
@@ -112,14 +113,13 @@ def _extended(rows: DataFrame, config: Repeats) -> DataFrame:
                     grams = window_hashes(words, config.gram)
                     at = np.flatnonzero(np.isin(grams, seeds.values.to_numpy(zero_copy_only=False).view(np.uint64)))
                     # Extend each seed left and right: all windows of the length that hold it.
-                    reach = np.zeros(len(words) + 2, np.int64)
-                    np.add.at(reach, np.maximum(at - (config.length - config.gram), 0), 1)
-                    np.add.at(reach, at + 1, -1)
+                    size, before = len(words) + 2, np.maximum(at - (config.length - config.gram), 0)
+                    reach = np.bincount(before, minlength=size) - np.bincount(at + 1, minlength=size)
                     at = np.flatnonzero(np.cumsum(reach)[: max(0, len(words) - config.length + 1)] > 0)
                     docs.append(np.full(len(at), doc, np.int64))
                     starts.append(at)
-                    hashes.append(window_hashes(words, config.length)[at])
-                    seconds.append(window_hashes(_second(words), config.length)[at])
+                    hashes.append(window_hashes(words, config.length, at))
+                    seconds.append(window_hashes(_second(words), config.length, at))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(hashes).view(np.int64), pa.int64()),
@@ -139,10 +139,11 @@ def repeats(rows: DataFrame, config: Repeats) -> DataFrame:
     A span is a run of words each of which lies in a window that also starts earlier: in a
     document with a smaller ``doc``, or further to the front in the same one.
     """
-    seeds = shared_table(_seeds(_anchors(rows, config)), "seeds")
-    seeds = seeds.withColumnRenamed("doc", "__doc")
-    windows = shared_table(_extended(lookup(rows, seeds, "doc", "__doc", ["seeds"], how="inner"), config), "windows")
+    seeds = shared_table(_seeds(_anchors(rows, config)), "seeds").withColumnRenamed("doc", "__doc")
+    # Not written: the windows are far more than the repeats among them, and cheap to make again.
+    windows = _extended(lookup(rows, seeds, "doc", "__doc", ["seeds"], how="inner"), config)
     first = windows.groupBy("a", "b").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    first = shared_table(first, "first-windows")
     later = windows.join(first, ["a", "b"]).filter((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
 
     def join_up(starts):
@@ -179,27 +180,39 @@ def remove_repeats(docs: DataFrame, config: Repeats | None = None) -> DataFrame:
     """
     config = config or Repeats()
     columns, rows = docs.columns, numbered(docs)
-    found = shared_table(repeats(rows.select(F.col("__doc").alias("doc"), text_or_empty().alias("text")), config), "repeats")
+    texts = rows.select(F.col("__doc").alias("doc"), text_or_empty().alias("text"))
+    # A copy of a whole text has no first occurrence of its own, so only the first text is searched.
+    digests = texts.select("doc", F.md5("text").alias("digest"))
+    firsts = digests.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    copies = digests.join(firsts, "digest").filter("doc != first").select(F.col("doc").alias("__copy"), F.lit(True).alias("copy"))
+    copies = shared_table(copies, "copies")
+    searched = lookup(texts, copies, "doc", "__copy", ["copy"]).filter("copy is null").select("doc", "text")
+    found = repeats(searched, config).withColumn("copy", F.lit(False))
+    whole = copies.select(F.col("__copy").alias("doc"), F.lit(None).cast("array<struct<begin:int,end:int>>").alias("spans"), "copy")
+    found = shared_table(found.unionByName(whole), "repeats")
     release(docs.sparkSession)
-    joined = lookup(rows, found, "__doc", "doc", ["spans"])
+    joined = lookup(rows, found, "__doc", "doc", ["spans", "copy"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, total, removed = [], [], []
-            for text, spans in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["spans"].to_pylist(), strict=True):
+            texts, total, removed, gone = [], [], [], []
+            for text, spans, copy in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["spans"].to_pylist(), batch["copy"].to_pylist(), strict=True):
                 words = (text or b"").split()
                 total.append(len(words))
+                if copy and len(words) >= config.length:
+                    spans = [{"begin": 0, "end": len(words)}]
+                gone.append(spans)
                 for span in reversed(spans or []):
                     del words[span["begin"] : span["end"]]
                 removed.append(total[-1] - len(words))
                 texts.append(b" ".join(words))
             new = {
                 "text": pa.array(texts, pa.binary()).cast(batch.schema.field("text").type), "__words": pa.array(total, pa.int64()),
-                "__removed": pa.array(removed, pa.int64()), "__spans": batch["spans"],
+                "__removed": pa.array(removed, pa.int64()), "__spans": pa.array(gone, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
             }
             names = [*columns, "__words", "__removed", "__spans"]
             yield pa.RecordBatch.from_arrays([new[c] if c in new else batch[c] for c in names], names)
 
-    out = joined.select(*[F.col(f"`{c}`") for c in columns], "spans")
+    out = joined.select(*[F.col(f"`{c}`") for c in columns], "spans", "copy")
     return out.mapInArrow(cut, f"{schema}, __words long, __removed long, __spans array<struct<begin:int,end:int>>")
