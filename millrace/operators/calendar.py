@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DAYS = 100_000  # fixed value: longest calendar
-
 
 def date_bounds(df: DataFrame, moment: str) -> DataFrame:
     """One row with the first and last day of a timestamp column."""
@@ -14,7 +12,10 @@ def date_bounds(df: DataFrame, moment: str) -> DataFrame:
 
 
 def date_series(bounds: DataFrame, name: str = "date") -> DataFrame:
-    """One row per day of a one-row bounds table; no rows when it holds NULLs."""
+    """One row per day of each row of bounds, with its other columns; none for NULL bounds.
+
+    A series is as long as its bounds say: the date type has fewer than four million days.
+    """
     first, last = F.col("min_d"), F.col("max_d")
-    capped = F.least(last, F.date_add(first, MAX_DAYS - 1))
-    return bounds.filter(first <= last).select(F.explode(F.sequence(first, capped)).alias(name))
+    others = [F.col(f"`{c}`") for c in bounds.columns if c not in ("min_d", "max_d")]
+    return bounds.filter(first <= last).select(*others, F.explode(F.sequence(first, last)).alias(name))

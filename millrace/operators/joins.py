@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 1024
+SALTS = 64
 _ROW_OVERHEAD = 16
 
 
@@ -48,9 +49,10 @@ def lookup(
     """Add the ``take`` columns of ``right`` to ``left`` where the keys are equal.
 
     ``how`` is ``left`` (no match gives NULLs) or ``inner``. A right side whose measured size is
-    within the limit is broadcast, so ``left`` is not shuffled. Beyond it, rows of the most
-    frequent left keys meet their few right rows by a broadcast join and rows with a NULL key skip
-    the join; only the evenly spread rest is shuffled. Every row is kept on either way.
+    within the limit is broadcast, so ``left`` is not shuffled. Beyond it, one join on the key and
+    a salt: left rows of the most frequent keys and of the NULL key are spread by their salt, and
+    the right rows of those keys are repeated for each salt. Every row is kept on either way, and
+    ``left`` stands in the plan once.
 
     ``bound`` is a DataFrame that ``right`` is a part of and that is cheaper to measure, such as
     the rows it was deduplicated from; when it fits, ``right`` fits.
@@ -64,10 +66,10 @@ def lookup(
     small = bound is not None and fits_broadcast(bound, max_broadcast_bytes)
     if small or fits_broadcast(side, max_broadcast_bytes):
         return left.join(F.broadcast(side), left[left_key] == side["_key"], how).select(*out)
-    return _split_lookup(left, side, left_key, take, how, max_broadcast_bytes).select(*out)
+    return _salted_lookup(left, side, left_key, how).select(*out)
 
 
-def _split_lookup(left, side, left_key, take, how, max_broadcast_bytes) -> DataFrame:
+def _salted_lookup(left: DataFrame, side: DataFrame, left_key: str, how: str) -> DataFrame:
     # The most frequent keys, at most HOT_KEYS values: one counting pass, which combines per task.
     frequent = (
         left.filter(F.col(left_key).isNotNull())
@@ -77,25 +79,13 @@ def _split_lookup(left, side, left_key, take, how, max_broadcast_bytes) -> DataF
         .limit(HOT_KEYS)
         .select("_hot")
     )
-    hot_keys = left.sparkSession.createDataFrame(frequent.collect(), frequent.schema)
-    hot_found = side.join(F.broadcast(hot_keys), F.col("_key") == F.col("_hot"), "left_semi")
-    hot_side = hot_keys.join(hot_found, F.col("_hot") == F.col("_key"), "left")
-    if not fits_broadcast(hot_side, max(max_broadcast_bytes, BROADCAST_BYTES)):
-        # The right side repeats its own keys; leave the split to adaptive skew handling.
-        return left.join(side, left[left_key] == side["_key"], how)
-    hot_rows = left.join(F.broadcast(hot_side), left[left_key] == hot_side["_hot"], "inner")
-    if how == "inner":
-        hot_rows = hot_rows.filter(F.col("_key").isNotNull())
-    cold = left.filter(F.col(left_key).isNotNull()).join(
-        F.broadcast(hot_keys), left[left_key] == hot_keys["_hot"], "left_anti"
+    hot = F.broadcast(left.sparkSession.createDataFrame(frequent.collect(), frequent.schema))
+    row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
+    spread = left.join(hot, left[left_key] == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull() | F.col(left_key).isNull(), row_salt).otherwise(F.lit(0))
     )
-    cold_rows = cold.join(side.hint("merge"), cold[left_key] == side["_key"], how)
-    parts = [hot_rows.select(*left.columns, *take), cold_rows.select(*left.columns, *take)]
-    if how == "left":
-        types = {f.name: f.dataType for f in side.schema.fields}
-        parts.append(
-            left.filter(F.col(left_key).isNull()).select(
-                *left.columns, *[F.lit(None).cast(types[c]).alias(c) for c in take]
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    repeated = side.join(hot, F.col("_key") == F.col("_hot"), "left").withColumn(
+        "_side_salt", F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0))))
+    ).drop("_hot")
+    return spread.drop("_hot").join(repeated.hint("merge"), (spread[left_key] == F.col("_key")) & (F.col("_salt") == F.col("_side_salt")), how)

@@ -22,7 +22,7 @@ def assign_keys(
     key: str,
     order_by: Sequence[str] | None = None,
     start: Column | int = 0,
-    key_type: str = "int",
+    key_type: str = "bigint",
 ) -> DataFrame:
     """Number rows ``start + 1 ..`` without gaps, in the order of a digest of ``order_by``.
 

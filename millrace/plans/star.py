@@ -16,15 +16,15 @@ from . import clean
 
 # Columns of the target tables.
 DIM_DATE = (
-    "date_key int, date date, day tinyint, month tinyint, year smallint, quarter tinyint, "
+    "date_key bigint, date date, day tinyint, month tinyint, year smallint, quarter tinyint, "
     "day_name string, is_weekend boolean"
 )
-DIM_CITY = "city_id int, city_name string"
-DIM_BRANCH = "branch_key int, branch_id int, city_name string, branch_name string"
-DIM_PRODUCT = "product_key int, product_id int, product_name string, category string"
-DIM_STAFF = "staff_key int, staff_id string, employee_id string, first_name string, last_name string, role string"
+DIM_CITY = "city_id decimal(38,0), city_name string"
+DIM_BRANCH = "branch_key bigint, branch_id decimal(38,0), city_name string, branch_name string"
+DIM_PRODUCT = "product_key bigint, product_id decimal(38,0), product_name string, category string"
+DIM_STAFF = "staff_key bigint, staff_id string, employee_id string, first_name string, last_name string, role string"
 FACT_SALES = (
-    "sale_id decimal(38,0), date_key int, product_key int, branch_key int, staff_key int, "
+    "sale_id decimal(38,0), date_key bigint, product_key bigint, branch_key bigint, staff_key bigint, "
     "sale_ts timestamp_ntz, volume_sold decimal(12,2), price decimal(12,2), cost decimal(12,2), revenue decimal(12,2)"
 )
 
@@ -83,18 +83,18 @@ def _with_action(df: DataFrame, action: str) -> DataFrame:
 
 
 def dim_city(target: DataFrame, cities: DataFrame, **options) -> DataFrame:
-    source = cities.select(F.col("city_id").cast("int"), "city_name")
+    source = cities.select(F.col("city_id").cast("decimal(38,0)").alias("city_id"), "city_name")
     return merge(target, source, ["city_id"], ["city_name"], null_keys="drop", **options)
 
 
 def dim_branch(target: DataFrame, branches: DataFrame, **options) -> DataFrame:
     """A known branch gets its new name but keeps its city; a new one gets both."""
-    source = branches.select(F.col("branch_id").cast("int"), "city_name", "branch_name")
+    source = branches.select(F.col("branch_id").cast("decimal(38,0)").alias("branch_id"), "city_name", "branch_name")
     return merge(target, source, ["branch_id"], ["branch_name"], surrogate="branch_key", **options)
 
 
 def dim_product(target: DataFrame, products: DataFrame, **options) -> DataFrame:
-    source = products.select(F.col("product_id").cast("int"), "product_name", "category")
+    source = products.select(F.col("product_id").cast("decimal(38,0)").alias("product_id"), "product_name", "category")
     return merge(target, source, ["product_id"], ["product_name", "category"], surrogate="product_key", **options)
 
 
@@ -223,7 +223,8 @@ def build(
     """Raw tables to star schema: stage clean rows, merge dimensions, merge the fact, log, publish.
 
     ``raw`` holds cities, branches, products, employees, staff, assignments and sales. Clean rows
-    that several steps read are written once; running again with the same input changes nothing.
+    that several steps read are written once. Running again with the same input changes nothing,
+    except that members without a usable id never match and are added again.
     """
     staged: dict[str, DataFrame] = {
         "clean_cities": clean.cities_clean(raw["cities"]),
@@ -249,7 +250,8 @@ def build(
         sales, store.read("dim_date"), store.read("dim_product"), store.read("dim_branch"), store.read("dim_staff")
     )
     write_fact(store, rows, bookmark=bookmark)
-    log_step(store, "LOAD_FACT_SALES", store.merge_counts("fact_sales"), "MERGE from v_sales_clean")
+    left_out = sales.filter(F.col("sale_ts").isNull()).count()
+    log_step(store, "LOAD_FACT_SALES", store.merge_counts("fact_sales"), f"merged clean sales; {left_out} without a timestamp were left out")
     if production is not None:
         store.publish(production, [*DIMENSIONS, "fact_sales"] if include_fact else DIMENSIONS)
     return store

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -145,7 +145,7 @@ class LandingZone:
         last = self.last_load(spec.table)
         fields = [T.StructField(f.name, T._parse_datatype_string(_type_of(f.type))) for f in spec.fields]
         if spec.identity:
-            fields.insert(0, T.StructField(spec.identity, T.IntegerType()))
+            fields.insert(0, T.StructField(spec.identity, T.LongType()))
         fields += [T.StructField(n, T.StringType()) for n in (ERROR, RAW, FILE)]
         fields += [T.StructField("loaded_at", T.TimestampType())]
         fields += [T.StructField("load_id", T.LongType()), T.StructField(STATUS, T.StringType())]
@@ -198,11 +198,11 @@ class LandingZone:
         Returns the load number, None when there was nothing new. Only file names come to the
         driver, which has to list the files to scan them anyway.
         """
-        names = [r["path"] for r in self.new_files(spec, path).toLocalIterator()]
-        if not names:
+        new = [(r["path"], r["file"]) for r in self.new_files(spec, path).toLocalIterator()]
+        if not new:
             return None
         read = self.reader(spec)
-        return self.write_load(spec, read(self.spark, names))
+        return self.write_load(spec, read(self.spark, [p for p, _ in new]), files=[f for _, f in new])
 
     refresh = load
 
@@ -220,13 +220,21 @@ class LandingZone:
             )
         raise ValueError(f"unknown format: {spec.format}")
 
-    def write_load(self, spec: LoadSpec, records: DataFrame, batch: str | None = None) -> int | None:
-        """Write one batch of text records as the next load.
+    def write_load(
+        self, spec: LoadSpec, records: DataFrame, batch: str | None = None, files: Sequence[str] = ()
+    ) -> int | None:
+        """Write one batch of text records as the next load; one writer per table at a time.
 
-        A ``batch`` label that a committed load carries is not loaded again.
+        A ``batch`` label that a committed load carries is not loaded again, nor are, under a
+        label, files that other loads have in the history. ``files`` names the files read, so that
+        those without rows enter the history too.
         """
         if batch is not None and self._is_loaded(spec, batch):
             return None
+        if batch is not None and self.last_load(spec.table):
+            others = self.load_history(spec).filter(~F.col("batch").eqNullSafe(F.lit(batch)))
+            seen = others.select("file").distinct().withColumn("_seen", F.lit(True))
+            records = lookup(records, seen, FILE, "file", ["_seen"]).filter(F.col("_seen").isNull()).drop("_seen")
         load_id = self.last_load(spec.table) + 1
         if batch is not None:
             self._fs.create_text(self._batch_path(spec, batch), str(load_id), overwrite=True)
@@ -235,7 +243,7 @@ class LandingZone:
             marked = self._with_identity(spec, marked)
         folder = f"{self._rows_path(spec.table)}/load_id={load_id}"
         marked.withColumn("loaded_at", F.current_timestamp()).write.mode("overwrite").partitionBy(STATUS).parquet(folder)
-        self._write_history(spec, load_id, folder, batch)
+        self._write_history(spec, load_id, folder, batch, files)
         return load_id
 
     def _batch_path(self, spec: LoadSpec, batch: str) -> str:
@@ -258,10 +266,12 @@ class LandingZone:
             spec.columns,
             max_key(self.table(spec), spec.identity),
         )
-        rest = marked.filter(F.col(STATUS) != LOADED).withColumn(spec.identity, F.lit(None).cast("int"))
+        rest = marked.filter(F.col(STATUS) != LOADED).withColumn(spec.identity, F.lit(None).cast("bigint"))
         return good.unionByName(rest)
 
-    def _write_history(self, spec: LoadSpec, load_id: int, folder: str, batch: str | None) -> None:
+    def _write_history(
+        self, spec: LoadSpec, load_id: int, folder: str, batch: str | None, files: Sequence[str] = ()
+    ) -> None:
         # A partition column of the folder, so the schema names it; nothing else but it, the file
         # name and the error is read.
         schema = f"{FILE} string, {ERROR} string, {STATUS} string"
@@ -272,6 +282,10 @@ class LandingZone:
             F.count_if(F.col(STATUS) == REJECTED).alias("rejected"),
             F.min(ERROR).alias("first_error"),
         )
+        if files:  # those without rows have no summary
+            listed = self.spark.createDataFrame([(f,) for f in files], "file string")
+            counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("parsed", "loaded", "rejected")]
+            summary = listed.join(summary, "file", "full").select("file", *counts, "first_error")
         summary.select(
             "file",
             F.lit(batch).cast("string").alias("batch"),

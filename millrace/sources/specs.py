@@ -66,7 +66,7 @@ SPECS: dict[str, LoadSpec] = {
             ),
         ),
         LoadSpec(
-            "campaign_channels", "json", (Field("channel_id", "int"), Field("channel_name")), on_error="continue"
+            "campaign_channels", "json", (Field("channel_id", "decimal(38,0)"), Field("channel_name")), on_error="continue"
         ),
         LoadSpec(
             "employees",
@@ -86,7 +86,7 @@ SPECS: dict[str, LoadSpec] = {
             "json",
             (
                 Field("staff_id"),
-                Field("branch_id", "int"),
+                Field("branch_id", "decimal(38,0)"),
                 Field("start_date", "timestamp_ntz"),
                 Field("end_date", "timestamp_ntz", mode="try", null_text="NaT"),
             ),
@@ -98,9 +98,9 @@ SPECS: dict[str, LoadSpec] = {
             "csv",
             (
                 Field("sale_id", "decimal(38,0)"),
-                Field("branch_id", "int"),
+                Field("branch_id", "decimal(38,0)"),
                 Field("staff_id"),
-                Field("product_id", "int"),
+                Field("product_id", "decimal(38,0)"),
                 Field("sale_date", "timestamp_ntz"),
                 Field("volume_sold", "decimal(12,2)"),
                 Field("price", "decimal(12,2)"),

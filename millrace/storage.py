@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,11 +44,11 @@ class FileSystem:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local master without that setting gets a temporary folder of its own.
+    A local master without that setting takes the session's warehouse folder instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

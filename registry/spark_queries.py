@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from millrace import functions as fn
 from millrace import operators as op
-from millrace.operators.calendar import MAX_DAYS
 from millrace.operators.merge import ACTION
 from millrace.plans import clean, holidays, star
 from millrace.sources import SPECS, LandingZone, LoadSpec, files, parse
@@ -106,8 +105,12 @@ def read_parquet_stage(spark, sf):
 
 @register
 def stage_listing(spark, sf):
-    listed = files.list_stage(spark, sf, r".*\.parquet")
-    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file"), "size")
+    """Orders staged in a folder per priority, then listed: the folders found, and if all have data."""
+    _, stage = _zone(spark)
+    table(spark, sf, "orders").select("o_orderkey", "o_orderpriority").write.partitionBy("o_orderpriority").parquet(stage)
+    listed = files.list_stage(spark, stage, r".*\.parquet")
+    folder = F.url_decode(F.regexp_extract("path", r"o_orderpriority=([^/]*)/", 1))
+    return listed.groupBy(folder.alias("priority")).agg(F.bool_and(F.col("size") > 0).alias("has_data"))
 
 
 @register
@@ -440,8 +443,7 @@ def lateral_generate(spark, sf):
     spans = raw(spark, sf, "assignments").groupBy("staff_id").agg(
         F.min("start_date").alias("min_d"), F.max("start_date").alias("max_d")
     )
-    days = F.sequence(F.col("min_d"), F.least(F.col("max_d"), F.date_add("min_d", MAX_DAYS - 1)))
-    return spans.select("staff_id", F.explode(days).alias("d"))
+    return op.date_series(spans, "d")
 
 
 # == aggregations, windows, sorts ============================================================================
@@ -697,11 +699,17 @@ def null_safe_differs(spark, sf):
 
 @register
 def audit_timestamp(spark, sf):
-    """Rows stamped with date-time and time of day; the stamps are only tested for presence."""
-    return raw(spark, sf, "staff").select(
+    """Rows stamped as they are stored; the stamps must lie between begin and end of the run."""
+    store = _store(spark)
+    begun = spark.sql("SELECT current_timestamp() AS at").first()["at"]
+    stamped = raw(spark, sf, "staff").select("staff_id", F.current_timestamp().alias("at"), F.current_time().alias("time_of_day"))
+    store.write(stamped.withColumn("time_of_day", F.col("time_of_day").cast("string")), "stamped")
+    ended = spark.sql("SELECT current_timestamp() AS at").first()["at"]
+    rows = store.read("stamped")
+    return rows.select(
         "staff_id",
-        F.current_timestamp().isNotNull().alias("has_timestamp"),
-        F.current_time().isNotNull().alias("has_time"),
+        F.col("at").between(F.lit(begun), F.lit(ended)).alias("has_timestamp"),
+        (F.substring("time_of_day", 1, 8) == F.date_format("at", "HH:mm:ss")).alias("has_time"),
     )
 
 
@@ -827,7 +835,7 @@ def dim_staff(spark, sf):
 
 @register
 def dim_date(spark, sf):
-    """Calendar of the even-numbered sales days' span up to 1998, then of all sales."""
+    """Calendar of the sales before 1998-06-01, then extended to all sales."""
     store = _store(spark)
     sales = _written(spark, store, clean.typed_sales(raw(spark, sf, "sales")).select("sale_ts"), "sales")
     early = sales.filter(F.col("sale_ts") < F.lit("1998-06-01").cast("timestamp_ntz"))

