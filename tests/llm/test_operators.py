@@ -216,6 +216,19 @@ def test_blocks_link_what_hubs_miss(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in local(near_dedup.near_duplicates(frame))} == {k[0]: c for k, c in brute_classes(rows).items()}
 
 
+def test_near_copies_of_a_text_with_a_missing_id(spark):
+    """Same words, other white space, one row without an id: the node is compared by a text it has."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(8):
+        base = sentence(rng, 120, 10_000).split()
+        rows += [(10 * k + 1, " ".join(base)), (None, "  ".join(base)), (10 * k + 2, " ".join([*base[:60], "changed", *base[61:]]))]
+    got = local(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert Counter((r["doc_id"], r["class_id"], r["first"]) for r in got) == Counter(
+        row for k in range(8) for row in [(10 * k + 1, 10 * k + 1, True), (None, 10 * k + 1, False), (10 * k + 2, 10 * k + 1, False)]
+    )
+
+
 def test_samples_agree_like_weighted_jaccard():
     rng, draw = np.random.default_rng(1), near_dedup.Sampler(2_000)
     h = np.sort(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
