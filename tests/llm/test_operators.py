@@ -229,6 +229,22 @@ def test_near_copies_of_a_text_with_a_missing_id(spark):
     )
 
 
+def plain_jaccard(a, b):
+    x, y = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_large_group_of_near_copies_is_one_class(spark):
+    """Copies with changes of their own, each alike to the others at 0.8 to 0.9, among other texts."""
+    rng = np.random.default_rng(9)
+    base = sentence(rng, 130, 100_000).split()
+    copies = [" ".join([*base[:lo], *(f"c{k}x{j}" for j in range(2)), *base[lo + 2 :]]) for k, lo in enumerate(rng.integers(4, 122, 3_000))]
+    rows = [(k, t) for k, t in enumerate(copies)] + [(10_000 + k, sentence(rng, 60, 100_000)) for k in range(6_000)]
+    assert min(plain_jaccard(copies[0], t) for t in copies[1:]) >= 0.8
+    got = {r["doc_id"]: r["class_id"] for r in local(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert {got[k] for k in range(3_000)} == {0} and all(got[k] == k for k in got if k >= 10_000)
+
+
 def test_samples_agree_like_weighted_jaccard():
     rng, draw = np.random.default_rng(1), near_dedup.Sampler(2_000)
     h = np.sort(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
