@@ -1,17 +1,9 @@
-"""Word shingles as 64-bit hashes, and counts of them in a table of fixed size."""
+"""Word shingles as 64-bit hashes."""
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .common import shuffle_partitions, text_or_empty
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _M_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -71,53 +63,3 @@ def shingles(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(words):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     return np.unique(window_hashes(words, min(n, len(words))), return_counts=True)
-
-
-def document_frequencies(docs: DataFrame, n: int, bits: int) -> tuple[np.ndarray, int]:
-    """Documents per place of a table of ``2**bits`` places, and documents that have words.
-
-    A shingle's place is the head of its hash, so a count covers the shingle and whatever shares
-    its place: too high by about (all distinct shingles of documents) / 2**bits. The table has the
-    same size for any input, which is what lets every task hold it.
-    """
-    slice_bits = 16
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, known, total = np.zeros(1 << bits, np.uint32), WordHashes(), 0
-        for batch in batches:
-            held: list[np.ndarray] = []
-            size = 0
-            for text in batch["text"].cast(pa.binary()).to_pylist():
-                words = text.split()
-                total += bool(words)
-                held.append(shingles(known.of(words), n)[0] >> np.uint64(64 - bits))
-                size += len(held[-1])
-                if size > 1 << 20:
-                    counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits).astype(np.uint32)
-                    held, size = [], 0
-            if held:
-                counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits).astype(np.uint32)
-        rows = [(-1, np.array([total], np.uint32))]
-        rows += [(k, part) for k, part in enumerate(counts.reshape(-1, 1 << min(bits, slice_bits))) if part.any()]
-        for k, part in rows:
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["slice", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                part = np.frombuffer(zlib.decompress(row["counts"]), np.uint32).astype(np.int64)
-                sums[row["slice"]] = sums[row["slice"]] + part if row["slice"] in sums else part
-        for k, part in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["slice", "counts"])
-
-    filled = docs.select(text_or_empty().alias("text")).mapInArrow(fill, "slice int, counts binary")
-    summed = filled.repartition(shuffle_partitions(docs.sparkSession), "slice").mapInArrow(add, "slice int, counts binary")
-    counts, total, size = np.zeros(1 << bits, np.int64), 0, 1 << min(bits, slice_bits)
-    for row in summed.toLocalIterator():  # one row per slice of the fixed table
-        part = np.frombuffer(row["counts"], np.int64)
-        if row["slice"] < 0:
-            total = int(part[0])
-        else:
-            counts[row["slice"] * size : (row["slice"] + 1) * size] = part
-    return counts, total

@@ -245,6 +245,19 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert {got[k] for k in range(3_000)} == {0} and all(got[k] == k for k in got if k >= 10_000)
 
 
+def test_class_of_a_pair_does_not_depend_on_the_corpus(spark):
+    """Frequent shingles in common and rare ones changed: the pair is decided by the two texts."""
+    rng = np.random.default_rng(10)
+    shared, pair = sentence(rng, 104, 100_000), []
+    for k in range(2):
+        pair.append((k, f"{shared} {' '.join(f'u{k}x{j}' for j in range(7))}"))
+    assert plain_jaccard(pair[0][1], pair[1][1]) >= 0.8
+    for others in (0, 400):
+        frame = spark.createDataFrame([*pair, *((10 + k, f"{shared} {sentence(rng, 300, 100_000)}") for k in range(others))], "doc_id long, text string")
+        got = {r["doc_id"]: (r["class_id"], r["similar"]) for r in local(near_dedup.near_duplicates(frame))}
+        assert got.pop(0) == got.pop(1) == (0, True) and all(v == (k, False) for k, v in got.items())
+
+
 def test_samples_agree_like_weighted_jaccard():
     rng, draw = np.random.default_rng(1), near_dedup.Sampler(2_000)
     h = np.sort(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
