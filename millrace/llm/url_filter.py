@@ -1,5 +1,7 @@
 """URL rules, and verdicts for the other hosts by propagation over links between hosts.
 
+Hosts are linked by their pages' links and by their domains.
+
 Trust spreads from trusted hosts along links (personalised PageRank), distrust from blocked hosts
 against them: who links to a blocked host is suspect. A host whose distrust outweighs its trust by
 the threshold is blocked. Rules always win over the propagated verdict.
@@ -16,7 +18,12 @@ from pyspark.sql import functions as F
 from ..operators.joins import lookup
 from .common import shared_table
 
-_LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
+_CODE = r"(?is)(<(?:script|style)\b[^>]*>).*?</(?:script|style)\s*>|<!--.*?-->"
+_ATTRIBUTE = r"""(?i)[\s"'/]([a-z][\w:.-]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)"""
+_BASE = r"""(?i)<base\b[^>]*\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
+_ABSOLUTE = r"(?i)^(https?:)?//[^/]"
+_URLS = ("href", "src", "action", "formaction", "cite", "data", "poster", "background", "longdesc", "xlink:href")
+_LISTS = ("srcset", "imagesrcset", "ping")  # several addresses in one value
 
 
 @dataclass(frozen=True)
@@ -66,14 +73,43 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Host edges of the pages' absolute links, each pair once with the number of links."""
-    targets = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_LINK), F.lit(1))
-    rows = pages.select(host_of(F.col("url")).alias("src"), F.explode(targets).alias("target"))
-    full = F.when(F.startswith("target", F.lit("//")), F.concat(F.lit("http:"), F.col("target"))).otherwise(F.col("target"))
-    rows = rows.select("src", host_of(full).alias("dst")).filter("src != dst and src != '' and dst != ''")
+    """Host edges of the pages' links, each pair once with the number of links.
+
+    Targets are the values of every attribute outside comments and script text: addresses with a
+    host, also in lists (``srcset``) and in a refresh; relative ones lead to the page's own host, or
+    to that of its ``base``.
+    """
+    html = F.coalesce("html", F.lit(""))
+    clean = F.regexp_replace(html, _CODE, "$1")
+    names, values = (F.regexp_extract_all(F.col("clean"), F.lit(_ATTRIBUTE), F.lit(k)) for k in (1, 2))
+    rows = pages.select(host_of(F.col("url")).alias("src"), F.regexp_extract(html, _BASE, 1).alias("base"), clean.alias("clean"))
+    # Most pages have relative links only.
+    rows = rows.filter(F.col("src") != "").filter(F.contains("clean", F.lit("//"))).withColumn("pair", F.explode(F.arrays_zip(names.alias("name"), values.alias("value"))))
+    rows = rows.select("src", "base", F.lower("pair.name").alias("name"), F.regexp_replace("pair.value", r"""^["']?\s*|\s*["']?$""", "").alias("value"))
+    refresh = F.regexp_extract("value", r"""(?i)^[\d.]*\s*[;,]\s*url\s*=\s*['"]?([^'"\s]+)""", 1)
+    targets = F.when(F.col("name").isin(*_LISTS), F.split("value", r"[\s,]+")).when(F.col("name") == "content", F.array(refresh)).otherwise(F.array("value"))
+    rows = rows.filter("name not like 'xmlns%'").select("src", "base", "name", F.explode(targets).alias("target"))
+    relative = (F.col("base") != "") & F.col("name").isin(*_URLS, *_LISTS) & ~F.col("target").rlike(r"(?i)^([a-z][a-z0-9+.-]*:|#|//|$)") & ~F.col("target").rlike(r"^\d+(\.\d+)?[wx]$")
+    target = F.when(F.col("target").rlike(_ABSOLUTE), F.col("target")).when(relative, F.col("base"))
+    full = F.when(F.startswith(target, F.lit("//")), F.concat(F.lit("http:"), target)).otherwise(target)
+    rows = rows.select("src", host_of(full).alias("dst")).filter("src != dst and dst != ''")
     return rows.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
+def kin(hosts: DataFrame) -> DataFrame:
+    """Edges between a host and its parent domain, both ways, up to a domain of two labels.
+
+    Hosts of one domain are siblings over their parent, which need not have pages. Addresses in
+    numbers have no parent.
+    """
+    parts = F.split("host", r"\.")
+    named = hosts.select("host").filter(F.size(parts) > 2).filter(~F.col("host").rlike(r"^[\d.]+(:\d+)?$|\[|\.\."))
+    chain = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
+    pair = F.explode(F.transform(F.sequence(F.lit(1), F.size(chain) - 1), lambda k: F.struct(F.get(chain, k - 1).alias("src"), F.get(chain, k).alias("dst"))))
+    up = named.select(pair.alias("pair")).select("pair.src", "pair.dst").distinct()
+    return up.union(up.select("dst", "src")).withColumn("n", F.lit(1).cast("long"))
+
+
 def personalised_rank(edges: DataFrame, seeds: DataFrame, config: Propagation) -> DataFrame:
     """``host`` and ``score``: random walks from the seeds that start over with 1 - damping.
 
@@ -114,7 +150,8 @@ def judge(pages: DataFrame, rules: DataFrame, config: Propagation | None = None)
     config = config or Propagation()
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     hosts = urls.select("host").distinct()
-    edges = shared_table(links(pages), "links")
+    edges = links(pages).union(kin(hosts)).groupBy("src", "dst").agg(F.sum("n").alias("n"))
+    edges = shared_table(edges, "links")
     known = shared_table(host_rules(hosts, rules).withColumnRenamed("host", "__host"), "host-rules")
     fit = F.try_element_at(F.filter("rules", lambda r: F.startswith("path", r.path)), F.lit(1))
     matched = lookup(urls, known, "host", "__host", ["rules"]).withColumn("fit", fit)

@@ -424,6 +424,18 @@ def test_suspect_neighbours_are_blocked(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
 
 
+def test_links_of_every_attribute_and_of_domains(spark):
+    html = """<base target=_top><a href=//a.org/x>1</a><IMG src='https://b.org/i.png' srcset="//c.org/1 1x, /own 2x"><a href="/own?u=http://no.org/">
+    <form action="http://d.org"></form><meta http-equiv=refresh content="3; url=http://e.org/"><svg xmlns="http://no.org/"><!-- <a href="http://no.org"> -->
+    <script src="//f.org/s.js">var u="http://no.org/";</script><a title="see http://no.org">"""
+    rows = [(1, "http://h.org/", html), (2, "http://i.org/", "<base href='http://j.org/'><a href=x><a href='#top'>"), (3, None, html)]
+    got = {(r["src"], r["dst"], r["n"]) for r in local(url_filter.links(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    assert got == {("h.org", f"{x}.org", 1) for x in "abcdef"} | {("i.org", "j.org", 2)}
+    hosts = spark.createDataFrame([(h,) for h in ("blog.x.example.net", "m.x.example.net", "y.org", "com", "", "10.0.0.1")], "host string")
+    up = {("blog.x.example.net", "x.example.net"), ("m.x.example.net", "x.example.net"), ("x.example.net", "example.net")}
+    assert {(r["src"], r["dst"]) for r in local(url_filter.kin(hosts))} == up | {(b, a) for a, b in up}
+
+
 # -- nearest neighbours ------------------------------------------------------------------------------
 
 
