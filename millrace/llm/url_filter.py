@@ -2,22 +2,26 @@
 
 Hosts are linked by their pages' links and by their domains.
 
-Trust spreads from trusted hosts along links (personalised PageRank), distrust from blocked hosts
-against them: who links to a blocked host is suspect. A host whose distrust outweighs its trust by
+Trust spreads from trusted hosts along links, distrust from blocked hosts against them: who links to
+a blocked host is suspect. Both are ends of random walks with restart (personalised PageRank). A host whose distrust outweighs its trust by
 the threshold is blocked. Rules always win over the propagated verdict.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup
+from ..operators.joins import fits_broadcast, lookup
 from .common import shared_table
 
+#: Measured size up to which a host graph is walked in one task.
+GRAPH_BYTES = 64 * 1024 * 1024
 _CODE = r"(?is)(<(?:script|style)\b[^>]*>).*?</(?:script|style)\s*>|<!--.*?-->"
 _ATTRIBUTE = r"""(?i)[\s"'/]([a-z][\w:.-]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)"""
 _BASE = r"""(?i)<base\b[^>]*\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
@@ -28,11 +32,13 @@ _LISTS = ("srcset", "imagesrcset", "ping")  # several addresses in one value
 
 @dataclass(frozen=True)
 class Propagation:
-    """``threshold``: distrust minus trust from which a host is blocked, both as shares of a seed."""
+    """``threshold``: distrust minus trust from which a host is blocked, both in [0, 1]. On a host
+    without links they are its shares of blocked and allowed pages."""
 
     damping: float = 0.85
-    rounds: int = 8
-    threshold: float = 0.1
+    rounds: int | None = None  # no limit
+    tolerance: float = 1e-6
+    threshold: float = 2 / 3
 
 
 def host_of(url: Column) -> Column:
@@ -110,30 +116,73 @@ def kin(hosts: DataFrame) -> DataFrame:
     return up.union(up.select("dst", "src")).withColumn("n", F.lit(1).cast("long"))
 
 
+def _walk(shares: DataFrame, start: DataFrame, config: Propagation) -> DataFrame:
+    """``host`` and ``score``: the start, plus damping * share of the score of each ``src`` at its ``dst``.
+
+    Rounds go on until one moves at most ``tolerance`` of the sum of all scores (or for ``rounds``).
+    A graph of measured small size is one task; a larger one is a join and a sum per round, whose
+    rows are written, so a lost executor repeats one round. Both give the same scores.
+    """
+    shares, start = shared_table(shares, "link-shares"), shared_table(start, "link-starts")
+    if shares.isEmpty():
+        return start
+    rows = shares.union(start.select(F.col("host").alias("src"), F.lit(None).cast("string").alias("dst"), F.col("score").alias("share")))
+    if fits_broadcast(rows, GRAPH_BYTES):
+        damping, rounds, tolerance = config.damping, config.rounds, config.tolerance
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            all_rows = pd.concat(list(batches))
+            codes, names = pd.factorize(pd.concat([all_rows["src"], all_rows["dst"]]))
+            src, dst, share = codes[: len(all_rows)], codes[len(all_rows) :], all_rows["share"].to_numpy()
+            edge = dst >= 0  # a start has no target
+            change = np.bincount(src[~edge], share[~edge], minlength=len(names))
+            src, dst, share, score, k = src[edge], dst[edge], share[edge], change, 0
+            while k != rounds and change.sum() > tolerance * score.sum():
+                change, k = damping * np.bincount(dst, change[src] * share, minlength=len(names)), k + 1
+                score = score + change
+            yield pd.DataFrame({"host": names, "score": score})
+
+        return shared_table(rows.repartition(1).mapInPandas(run, "host string, score double"), "host-scores")
+    state, k = start.withColumn("change", F.col("score")), 0
+    while k != config.rounds:
+        moved = shares.join(state.filter("change > 0"), shares["src"] == state["host"]).select(F.col("dst").alias("host"), (F.col("change") * F.col("share") * config.damping).alias("change"))
+        both = state.select("host", "score", F.lit(0.0).alias("change")).union(moved.select("host", F.col("change").alias("score"), "change"))
+        state, k = shared_table(both.groupBy("host").agg(F.sum("score").alias("score"), F.sum("change").alias("change")), "host-scores"), k + 1
+        sums = state.agg(F.sum("change").alias("change"), F.sum("score").alias("score")).first()
+        if (sums["change"] or 0) <= config.tolerance * (sums["score"] or 0):
+            break
+    return state.select("host", "score")
+
+
 def personalised_rank(edges: DataFrame, seeds: DataFrame, config: Propagation) -> DataFrame:
     """``host`` and ``score``: random walks from the seeds that start over with 1 - damping.
 
-    A seed starts with its ``mass``; a host's score is handed on in proportion to its links. Every round
-    is one join on the source and one sum by target that combines before the shuffle. The rounds'
-    scores are written, so a lost executor repeats one round.
+    A seed starts with its ``mass``; a host's score is handed on in proportion to its links.
     """
     out = edges.groupBy("src").agg(F.sum("n").alias("out"))
-    shares = shared_table(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("share")), "link-shares")
-    start = seeds.select("host", ((1 - config.damping) * F.col("mass")).alias("score"))
-    if shares.isEmpty():
-        return start
-    score = start
-    for _ in range(config.rounds):
-        moved = shares.join(score, shares["src"] == score["host"]).select(F.col("dst").alias("host"), (F.col("score") * F.col("share") * config.damping).alias("score"))
-        score = shared_table(moved.union(start).groupBy("host").agg(F.sum("score").alias("score")), "host-scores")
-    return score
+    shares = edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("share"))
+    return _walk(shares, seeds.select("host", ((1 - config.damping) * F.col("mass")).alias("score")), config)
+
+
+def walk_ends(edges: DataFrame, seeds: DataFrame, config: Propagation) -> DataFrame:
+    """``host`` and ``score`` in [0, 1]: the mean mass of the hosts at which walks from the host end.
+
+    A walk along ``edges`` ends at each host with 1 - damping, and where no link goes on. This is the
+    personalised rank from each host, summed over the seeds. As a mean over the host's own links it
+    does not depend on how many other hosts link to a seed, nor on the number of hosts.
+    """
+    out = edges.groupBy("src").agg(F.sum("n").alias("out"))
+    shares = edges.join(out, "src").select(F.col("dst").alias("__from"), F.col("src").alias("dst"), (F.col("n") / F.col("out")).alias("share"))
+    stops = F.when(F.col("out").isNull(), F.lit(1.0)).otherwise(F.lit(1 - config.damping))
+    start = seeds.join(out.withColumnRenamed("src", "host"), "host", "left").select("host", (stops * F.col("mass")).alias("score"))
+    return _walk(shares.withColumnRenamed("__from", "src"), start, config)
 
 
 def propagate(edges: DataFrame, trusted: DataFrame, blocked: DataFrame, config: Propagation) -> DataFrame:
     """``host``, ``trust``, ``distrust`` and ``blocked`` for hosts that either score reaches."""
     against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    trust = personalised_rank(edges, trusted, config).withColumnRenamed("score", "trust")
-    distrust = personalised_rank(against, blocked, config).withColumnRenamed("score", "distrust")
+    trust = walk_ends(against, trusted, config).withColumnRenamed("score", "trust")
+    distrust = walk_ends(edges, blocked, config).withColumnRenamed("score", "distrust")
     both = trust.join(distrust, "host", "full").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
     return both.withColumn("blocked", F.col("distrust") - F.col("trust") >= config.threshold)
 

@@ -436,6 +436,20 @@ def test_links_of_every_attribute_and_of_domains(spark):
     assert {(r["src"], r["dst"]) for r in local(url_filter.kin(hosts))} == up | {(b, a) for a, b in up}
 
 
+def test_scores_converge_and_do_not_depend_on_the_number_of_linkers(spark, monkeypatch):
+    """A chain longer than eight links, and 30 hosts that link to the chain's blocked end."""
+    edges = [(f"c{k + 1}", f"c{k}", 1) for k in range(11)] + [(f"s{k}", "c0", 2) for k in range(30)]
+    frame = spark.createDataFrame(edges, "src string, dst string, n long")
+    none, seed = spark.createDataFrame([], "host string, mass double"), spark.createDataFrame([("c0", 1.0)], "host string, mass double")
+    want = {f"c{k}": 0.85**k for k in range(12)} | {f"s{k}": 0.85 for k in range(30)}
+    for size in (url_filter.GRAPH_BYTES, -1):
+        monkeypatch.setattr(url_filter, "GRAPH_BYTES", size)
+        assert {r["host"]: r["score"] for r in local(url_filter.walk_ends(frame, seed, url_filter.Propagation()))} == pytest.approx(want)
+    monkeypatch.undo()
+    got = {r["host"]: r["blocked"] for r in local(url_filter.propagate(frame, none, seed, url_filter.Propagation()))}
+    assert {h for h, b in got.items() if b} == {"c0", "c1", "c2", *(f"s{k}" for k in range(30))}
+
+
 # -- nearest neighbours ------------------------------------------------------------------------------
 
 
