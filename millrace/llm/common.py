@@ -29,14 +29,15 @@ def words(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a stage's rows into the cluster's shared folder and read them back.
 
     Cuts the lineage: a lost executor costs at most the stage that was running.
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     release(spark)
     return out

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, token_files, url_filter, warc
+from . import (
+    ann, line_dedup, mixing, near_dedup, packing, prefix_trie, quality, resharding, spelling, substring_dedup, token_files,
+    url_filter, warc,
+)
 from .common import tables, text_or_empty
 from .oracles import ORACLES
 
@@ -88,3 +91,29 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_files.write_and_read(tables(spark, sf_dir, "documents"), path, end_id=1).drop("shard")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(tables(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resharding.grow(tables(spark, sf_dir, "documents"), before=6, after=8)
+    text = F.coalesce(F.col(f"{resharding.ROW}.text"), F.lit(""))
+    return rows.select(
+        F.col(f"{resharding.ROW}.doc_id").alias("doc_id"),
+        (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "moved",
+    )
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(tables(spark, sf_dir, "documents"))
