@@ -71,9 +71,9 @@ def conversation_rows() -> list[tuple]:
         rows += [(c, t, "user" if t % 2 else "bot", f"t{rng.integers(0, 3)}é") for t in range(n)]
     for c in range(300, 340):  # copies
         rows += [(c, t, "user", f"same {t}") for t in range(7)]
-    rows += [(400, t, "user", f"long {t}") for t in range(90)]
-    rows += [(401, t, "user", f"long {t}") for t in range(90)]
-    rows += [(402, t, "user", f"long {t}") for t in range(60)]
+    rows += [(400, t, "user", f"long {t}") for t in range(24)]
+    rows += [(401, t, "user", f"long {t}") for t in range(24)]
+    rows += [(402, t, "user", f"long {t}") for t in range(14)]
     rows += [(500, None, None, "first"), (500, 0, "", None), (500, 0, "b", "x"), (500, 0, "a", "y"), (500, 0, "a", "y")]
     rows += [(None, 0, "user", "nobody's"), (600, 3, "user", "z" * 100_000), (601, -4, "user", "🙂")]
     return rows
