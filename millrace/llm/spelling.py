@@ -185,22 +185,28 @@ class _Letters:
     def __init__(self, words: list[bytes]):
         self.words = words
         self.size = np.fromiter(map(len, words), np.int64, len(words))
-        width = _WIDE
-        cut = [w[:width] for w in words]
-        self.left = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in cut), np.uint8).reshape(-1, width)
-        self.right = np.frombuffer(b"".join(w[::-1].ljust(width, b"\0") for w in cut), np.uint8).reshape(-1, width)
+        self.left = np.array([w[:_WIDE] for w in words], f"S{_WIDE}").view(np.uint8).reshape(-1, _WIDE)
+        self.right = np.array([w[: -_WIDE - 1 : -1] for w in words], f"S{_WIDE}").view(np.uint8).reshape(-1, _WIDE)
+
+
+def _common(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """How many letters two words of at least ``least`` letters have in common from one end."""
+    differs = a != b
+    first = differs.argmax(axis=1)
+    return np.minimum(np.where(differs[np.arange(len(a)), first], first, least), least)
 
 
 def verified(a: _Letters, i: np.ndarray, b: _Letters, j: np.ndarray) -> np.ndarray:
     """Which pairs of words are near: prefix and suffix in common leave one letter at most."""
     la, lb = a.size[i], b.size[j]
+    width = int(min(_WIDE, max(la.max(initial=0), lb.max(initial=0)) + 1))
     good = np.zeros(len(i), bool)
     for at in range(0, len(i), _PAIRS):
         part = slice(at, at + _PAIRS)
         x, y = i[part], j[part]
         least = np.minimum(la[part], lb[part])
-        prefix = np.minimum((a.left[x] == b.left[y]).cumprod(axis=1).sum(axis=1), least)
-        suffix = np.minimum((a.right[x] == b.right[y]).cumprod(axis=1).sum(axis=1), least)
+        prefix = _common(a.left[x, :width], b.left[y, :width], least)
+        suffix = _common(a.right[x, :width], b.right[y, :width], least)
         same = la[part] == lb[part]
         one = np.where(same, (prefix < least) & (prefix + suffix >= least - 1), (np.abs(la[part] - lb[part]) == 1) & (prefix + suffix >= least))
         good[part] = one
