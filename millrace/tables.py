@@ -4,16 +4,20 @@ Each write goes to a folder of its own; a small manifest, created last and never
 names the folders that make up version *n* together with the schema and the bookmark of the
 change data it contains. Readers see whole versions only, a rewrite may leave untouched
 partitions where they are, and a snapshot is a manifest that points to the same folders.
+
+A write has two steps: ``prepare`` writes the rows and counts them on the way, ``commit`` makes
+them the next version. Between the two they can be read and checked; ``reject`` keeps them as a
+version that never was, with the reasons.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +25,7 @@ from .operators.merge import ACTION, merge_counts
 from .storage import FileSystem
 
 _VERSION = "_v"
+_ACTIONS = ("I", "U", "D")
 
 
 @dataclass(frozen=True)
@@ -33,6 +38,19 @@ class Manifest:
     partitions: dict[str, str] = field(default_factory=dict)
     written: str = ""
     bookmark: int | None = None
+    #: Counted while the version was written: its new rows, those of each merge action, and what
+    #: the writer asked for besides.
+    counts: dict[str, int] = field(default_factory=dict)
+    #: What belongs to the version beside its rows, such as the versions of its index.
+    extra: dict = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Rows that are written but not yet a version."""
+
+    name: str
+    manifest: Manifest
 
 
 class TableStore:
@@ -71,25 +89,36 @@ class TableStore:
 
     # -- write and read --------------------------------------------------------------------------
 
-    def write(
+    def prepare(
         self,
         df: DataFrame,
         name: str,
         partition_by: Sequence[str] = (),
         bookmark: int | None = None,
         keep_partitions: Iterable[str] = (),
-    ) -> int:
-        """Write ``df`` as the next version.
-
-        ``keep_partitions`` names partition values of the previous version (single partition
-        column) that are carried over as they are; the caller does not include them in ``df``.
+        onto: int | None = None,
+        observe: Mapping[str, Column] | None = None,
+        options: Mapping[str, str] | None = None,
+    ) -> Prepared:
+        """Write ``df`` as what may become the next version.
+
+        ``keep_partitions`` names partition values of the previous version, or of version
+        ``onto`` (single partition column), that are carried over as they are; the caller does
+        not include them in ``df``. ``observe`` are further aggregates to take during the write,
+        ``options`` go to the Parquet writer.
         """
         known = self.versions(name)
         version = known[-1] + 1 if known else 1
         base = f"{self.root}/{name}/data"
         mark = f"{version:010d}-{uuid.uuid4().hex[:8]}"
         folder = f"{base}/{_VERSION}={mark}"
-        writer = df.write.mode("errorifexists")
+        metrics = {"rows": F.count(F.lit(1)), **(observe or {})}
+        if ACTION in df.columns:
+            metrics |= {f"rows_{a}": F.count_if(F.col(ACTION) == a) for a in _ACTIONS}
+        # Each task of the write counts its own rows; no other job is needed for the counts.
+        observation = Observation()
+        observed = df.observe(observation, *[m.alias(k) for k, m in metrics.items()])
+        writer = observed.write.mode("errorifexists").options(**(options or {}))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(folder)
@@ -99,11 +128,11 @@ class TableStore:
                 n.split("=", 1)[1]: f"{folder}/{n}" for n in self._fs.names(folder) if n.startswith(partition_by[0] + "=")
             }
             if known:
-                previous = self.manifest(name, known[-1]).partitions
+                previous = self.manifest(name, onto or known[-1]).partitions
                 partitions |= {v: previous[v] for v in keep_partitions if v not in partitions}
         elif list(keep_partitions):
             raise ValueError("partitions can be kept for a single partition column only")
-        return self._commit(
+        return Prepared(
             name,
             Manifest(
                 version=version,
@@ -114,9 +143,45 @@ class TableStore:
                 partitions=partitions,
                 written=mark,
                 bookmark=bookmark,
+                counts={k: int(v or 0) for k, v in observation.get.items()},
             ),
         )
 
+    def commit(self, prepared: Prepared, extra: Mapping | None = None) -> int:
+        """Make prepared rows the next version; fails when another writer came first."""
+        return self._commit(prepared.name, replace(prepared.manifest, extra=dict(extra or {})))
+
+    def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = (), *args, extra: Mapping | None = None, **options) -> int:
+        """Write ``df`` as the next version: ``prepare`` and ``commit`` in one."""
+        return self.commit(self.prepare(df, name, partition_by, *args, **options), extra)
+
+    def read_prepared(self, prepared: Prepared) -> DataFrame:
+        """The rows a commit would show, carried-over partitions included."""
+        return self._scan(prepared.manifest, prepared.manifest.folders).drop(_VERSION, ACTION)
+
+    def prepared_rows(self, prepared: Prepared) -> DataFrame:
+        """The rows that were written, with their merge action."""
+        manifest = prepared.manifest
+        return self._scan(manifest, [f for f in manifest.folders if f"/{_VERSION}={manifest.written}" in f]).drop(_VERSION)
+
+    def reject(self, prepared: Prepared, failures: Sequence[Mapping]) -> str:
+        """Leave prepared rows out of the table for good, and write down why; returns their mark."""
+        mark = prepared.manifest.written
+        record = {"manifest": prepared.manifest.__dict__, "failures": [dict(f) for f in failures]}
+        self._fs.create_text(f"{self.root}/{prepared.name}/rejected/{mark}.json", json.dumps(record))
+        return mark
+
+    def rejected(self, name: str) -> dict[str, list[dict]]:
+        """Failures of each rejected version of a table, by mark, in the order they were prepared."""
+        folder = f"{self.root}/{name}/rejected"
+        marks = sorted(f[:-5] for f in self._fs.names(folder) if f.endswith(".json"))
+        return {m: json.loads(self._fs.read_text(f"{folder}/{m}.json"))["failures"] for m in marks}
+
+    def read_rejected(self, name: str, mark: str) -> DataFrame:
+        """The rows of a rejected version, to look into."""
+        record = json.loads(self._fs.read_text(f"{self.root}/{name}/rejected/{mark}.json"))
+        return self.read_prepared(Prepared(name, Manifest(**record["manifest"])))
+
     def _scan(self, manifest: Manifest, folders: Sequence[str]) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(manifest.schema))
         if not folders:
@@ -129,9 +194,9 @@ class TableStore:
         manifest = self.manifest(name, version)
         return self._scan(manifest, manifest.folders).drop(_VERSION, ACTION)
 
-    def read_partitions(self, name: str, values: Iterable[str]) -> DataFrame:
-        """The latest version's rows with these partition values; other folders are not listed."""
-        manifest = self.manifest(name)
+    def read_partitions(self, name: str, values: Iterable[str], version: int | None = None) -> DataFrame:
+        """A version's rows with these partition values; other folders are not listed."""
+        manifest = self.manifest(name, version)
         return self._scan(manifest, [manifest.partitions[v] for v in values if v in manifest.partitions]).drop(
             _VERSION, ACTION
         )
@@ -145,9 +210,14 @@ class TableStore:
     def merge_counts(self, name: str, version: int | None = None) -> DataFrame:
         """Inserted, updated and deleted rows of the merge that wrote this version.
 
-        Only the action column is read.
+        They were counted during the write. Only for a version written without counts is the
+        action column read.
         """
-        return merge_counts(self.written_rows(name, version).select(ACTION))
+        counts = self.manifest(name, version).counts
+        if "rows_I" not in counts:
+            return merge_counts(self.written_rows(name, version).select(ACTION))
+        names = {"rows_inserted": "I", "rows_updated": "U", "rows_deleted": "D"}
+        return self.spark.range(1).select(*[F.lit(counts[f"rows_{a}"]).cast("long").alias(n) for n, a in names.items()])
 
     def read_or_empty(self, name: str, schema: str) -> DataFrame:
         """The latest version, or no rows of ``schema`` before the first."""

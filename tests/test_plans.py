@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,8 +139,8 @@ def test_fact_keys_point_to_their_members(built):
 
 
 def dimensions(spark, store):
-    store.write(spark.createDataFrame([(1, 1, "A", "c")], star.DIM_PRODUCT), "dim_product")
-    store.write(spark.createDataFrame([(1, 1, "N", "B")], star.DIM_BRANCH), "dim_branch")
+    store.write(spark.createDataFrame([(1, Decimal(1), "A", "c")], star.DIM_PRODUCT), "dim_product")
+    store.write(spark.createDataFrame([(1, Decimal(1), "N", "B")], star.DIM_BRANCH), "dim_branch")
     store.write(spark.createDataFrame([(1, "S1", "E1", "a", "b", "c")], star.DIM_STAFF), "dim_staff")
 
 
