@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import day_name, day_part, is_weekend_iso, month_part, quarter_part, year_part
 from ..operators import assign_keys, date_bounds, date_series, lookup, max_key, merge
-from ..operators.joins import BROADCAST_BYTES, fits_broadcast
+from ..index import KeyIndex
+from ..operators.joins import BROADCAST_BYTES
 from ..operators.merge import ACTION
 from ..tables import TableStore, log_step
-from . import clean
+from . import clean, late
 
 # Columns of the target tables.
 DIM_DATE = (
@@ -41,6 +42,7 @@ FACT_COLUMNS = [
 ]
 PERIOD = "sale_period"
 NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
+_ROW_BYTES = 16 * 14  # a row of the fact with its ids, all columns counted at the widest
 GRAINS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 
@@ -130,7 +132,7 @@ def lookup_staff(sales: DataFrame, staff: DataFrame, max_broadcast_bytes: int =
     return lookup(sales, known, "staff_id", "_id", ["staff_key"], max_broadcast_bytes=max_broadcast_bytes)
 
 
-def fact_rows(
+def keyed_sales(
     sales: DataFrame,
     dates: DataFrame,
     products: DataFrame,
@@ -138,7 +140,8 @@ def fact_rows(
     staff: DataFrame,
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Clean sales with the surrogate keys of their dimensions; unknown members give NULL."""
+    """Clean sales with the surrogate keys of their dimensions, NULL for unknown members, and the
+    business ids behind them."""
     rows = join_date(sales, dates)
     rows = lookup_product(rows, products, max_broadcast_bytes)
     rows = lookup_branch(rows, branches, max_broadcast_bytes)
@@ -146,9 +149,15 @@ def fact_rows(
     return rows.select(
         "sale_id", "date_key", "product_key", "branch_key", "staff_key", "sale_ts",
         *[F.col(c).cast("decimal(12,2)").alias(c) for c in ("volume_sold", "price", "cost", "revenue")],
+        *late.IDS,
     )
 
 
+def fact_rows(*args, **options) -> DataFrame:
+    """The columns of the fact from ``keyed_sales``, with the same arguments."""
+    return keyed_sales(*args, **options).drop(*late.IDS)
+
+
 def fact_sales(target: DataFrame, rows: DataFrame, **options) -> DataFrame:
     """Upsert by sale; a sale without an id is left out, as the id is the primary key."""
     return merge(target, rows, ["sale_id"], FACT_COLUMNS, null_keys="drop", unique_source=True, **options)
@@ -174,30 +183,86 @@ def write_fact(
     bookmark: int | None = None,
     grain: str = "month",
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    products: DataFrame | None = None,
+    observe: Mapping[str, Column] | None = None,
 ) -> int:
     """Merge rows into the stored fact, which is partitioned by period of sale.
 
-    The first write is a plain write. A later one rewrites only the periods that the rows fall in
-    or that hold an earlier version of one of their sales; the files of others stay in place.
+    The first write is a plain write. A later one asks the fact's key index for the periods that
+    hold an earlier version of one of the sales, and rewrites those and the periods the rows fall
+    in; no other part of the fact is read, and its files stay in place.
+
+    Rows with business ids (``keyed_sales``) also keep what waits for late members. With the raw
+    ``products`` given, sales that wait for members which their dimensions have gained since the
+    fact's last version get their keys in the same merge. Index, waiting entries and the
+    dimensions' versions are part of the fact's version.
     """
-    if not store.exists(name):
-        first = rows.filter(F.col("sale_id").isNotNull()).withColumn(ACTION, F.lit("I"))
-        return store.write(_laid_out(first, grain), name, [PERIOD], bookmark)
+    index = KeyIndex(store, name, "sale_id", PERIOD)
+    waiting = late.Waiting(store, name, PERIOD)
+    with_ids = all(i in rows.columns for i in late.IDS)
+    columns = ["sale_id", *FACT_COLUMNS]
+    usable = rows.filter(F.col("sale_id").isNotNull())
     # The rows are read several times below: write them once.
-    store.write(rows.filter(F.col("sale_id").isNotNull()), f"{name}_delta")
-    rows = store.read(f"{name}_delta")
-    small = fits_broadcast(rows, max_broadcast_bytes)
-    ids = rows.select("sale_id")
-    moved = store.read(name).select("sale_id", PERIOD).join(
-        F.broadcast(ids) if small else ids, "sale_id", "left_semi"
-    ).select(F.coalesce(PERIOD, F.lit(NO_PERIOD)))
-    # Distinct periods of two scans: they name folders in the manifest.
-    periods = rows.select(_period(grain).alias(PERIOD)).union(moved).distinct()
-    touched = sorted(r[PERIOD] for r in periods.toLocalIterator())
-    part = store.read_partitions(name, touched).drop(PERIOD)
-    merged = fact_sales(part, rows, small_source=small)
-    kept = [v for v in store.manifest(name).partitions if v not in touched]
-    return store.write(_laid_out(merged, grain), name, [PERIOD], bookmark, kept)
+    delta_version = store.write(usable.withColumn(PERIOD, _period(grain)), f"{name}_delta", observe=observe)
+    rows = store.read(f"{name}_delta", delta_version)
+    counted = store.manifest(f"{name}_delta", delta_version).counts
+    state = {"members": late.versions(store)} if with_ids else {}
+    if not store.exists(name):
+        first = rows.select(*columns).withColumn(ACTION, F.lit("I"))
+        draft = store.prepare(_laid_out(first, grain), name, [PERIOD], bookmark)
+        state["keys"] = index.build(rows.select("sale_id", PERIOD), counted.get("rows", 0))
+        if with_ids:
+            state["waiting"] = waiting.start(late.entries(rows, PERIOD, rows.limit(0)))
+        return store.commit(draft, state)
+
+    manifest = store.manifest(name)
+    before = dict(manifest.extra)
+    if "keys" not in before:  # a fact from before the index: its only full scan
+        stored_keys = store.read(name).select("sale_id", F.coalesce(PERIOD, F.lit(NO_PERIOD)).alias(PERIOD))
+        before["keys"] = index.build(stored_keys, stored_keys.count())
+    n = counted.get("rows", 0)
+    # The columns of the fact have a fixed width, so the number of rows bounds their size.
+    small = n * _ROW_BYTES <= max_broadcast_bytes
+    store.write(index.find(before["keys"], rows, small, n), f"{name}_found")
+    found = store.read(f"{name}_found")
+    fixes = _fixes(store, name, waiting, before, rows, products) if with_ids else None
+    # Distinct periods: they name folders in the manifest.
+    named = rows.select(PERIOD).unionByName(found.select(PERIOD))
+    named = named if fixes is None else named.unionByName(fixes.select(PERIOD))
+    touched = sorted(r[PERIOD] for r in named.distinct().collect())
+    part = store.read_partitions(name, touched, manifest.version).drop(PERIOD)
+    if fixes is None:
+        merged = fact_sales(part, rows.select(*columns), small_source=small)
+    else:
+        merged = fact_sales(late.apply(part, fixes), rows.select(*columns), small_source=small)
+        repaired = (F.col(ACTION) == "K") & F.col("_repaired")
+        merged = merged.withColumn(ACTION, F.when(repaired, F.lit("U")).otherwise(F.col(ACTION))).drop("_repaired")
+    kept = [v for v in manifest.partitions if v not in touched]
+    draft = store.prepare(_laid_out(merged, grain), name, [PERIOD], bookmark, kept, onto=manifest.version)
+    state["keys"] = index.add(before["keys"], rows.select("sale_id", PERIOD))
+    if with_ids:
+        now = late.entries(rows, PERIOD, found)
+        if fixes is not None:
+            now = now.unionByName(fixes.select("sale_id", PERIOD, *late.IDS))
+        state["waiting"] = waiting.add(before["waiting"], now) if "waiting" in before else waiting.start(now)
+    else:
+        state = {**{k: v for k, v in before.items() if k != "keys"}, **state}
+    return store.commit(draft, state)
+
+
+def _fixes(store, name, waiting, before, rows, products) -> DataFrame | None:
+    """Keys for stored sales whose members have come, written once; None when there is nothing new."""
+    if products is None or "waiting" not in before:
+        return None
+    members = late.new_members(store, before.get("members", {}))
+    found = late.repairs(waiting.read(before["waiting"]), PERIOD, members, products) if members else None
+    if found is None:
+        return None
+    # A sale that comes again now has its keys from today's dimensions.
+    again = rows.select("sale_id", F.lit(True).alias("_again"))
+    left = lookup(found, again, "sale_id", "sale_id", ["_again"]).filter(F.col("_again").isNull()).drop("_again")
+    version = store.write(left, f"{name}_repairs")
+    return store.read(f"{name}_repairs", version) if store.manifest(f"{name}_repairs", version).counts.get("rows", 0) else None
 
 
 def read_fact(store: TableStore, name: str = "fact_sales") -> DataFrame:
@@ -213,6 +278,41 @@ def init(store: TableStore) -> None:
         store.create(name, schema)
 
 
+def dimensions(store: TableStore) -> tuple[DataFrame, ...]:
+    """Dates, products, branches and staff, in the order ``keyed_sales`` takes them."""
+    return tuple(store.read(n) for n in ("dim_date", "dim_product", "dim_branch", "dim_staff"))
+
+
+def stage_sales(store: TableStore, sales: DataFrame, products: DataFrame, name: str) -> DataFrame:
+    """Clean sales, written once; sales without a timestamp are counted on the way."""
+    store.write(clean.sales_clean(sales, products), name, observe={"left_out": F.count_if(F.col("sale_ts").isNull())})
+    return store.read(name)
+
+
+def merge_members(store: TableStore, raw: Mapping[str, DataFrame]) -> None:
+    """Merge the members of all dimensions but the calendar from raw tables.
+
+    Tables that are not given leave their dimension as it is.
+    """
+    steps: dict[str, tuple[Callable[..., DataFrame], Callable[[], DataFrame], tuple[str, ...]]] = {
+        "dim_city": (dim_city, lambda: clean.cities_clean(raw["cities"]), ("cities",)),
+        "dim_branch": (dim_branch, lambda: clean.branches_clean(raw["branches"]), ("branches",)),
+        "dim_product": (dim_product, lambda: clean.products_clean(raw["products"]), ("products",)),
+        "dim_staff": (dim_staff, lambda: clean.staff_clean(raw["staff"], raw["employees"]), ("staff", "employees")),
+    }
+    for name, (step, source, needs) in steps.items():
+        if all(n in raw for n in needs):
+            staged = name.replace("dim_", "clean_")
+            store.write(source(), staged)
+            store.write(step(store.read_or_empty(name, SCHEMAS[name]), store.read(staged)), name)
+
+
+def log_fact(store: TableStore, what: str, staged: str) -> None:
+    """Log the fact's last merge and how many sales it left out."""
+    left_out = store.manifest(staged).counts.get("left_out", 0)
+    log_step(store, "LOAD_FACT_SALES", store.merge_counts("fact_sales"), f"{what}; {left_out} without a timestamp were left out")
+
+
 def build(
     store: TableStore,
     raw: Mapping[str, DataFrame],
@@ -226,32 +326,12 @@ def build(
     that several steps read are written once. Running again with the same input changes nothing,
     except that members without a usable id never match and are added again.
     """
-    staged: dict[str, DataFrame] = {
-        "clean_cities": clean.cities_clean(raw["cities"]),
-        "clean_branches": clean.branches_clean(raw["branches"]),
-        "clean_products": clean.products_clean(raw["products"]),
-        "clean_staff": clean.staff_clean(raw["staff"], raw["employees"]),
-        "clean_sales": clean.sales_clean(raw["sales"], raw["products"]),
-    }
-    for name, df in staged.items():
-        store.write(df, name)
-    sales = store.read("clean_sales")
+    sales = stage_sales(store, raw["sales"], raw["products"], "clean_sales")
     known_dates = store.read("dim_date") if store.exists("dim_date") else None
     store.write(dim_date(sales, known_dates), "dim_date")
-    merges: dict[str, tuple[Callable[..., DataFrame], str]] = {
-        "dim_city": (dim_city, "clean_cities"),
-        "dim_branch": (dim_branch, "clean_branches"),
-        "dim_product": (dim_product, "clean_products"),
-        "dim_staff": (dim_staff, "clean_staff"),
-    }
-    for name, (step, source) in merges.items():
-        store.write(step(store.read_or_empty(name, SCHEMAS[name]), store.read(source)), name)
-    rows = fact_rows(
-        sales, store.read("dim_date"), store.read("dim_product"), store.read("dim_branch"), store.read("dim_staff")
-    )
-    write_fact(store, rows, bookmark=bookmark)
-    left_out = sales.filter(F.col("sale_ts").isNull()).count()
-    log_step(store, "LOAD_FACT_SALES", store.merge_counts("fact_sales"), f"merged clean sales; {left_out} without a timestamp were left out")
+    merge_members(store, raw)
+    write_fact(store, keyed_sales(sales, *dimensions(store)), bookmark=bookmark, products=raw["products"])
+    log_fact(store, "merged clean sales", "clean_sales")
     if production is not None:
         store.publish(production, [*DIMENSIONS, "fact_sales"] if include_fact else DIMENSIONS)
     return store

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,29 +16,35 @@ from ..tables import TableStore, log_step
 from .ingest import auto_ingest
 
 
+#: Raw tables, or a function that gives them as they are now.
+Raw = Mapping[str, DataFrame] | Callable[[], Mapping[str, DataFrame]]
+
+
 def merge_sales_delta(
-    store: TableStore, zone: LandingZone, spec: LoadSpec, products: DataFrame
+    store: TableStore, zone: LandingZone, spec: LoadSpec, products: DataFrame, members: Raw | None = None
 ) -> bool:
     """Merge raw sales loaded since the fact's bookmark; true when there were any.
 
     The bookmark is part of the fact's version, so rows and bookmark move together and a repeated
     call finds nothing to do. New days extend the calendar first, as the fact keeps only sales on
-    a known day.
+    a known day. ``members`` are raw tables of the other dimensions (cities, branches, products,
+    employees, staff), which are then merged before the sales; sales of earlier merges that named
+    a member which has come since get its key. Without new sales, members wait for the next call.
     """
     bookmark = store.bookmark("fact_sales") or 0
     upto = zone.last_load(spec.table)
     delta = zone.changes_since(spec, bookmark).filter(F.col("load_id") <= upto).drop("load_id")
     if upto == bookmark or not has_changes(delta):
         return False
-    store.write(clean.sales_clean(delta, products), "clean_sales_delta")
-    sales = store.read("clean_sales_delta")
+    raw = members() if callable(members) else (members or {})
+    products = raw.get("products", products)
+    star.merge_members(store, raw)
+    sales = star.stage_sales(store, delta, products, "clean_sales_delta")
     known = store.read("dim_date") if store.exists("dim_date") else None
     store.write(star.dim_date(sales, known), "dim_date")
-    rows = star.fact_rows(
-        sales, store.read("dim_date"), store.read("dim_product"), store.read("dim_branch"), store.read("dim_staff")
-    )
-    star.write_fact(store, rows, bookmark=upto)
-    log_step(store, "LOAD_FACT_SALES", store.merge_counts("fact_sales"), "MERGE of changes")
+    rows = star.keyed_sales(sales, *star.dimensions(store))
+    star.write_fact(store, rows, bookmark=upto, products=products)
+    star.log_fact(store, "MERGE of changes", "clean_sales_delta")
     return True
 
 
@@ -48,10 +56,14 @@ def merge_deltas(
     source_dir: str,
     checkpoint: str,
     trigger: dict | None = None,
+    members: Raw | None = None,
     **options,
 ) -> StreamingQuery:
-    """Ingest new sales files and merge each batch's changes into the fact."""
+    """Ingest new sales files and merge each batch's changes into the fact.
+
+    With ``members``, each batch merges the other dimensions first.
+    """
     return auto_ingest(
         zone, spec, source_dir, checkpoint, trigger,
-        after_load=lambda _: merge_sales_delta(store, zone, spec, products), **options,
+        after_load=lambda _: merge_sales_delta(store, zone, spec, products, members), **options,
     )
