@@ -84,19 +84,25 @@ class KeyIndex:
         hits = parts.join(F.broadcast(asked) if small else asked, self.key, "left_semi")
         return hits.groupBy(self.key).agg(F.max_by(self.value, RUN).alias(self.value))
 
-    def add(self, state: dict, rows: DataFrame) -> dict:
-        """The state after these keys got these values; one row per key."""
+    def add(self, state: dict, rows: DataFrame, n_rows: int = 0) -> dict:
+        """The state after these keys got these values; one row per key.
+
+        When ``n_rows`` says that they are too many for a run, they go straight into the base.
+        """
         run = state["runs"] + 1
+        if state["recent_rows"] + n_rows > RECENT_ROWS + state["base_rows"] // RECENT_SHARE:
+            added = rows.select(self.key, self.value, F.lit(run).alias(RUN))
+            recent = self.store.read(self.recent, state["recent"]).unionByName(added) if state["runs"] else added
+            return self._folded({**state, "recent_rows": state["recent_rows"] + n_rows}, recent)
         kept = self.store.manifest(self.recent, state["recent"]).partitions
         recent, written = self._write_run(rows, run, kept, state["recent"])
         state = {**state, "recent": recent, "runs": run, "recent_rows": state["recent_rows"] + written}
         if run >= self.max_runs or state["recent_rows"] > RECENT_ROWS + state["base_rows"] // RECENT_SHARE:
-            return self._folded(state)
+            return self._folded(state, self.store.read(self.recent, recent))
         return state
 
-    def _folded(self, state: dict) -> dict:
+    def _folded(self, state: dict, recent: DataFrame) -> dict:
         """Recent changes moved into the base; only buckets they touch are read and written."""
-        recent = self.store.read(self.recent, state["recent"])
         rows = state["base_rows"] + state["recent_rows"]
         if rows > 4 * state["buckets"] * self.bucket_rows:  # outgrown: more buckets, all of them new
             everything = self._newest(self.store.read(self.base, state["base"]), recent)

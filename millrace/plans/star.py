@@ -223,8 +223,9 @@ def write_fact(
     n = counted.get("rows", 0)
     # The columns of the fact have a fixed width, so the number of rows bounds their size.
     small = n * _ROW_BYTES <= max_broadcast_bytes
-    store.write(index.find(before["keys"], rows, small, n), f"{name}_found")
-    found = store.read(f"{name}_found")
+    found = index.find(before["keys"], rows, small, n)
+    if with_ids:  # read again for what waits
+        found = store.read(f"{name}_found", store.write(found, f"{name}_found"))
     fixes = _fixes(store, name, waiting, before, rows, products) if with_ids else None
     # Distinct periods: they name folders in the manifest.
     named = rows.select(PERIOD).unionByName(found.select(PERIOD))
@@ -239,7 +240,7 @@ def write_fact(
         merged = merged.withColumn(ACTION, F.when(repaired, F.lit("U")).otherwise(F.col(ACTION))).drop("_repaired")
     kept = [v for v in manifest.partitions if v not in touched]
     draft = store.prepare(_laid_out(merged, grain), name, [PERIOD], bookmark, kept, onto=manifest.version)
-    state["keys"] = index.add(before["keys"], rows.select("sale_id", PERIOD))
+    state["keys"] = index.add(before["keys"], rows.select("sale_id", PERIOD), n)
     if with_ids:
         now = late.entries(rows, PERIOD, found)
         if fixes is not None:

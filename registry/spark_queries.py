@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 from millrace import functions as fn
 from millrace import operators as op
 from millrace.operators.merge import ACTION
-from millrace.plans import clean, holidays, star
+from millrace.plans import clean, holidays, late, star
 from millrace.sources import SPECS, LandingZone, LoadSpec, files, parse
 from millrace.sources.files import FILE
 from millrace.storage import work_folder
-from millrace.streaming import auto_ingest, merge_deltas
+from millrace.streaming import auto_ingest, merge_deltas, merge_sales_delta
 from millrace.tables import TableStore, last_step, log_details, log_step, log_summary
 
 from .inputs import raw, table
@@ -1118,6 +1118,29 @@ def merge_deltas_stream(spark, sf):
     return star.read_fact(store).drop("date_key")
 
 
+@register
+def late_members(spark, sf):
+    """Sales come before their members: the second lot brings the rest of both."""
+    zone, stage = _zone(spark)
+    store, spec = _store(spark), SPECS["sales"]
+    every = {n: raw(spark, sf, n) for n in ("cities", "branches", "products", "employees", "staff")}
+    early = {
+        **every,
+        "products": every["products"].filter("try_cast(product_id AS INT) % 3 <> 0"),
+        "branches": every["branches"].filter("try_cast(branch_id AS INT) % 2 = 0"),
+        "staff": every["staff"].filter("staff_id LIKE '%1' OR staff_id LIKE '%2'"),
+    }
+    for part, members in zip(_in_two(spark, sf), (early, every)):
+        stage_csv(part, stage)
+        zone.load(spec, stage)
+        merge_sales_delta(store, zone, spec, members["products"], members)
+    rows = star.read_fact(store)
+    for name, (business_id, key) in late.KINDS.items():
+        members = store.read(name).select(F.col(key).alias("_member"), business_id)
+        rows = op.lookup(rows, members, key, "_member", [business_id])
+    return rows.select("sale_id", *late.IDS, "sale_ts", "volume_sold", "price", "cost", "revenue")
+
+
 def _rename(old: str, new: str) -> None:
     QUERIES[new] = QUERIES.pop(old)
 

@@ -498,6 +498,12 @@ SELECTS: dict[str, str] = {
     "has_changes": """
         SELECT CAST(0 AS BIGINT) AS bookmark, count(*) > 0 AS changed FROM loaded_sales UNION ALL SELECT 1, false""",
     "merge_deltas": f"SELECT {out(FACT_OUT.replace('date_key:i ', ''))} FROM fact",
+    "late_members": f"""
+        SELECT {out('sale_id:i product_id:i branch_id:i staff_id:s sale_ts:s volume_sold:d price:d cost:d revenue:d')} FROM (
+          SELECT f.*, p.product_id, b.branch_id, s.staff_id FROM fact f
+          LEFT JOIN product_keys p ON p.product_key = f.product_key
+          LEFT JOIN branch_keys b ON b.branch_key = f.branch_key
+          LEFT JOIN staff_keys s ON s.staff_key = f.staff_key)""",
 }
 
 TABLES["all_days"] = """
@@ -508,6 +514,7 @@ TABLES["early"] = "SELECT sale_ts FROM typed_sales WHERE sale_ts < TIMESTAMP '19
 
 ORACLES: dict[str, str] = {key: with_tables(select) for key, select in SELECTS.items()}
 # Sales that came through a load lack the rows it rejects.
-ORACLES["merge_deltas"] = with_tables(
-    SELECTS["merge_deltas"], raw_sales=f"SELECT * FROM ({RECIPES['raw_sales'].strip()}) WHERE volume_sold <> 'bad'"
-)
+for _loaded in ("merge_deltas", "late_members"):
+    ORACLES[_loaded] = with_tables(
+        SELECTS[_loaded], raw_sales=f"SELECT * FROM ({RECIPES['raw_sales'].strip()}) WHERE volume_sold <> 'bad'"
+    )

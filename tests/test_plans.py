@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.index import KeyIndex
 from millrace.operators import has_changes, run_checks
 from millrace.plans import clean, holidays, star
 from millrace.sources import SPECS, LandingZone
@@ -210,6 +211,151 @@ def test_stream_of_deltas_equals_batch(spark, tmp_path, folder):
     assert not has_changes(zone.changes_since(SPECS["sales"], 2))
 
 
+def spoil(paths) -> None:
+    """Make files unreadable, so that a scan of one of them fails."""
+    from pathlib import Path
+
+    for path in paths:
+        for file in Path(path.removeprefix("file:")).glob("*.parquet"):
+            file.write_bytes(b"spoilt")
+
+
+def test_a_small_delta_reads_its_buckets_and_periods_only(spark, tmp_path, folder):
+    store, zone, spec = TableStore(spark, f"{folder}/t"), LandingZone(spark, f"{folder}/r"), SPECS["sales"]
+    dimensions(spark, store)
+    source, products = tmp_path / "sales", products_of(spark)
+    source.mkdir()
+    (source / "1.csv").write_text(header(*[f"{i},1,S1,1,2024-{1 + i % 12:02d}-05,1,1,1,1" for i in range(400)]))
+    zone.load(spec, str(source))
+    assert merge_sales_delta(store, zone, spec, products)
+    fact = store.manifest("fact_sales")
+    keys = store.manifest("fact_sales_keys", fact.extra["keys"]["base"])
+    assert len(keys.partitions) == fact.extra["keys"]["buckets"] == 16
+    index = KeyIndex(store, "fact_sales", "sale_id", "sale_period")
+    one = spark.createDataFrame([(Decimal(7),)], "sale_id decimal(38,0)")
+    (bucket,) = index.buckets_of(fact.extra["keys"], one)
+    found = index.find(fact.extra["keys"], one, True, 1)
+    assert rows(found) == [(7, "2024-08")]
+    assert {f.split("/bucket=")[1].split("/")[0] for f in found.inputFiles() if "/bucket=" in f} == {bucket}
+    # Sale 7 moves from August to January: nothing else may be read, so all else is spoilt.
+    spoil(p for b, p in keys.partitions.items() if b != bucket)
+    spoil(p for v, p in fact.partitions.items() if v not in ("2024-08", "2024-01"))
+    (source / "2.csv").write_text(header("7,1,S1,1,2024-01-20,9,1,1,1"))
+    zone.load(spec, str(source))
+    assert merge_sales_delta(store, zone, spec, products)
+    assert tuple(store.merge_counts("fact_sales").first()) == (0, 1, 0)
+    after = store.manifest("fact_sales")
+    changed = {v for v in after.partitions if after.partitions[v] != fact.partitions[v]}
+    assert changed == {"2024-01", "2024-08"}
+    assert index.find(after.extra["keys"], one, True, 1).collect()[0]["sale_period"] == "2024-01"
+
+
+def test_key_index_folds_and_grows(spark, folder):
+    store = TableStore(spark, folder)
+    index = KeyIndex(store, "t", "k", "v", bucket_rows=10, max_runs=3)
+    frame = lambda d: spark.createDataFrame(list(d.items()), "k long, v string")
+    want = {k: "a" for k in range(300)}
+    state = index.build(frame(want), len(want))
+    assert state["buckets"] == 32
+    everything = spark.range(3_000).select(F.col("id").alias("k"))
+    runs = []
+    for step in range(1, 9):
+        change = {k: f"s{step}" for k in range(step * 7, step * 7 + 30)} | {1000 + step * 200 + i: "new" for i in range(150)}
+        want |= change
+        before = store.manifest("t_keys", state["base"]).partitions
+        state = index.add(state, frame(change))
+        runs.append(state["runs"])
+        assert dict(rows(index.find(state, everything, False))) == want
+    assert 0 in runs and max(runs) == 2 and state["buckets"] > 32
+    # A run that died leaves versions that no state names.
+    index.add(state, frame({1: "lost"}))
+    state = index.add(state, frame({2: "kept"}))
+    assert dict(rows(index.find(state, everything, True))) == want | {2: "kept"}
+    assert before
+
+
+def test_sparse_changes_leave_other_buckets_in_place(spark, folder):
+    store = TableStore(spark, folder)
+    index = KeyIndex(store, "t", "k", "v", max_runs=1)
+    state = index.build(spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v")), 1000)
+    before = store.manifest("t_keys", state["base"]).partitions
+    state = index.add(state, spark.createDataFrame([(5, "b")], "k long, v string"))
+    after = store.manifest("t_keys", state["base"]).partitions
+    assert len(after) == len(before) == 16 and sum(after[b] != before[b] for b in before) == 1
+
+
+def natural(store):
+    """The fact with business ids in place of surrogate keys."""
+    fact = star.read_fact(store)
+    for name, business_id, key in (("dim_product", "product_id", "product_key"), ("dim_branch", "branch_id", "branch_key"), ("dim_staff", "staff_id", "staff_key")):
+        fact = fact.join(store.read(name).select(key, business_id), key, "left").drop(key)
+    return rows(fact.drop("date_key"))
+
+
+def members_of(spark, products, branches, staff):
+    return {
+        "products": spark.createDataFrame(products, PRODUCTS),
+        "branches": spark.createDataFrame(branches, "branch_id string, branch_name string, city_name string"),
+        "staff": spark.createDataFrame(staff, "staff_id string, employee_id string"),
+        "employees": spark.createDataFrame([("E1", "a", "b", None, "r")], "employee_id string, first_name string, last_name string, hire_date timestamp_ntz, role string"),
+    }
+
+
+def test_late_members_give_the_same_fact_as_a_full_build(spark, tmp_path, folder):
+    zone, spec, store = LandingZone(spark, f"{folder}/r"), SPECS["sales"], TableStore(spark, f"{folder}/t")
+    source = tmp_path / "sales"
+    source.mkdir()
+    p1, p2, p3 = ("1", "a", "c", "2.50"), ("2", "b", "c", "4.00"), ("3", "c", "c", "bad")
+    steps = [
+        # Sales 1 to 5 name members that are not there yet; 6 is whole; 7 has no timestamp.
+        (["1,1,S1,2,2024-01-05,2,,1,", "2,9,S1,1,2024-01-06,1,1,1,1", "3,1,S9,9,2024-02-05,1,,1,", "4,9,S9,2,2024-03-05,3,7,1,",
+          "5,1,S1,3,2024-03-06,3,,1,", "6,1,S1,1,2024-04-06,1,,1,", "7,1,S1,1,,1,1,1,1"], ([p1], [("1", "B", "N")], [("S1", "E1")])),
+        # Nothing new but a sale; sale 3 comes again with another unknown product.
+        (["8,1,S1,1,2024-05-01,1,1,1,1", "3,1,S9,2,2024-02-07,5,,1,"], ([p1], [("1", "B", "N")], [("S1", "E1")])),
+        # Products 2 and 3 arrive; sale 4 comes again in the same lot.
+        (["4,9,S9,1,2024-06-05,3,7,1,"], ([p1, p2, p3], [("1", "B", "N")], [("S1", "E1")])),
+        # The branch and the member of staff arrive.
+        (["10,9,S9,2,2024-07-01,1,,1,"], ([p1, p2, p3], [("1", "B", "N"), ("9", "Z", "N")], [("S1", "E1"), ("S9", "E1")])),
+    ]
+    for n, (lines, members) in enumerate(steps):
+        (source / f"{n}.csv").write_text(header(*lines))
+        zone.load(spec, str(source))
+        given = members_of(spark, *members)
+        assert merge_sales_delta(store, zone, spec, given["products"], given)
+    full = TableStore(spark, f"{folder}/full")
+    full_members = members_of(spark, *steps[-1][1])
+    cities = spark.createDataFrame([("1", "N")], "city_id string, city_name string")
+    star.build(full, {**full_members, "cities": cities, "sales": zone.table(spec)})
+    assert natural(store) == natural(full) and len(natural(store)) == 8
+    log = [r["notes"] for r in log_details(store).orderBy("started_at").collect()]
+    assert "; 1 without a timestamp" in log[0] and "; 0 without a timestamp" in log[1]
+    # Nothing waits any more but for what never came.
+    state = store.manifest("fact_sales").extra["waiting"]
+    from millrace.plans import late
+
+    waiting = late.latest(store.read("fact_sales_waiting", state["version"]), star.PERIOD)
+    assert waiting.filter("product_id IS NOT NULL OR branch_id IS NOT NULL OR staff_id IS NOT NULL").isEmpty()
+    # Repaired periods only were rewritten by the last merge: sales 2, 3, 4 and the new one.
+    versions = store.versions("fact_sales")
+    a, b = (store.manifest("fact_sales", v).partitions for v in versions[-2:])
+    assert {v for v in b if a.get(v) != b[v]} == {"2024-01", "2024-02", "2024-06", "2024-07"}
+
+
+def test_waiting_entries_fold(spark, folder):
+    from millrace.plans import late
+
+    store = TableStore(spark, folder)
+    schema = "sale_id decimal(38,0), sale_period string, product_id decimal(38,0), branch_id decimal(38,0), staff_id string"
+    entry = lambda *data: spark.createDataFrame([(Decimal(i), "p", p and Decimal(p), None, None) for i, p in data], schema)
+    waiting = late.Waiting(store, "f", "sale_period", max_runs=2)
+    state = waiting.start(entry((1, 5), (2, 6)))
+    state = waiting.add(state, entry((1, None), (3, 7)))
+    assert state["runs"] == 1
+    state = waiting.add(state, entry((2, 8)))
+    assert state["runs"] == 0
+    assert sorted((int(r["sale_id"]), int(r["product_id"])) for r in waiting.read(state).collect()) == [(2, 8), (3, 7)]
+
+
 # -- holidays -----------------------------------------------------------------------------------------------
 
 
