@@ -1,24 +1,28 @@
 """Loading staged files into raw tables with row-level rejects and per-file history.
 
 A load is one scan: each record is cast and marked ``loaded`` or ``rejected``, and one write puts
-both kinds under ``load_id=<n>/status=<kind>``. The per-file summary of a load is written after
-its rows and is its commit point, so a load that dies half way is invisible and its number is
-used again. Changes since a load are a partition filter on ``load_id``.
+both kinds under ``part=<mark>/status=<kind>``, a folder of the load's own. Its per-file summary
+follows. The load takes its number last, by creating ``loads/<n>.json``, which names the folder: the
+file can be created once, so of two writers one gets the number and the other tries the next, after
+a look at what the first has loaded. A load that dies half way has no number and is invisible, and
+numbers are in the order of commits, so that no reader of changes misses one.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..operators.joins import lookup
-from ..operators.keys import assign_keys, max_key
+from ..operators.joins import BROADCAST_BYTES, lookup
+from ..operators.keys import assign_keys
 from ..storage import FileSystem
 from .files import FILE, MALFORMED, list_stage, read_csv, read_json
 from .specs import Field, LoadSpec
@@ -26,7 +30,11 @@ from .specs import Field, LoadSpec
 STATUS, ERROR, RAW = "status", "_error", "_raw"
 LOADED, REJECTED, SKIPPED = "loaded", "rejected", "skipped"
 
-_HISTORY = "load_id long, file string, batch string, loaded_at timestamp, parsed long, loaded long, rejected long, first_error string"
+PART = "part"
+MAX_FILES, MAX_BYTES = 10_000, 1 << 40  # of one load
+_COMMIT = "load_id long, part string, batch string, highest long"
+_COMMIT_BYTES = 256
+_HISTORY = "file string, batch string, loaded_at timestamp, parsed long, loaded long, rejected long, first_error string"
 
 
 def _varchar(kind: str) -> int | None:
@@ -115,6 +123,16 @@ def apply_error_rule(marked: DataFrame, spec: LoadSpec) -> DataFrame:
     raise ValueError(f"unknown error rule: {spec.on_error}")
 
 
+@dataclass(frozen=True)
+class Load:
+    """A committed load: its number, its folder, its batch label and the highest identity so far."""
+
+    load_id: int
+    part: str
+    batch: str | None
+    highest: int
+
+
 class LandingZone:
     """Raw tables, their rejects and their load history below one root folder."""
 
@@ -131,32 +149,52 @@ class LandingZone:
     def _history_path(self, table: str) -> str:
         return f"{self.root}/{table}/history"
 
+    def _commit_path(self, table: str, load_id: int | None = None) -> str:
+        folder = f"{self.root}/{table}/loads"
+        return folder if load_id is None else f"{folder}/{load_id:010d}.json"
+
+    def _commit(self, table: str, load_id: int) -> Load | None:
+        """A committed load; None while its writer is at it."""
+        text = self._fs.read_text(self._commit_path(table, load_id))
+        return Load(**json.loads(text)) if text else None
+
     def last_load(self, table: str) -> int:
         """Number of the last committed load, 0 before the first."""
-        history = self._history_path(table)
-        numbers = (int(n.split("=", 1)[1]) for n in self._fs.names(history) if n.startswith("load_id="))
-        for n in sorted(numbers, reverse=True):
-            if self._fs.exists(f"{history}/load_id={n}/_SUCCESS"):
-                return n
-        return 0
+        names = self._fs.names(self._commit_path(table))
+        numbers = sorted((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), reverse=True)
+        return next((n for n in numbers if self._commit(table, n)), 0)
+
+    def _commits_since(self, table: str, after: int, upto: int) -> list[Load]:
+        return [c for c in (self._commit(table, n) for n in range(after + 1, upto + 1)) if c]
+
+    def _committed(self, table: str, path: str, schema: str, after: int, upto: int) -> DataFrame:
+        """What the loads after one and up to another have written below a folder, with ``load_id``.
+
+        Folders of a few loads are named, and no other is listed; all of them are the folder itself.
+        """
+        reader = self.spark.read.schema(f"{schema}, {PART} string").option("basePath", path)
+        if after:
+            loads = self._commits_since(table, after, upto)
+            rows = reader.parquet(*[f"{path}/{PART}={c.part}" for c in loads])
+            numbers = self.spark.createDataFrame([(c.load_id, c.part) for c in loads], f"load_id long, {PART} string")
+        else:
+            rows = reader.parquet(path)
+            numbers = self.spark.read.schema(_COMMIT).json(self._commit_path(table)).filter(F.col("load_id") <= upto)
+            numbers = numbers.select("load_id", PART)
+        if upto * _COMMIT_BYTES <= BROADCAST_BYTES:  # one short row per load
+            return rows.join(F.broadcast(numbers), PART).drop(PART)
+        return lookup(rows, numbers, PART, PART, ["load_id"], how="inner").drop(PART)
 
     def _rows(self, spec: LoadSpec, after: int = 0) -> DataFrame:
-        """Rows of committed loads after a number; only their folders are listed."""
+        """Rows of committed loads after a number."""
         last = self.last_load(spec.table)
-        fields = [T.StructField(f.name, T._parse_datatype_string(_type_of(f.type))) for f in spec.fields]
+        fields = [f"`{f.name}` {_type_of(f.type)}" for f in spec.fields]
         if spec.identity:
-            fields.insert(0, T.StructField(spec.identity, T.LongType()))
-        fields += [T.StructField(n, T.StringType()) for n in (ERROR, RAW, FILE)]
-        fields += [T.StructField("loaded_at", T.TimestampType())]
-        fields += [T.StructField("load_id", T.LongType()), T.StructField(STATUS, T.StringType())]
-        schema = T.StructType(fields)
+            fields.insert(0, f"`{spec.identity}` long")
+        schema = ", ".join([*fields, *[f"`{n}` string" for n in (ERROR, RAW, FILE)], "loaded_at timestamp", f"{STATUS} string"])
         if last <= after:
-            return self.spark.createDataFrame([], schema)
-        root = self._rows_path(spec.table)
-        reader = self.spark.read.schema(schema).option("basePath", root)
-        if after == 0:
-            return reader.parquet(root).filter(F.col("load_id") <= last)
-        return reader.parquet(*[f"{root}/load_id={n}" for n in range(after + 1, last + 1)])
+            return self.spark.createDataFrame([], f"{schema}, load_id long")
+        return self._committed(spec.table, self._rows_path(spec.table), schema, after, last)
 
     # -- reading -----------------------------------------------------------------------------------
 
@@ -165,7 +203,7 @@ class LandingZone:
         return self.changes_since(spec, 0).drop("load_id")
 
     def changes_since(self, spec: LoadSpec, bookmark: int) -> DataFrame:
-        """Rows of loads after ``bookmark``, with ``load_id``; older folders are not read."""
+        """Rows of loads after ``bookmark``, with ``load_id``; older folders are not listed."""
         columns = ([spec.identity] if spec.identity else []) + spec.columns
         rows = self._rows(spec, bookmark).filter(F.col(STATUS) == LOADED)
         return rows.select(*columns, "load_id")
@@ -179,11 +217,16 @@ class LandingZone:
     def load_history(self, spec: LoadSpec, since: Column | None = None) -> DataFrame:
         """Per file and load: records parsed, loaded and rejected, and the first error."""
         last = self.last_load(spec.table)
-        if last == 0:
-            return self.spark.createDataFrame([], _HISTORY)
-        rows = self.spark.read.schema(_HISTORY).parquet(self._history_path(spec.table)).filter(F.col("load_id") <= last)
+        rows = self._history(spec, 0, last)
         return rows if since is None else rows.filter(F.col("loaded_at") >= since)
 
+    def _history(self, spec: LoadSpec, after: int, upto: int) -> DataFrame:
+        columns = [c.split()[0] for c in _HISTORY.split(", ")]
+        if upto <= after:
+            return self.spark.createDataFrame([], f"load_id long, {_HISTORY}")
+        rows = self._committed(spec.table, self._history_path(spec.table), _HISTORY, after, upto)
+        return rows.select("load_id", *columns)
+
     # -- loading -------------------------------------------------------------------------------------
 
     def new_files(self, spec: LoadSpec, path: str) -> DataFrame:
@@ -192,17 +235,38 @@ class LandingZone:
         seen = self.load_history(spec).select("file").distinct()
         return listed.join(seen, "file", "left_anti")
 
-    def load(self, spec: LoadSpec, path: str) -> int | None:
+    def load(self, spec: LoadSpec, path: str, max_files: int = MAX_FILES, max_bytes: int = MAX_BYTES) -> int | None:
         """Load the files below ``path`` (or one named file) not loaded before.
 
-        Returns the load number, None when there was nothing new. Only file names come to the
-        driver, which has to list the files to scan them anyway.
+        Many files are loaded in lots of at most so many files or bytes (a larger file is a lot of
+        its own), each committed by itself; started again after an interruption, the next call goes
+        on with the files that are left. Returns the number of the last load, None when there was
+        nothing new. The list of new files is written once; the driver sees one lot's names at a time.
         """
-        new = [(r["path"], r["file"]) for r in self.new_files(spec, path).toLocalIterator()]
-        if not new:
-            return None
-        read = self.reader(spec)
-        return self.write_load(spec, read(self.spark, [p for p, _ in new]), files=[f for _, f in new])
+        read, last = self.reader(spec), None
+        for lot in self._lots(spec, path, max_files, max_bytes):
+            names = [f for _, f in lot]
+            last = self.write_load(spec, read(self.spark, [p for p, _ in lot]), files=names) or last
+        return last
+
+    def _lots(self, spec: LoadSpec, path: str, max_files: int, max_bytes: int) -> Iterator[list[tuple[str, str]]]:
+        listing = f"{self.root}/{spec.table}/listings/{uuid.uuid4().hex}"
+        numbered = assign_keys(self.new_files(spec, path).select("path", "size", "file"), "n", ["path"])
+        seen = Observation()
+        lot = F.floor((F.col("n") - 1) / max_files).cast("long")
+        numbered.withColumn("lot", lot).observe(seen, F.max("lot").alias("last")).write.partitionBy("lot").parquet(listing)
+        last = seen.get.get("last")
+        for k in range(-1 if last is None else last + 1):
+            files = self.spark.read.schema("path string, size long, file string, n long").parquet(f"{listing}/lot={k}")
+            part, size = [], 0
+            for r in files.orderBy("n").collect():  # max_files rows at most
+                if part and size + r["size"] > max_bytes:
+                    yield part
+                    part, size = [], 0
+                part.append((r["path"], r["file"]))
+                size += r["size"]
+            if part:
+                yield part
 
     refresh = load
 
@@ -223,55 +287,104 @@ class LandingZone:
     def write_load(
         self, spec: LoadSpec, records: DataFrame, batch: str | None = None, files: Sequence[str] = ()
     ) -> int | None:
-        """Write one batch of text records as the next load; one writer per table at a time.
+        """Write one batch of text records as the next load; several writers may do so at a time.
 
         A ``batch`` label that a committed load carries is not loaded again, nor are, under a
         label, files that other loads have in the history. ``files`` names the files read, so that
-        those without rows enter the history too.
+        those without rows enter the history too. None when nothing was left to load.
+
+        A writer that finds its number taken looks which files the other loads hold: it writes its
+        rows again without those (or with other identity numbers), and else only takes the next
+        number.
         """
-        if batch is not None and self._is_loaded(spec, batch):
-            return None
-        if batch is not None and self.last_load(spec.table):
-            others = self.load_history(spec).filter(~F.col("batch").eqNullSafe(F.lit(batch)))
-            seen = others.select("file").distinct().withColumn("_seen", F.lit(True))
-            records = lookup(records, seen, FILE, "file", ["_seen"]).filter(F.col("_seen").isNull()).drop("_seen")
-        load_id = self.last_load(spec.table) + 1
+        last = self.last_load(spec.table)
+        if batch is not None:
+            if self._is_loaded(spec, batch):
+                return None
+            if last:
+                others = self._history(spec, 0, last).filter(~F.col("batch").eqNullSafe(F.lit(batch)))
+                records, files = self._without(records, files, others)
+        while True:
+            load = self._write_rows(spec, records, batch, files, last)
+            if load is None:
+                return None
+            while True:
+                if self._try_commit(spec.table, load):
+                    return load.load_id
+                before, last = last, load.load_id
+                others = self._history(spec, before, last)
+                mine = self.spark.read.schema(_HISTORY).parquet(f"{self._history_path(spec.table)}/{PART}={load.part}")
+                shared = not mine.join(others.select("file"), "file", "left_semi").isEmpty()
+                if shared or spec.identity:
+                    break
+                load = Load(last + 1, load.part, batch, load.highest)
+            if shared:
+                records, files = self._without(records, files, others)
+                if batch is None and not files:
+                    return None
+
+    def _without(self, records: DataFrame, files: Sequence[str], others: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Records and names of those files that other loads do not hold."""
+        seen = others.select("file").distinct().withColumn("_seen", F.lit(True))
+        rest = lookup(records, seen, FILE, "file", ["_seen"]).filter(F.col("_seen").isNull()).drop("_seen")
+        if files:
+            listed = self.spark.createDataFrame([(f,) for f in files], "file string")
+            taken = {r[0] for r in listed.join(others, "file", "left_semi").collect()}
+            files = [f for f in files if f not in taken]
+        return rest, list(files)
+
+    def _write_rows(self, spec: LoadSpec, records: DataFrame, batch: str | None, files: Sequence[str], last: int) -> Load | None:
+        """Rows and history in a folder of their own, for a load after ``last``."""
+        part = f"{last + 1:010d}-{uuid.uuid4().hex[:12]}"
         if batch is not None:
-            self._fs.create_text(self._batch_path(spec, batch), str(load_id), overwrite=True)
+            self._fs.create_text(self._batch_path(spec, batch), json.dumps({"part": part, "after": last}), overwrite=True)
         marked = apply_error_rule(parse(records, spec), spec)
+        highest = self._commit(spec.table, last).highest if last else 0
         if spec.identity:
-            marked = self._with_identity(spec, marked)
-        folder = f"{self._rows_path(spec.table)}/load_id={load_id}"
-        marked.withColumn("loaded_at", F.current_timestamp()).write.mode("overwrite").partitionBy(STATUS).parquet(folder)
-        self._write_history(spec, load_id, folder, batch, files)
-        return load_id
+            marked = self._with_identity(spec, marked, highest)
+        counted = Observation()
+        folder = f"{self._rows_path(spec.table)}/{PART}={part}"
+        marked = marked.withColumn("loaded_at", F.current_timestamp()).observe(
+            counted, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(STATUS) == LOADED).alias("good")
+        )
+        marked.write.partitionBy(STATUS).parquet(folder)
+        counts = counted.get
+        if not counts.get("rows") and not files:
+            return None
+        self._write_history(spec, part, folder, batch, files)
+        # The identity numbers of this load are reserved with its commit.
+        return Load(last + 1, part, batch, highest + (counts.get("good") or 0) if spec.identity else 0)
+
+    def _try_commit(self, table: str, load: Load) -> bool:
+        """Whether the load got its number."""
+        path = self._commit_path(table, load.load_id)
+        try:
+            self._fs.create_text(path, json.dumps(load.__dict__))
+        except Exception:
+            if self._fs.exists(path):
+                return False
+            raise
+        return True
 
     def _batch_path(self, spec: LoadSpec, batch: str) -> str:
         return f"{self.root}/{spec.table}/batches/{hashlib.md5(batch.encode()).hexdigest()}"
 
     def _is_loaded(self, spec: LoadSpec, batch: str) -> bool:
-        """Whether the load last begun for a batch label was committed under that label."""
+        """Whether the rows last written for a batch label were committed."""
         path = self._batch_path(spec, batch)
         if not self._fs.exists(path):
             return False
-        folder = f"{self._history_path(spec.table)}/load_id={self._fs.read_text(path)}"
-        if not self._fs.exists(f"{folder}/_SUCCESS"):
-            return False
-        return not self.spark.read.schema(_HISTORY).parquet(folder).filter(F.col("batch") == batch).isEmpty()
-
-    def _with_identity(self, spec: LoadSpec, marked: DataFrame) -> DataFrame:
-        good = assign_keys(
-            marked.filter(F.col(STATUS) == LOADED),
-            spec.identity,
-            spec.columns,
-            max_key(self.table(spec), spec.identity),
-        )
+        tried = json.loads(self._fs.read_text(path))
+        later = self._commits_since(spec.table, tried["after"], self.last_load(spec.table))
+        return any(c.part == tried["part"] and c.batch == batch for c in later)
+
+    def _with_identity(self, spec: LoadSpec, marked: DataFrame, start: int) -> DataFrame:
+        """Good rows numbered on from the highest number that the loads before have reserved."""
+        good = assign_keys(marked.filter(F.col(STATUS) == LOADED), spec.identity, spec.columns, start)
         rest = marked.filter(F.col(STATUS) != LOADED).withColumn(spec.identity, F.lit(None).cast("bigint"))
         return good.unionByName(rest)
 
-    def _write_history(
-        self, spec: LoadSpec, load_id: int, folder: str, batch: str | None, files: Sequence[str] = ()
-    ) -> None:
+    def _write_history(self, spec: LoadSpec, part: str, folder: str, batch: str | None, files: Sequence[str] = ()) -> None:
         # A partition column of the folder, so the schema names it; nothing else but it, the file
         # name and the error is read.
         schema = f"{FILE} string, {ERROR} string, {STATUS} string"
@@ -294,4 +407,4 @@ class LandingZone:
             "loaded",
             "rejected",
             "first_error",
-        ).write.mode("overwrite").parquet(f"{self._history_path(spec.table)}/load_id={load_id}")
+        ).write.parquet(f"{self._history_path(spec.table)}/{PART}={part}")

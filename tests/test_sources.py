@@ -205,7 +205,117 @@ def test_a_replayed_batch_is_not_loaded_twice(spark, folder):
     batch = spark.createDataFrame([("S1", "E1", "f")], "staff_id string, employee_id string, _file string")
     assert zone.write_load(spec, batch, "q#0") == 1
     assert zone.write_load(spec, batch, "q#0") is None
-    assert zone.write_load(spec, batch, "q#1") == 2
+    # The same file under another label leaves nothing to load, and takes no number.
+    assert zone.write_load(spec, batch, "q#1") is None
+    assert zone.write_load(spec, batch.withColumn("_file", F.lit("g")), "q#2") == 2
+
+
+def test_two_writers_lose_nothing(spark, folder, monkeypatch):
+    """A second writer commits while the first one's rows are written, again and again."""
+    spec = SPECS["staff"]
+    one, two = LandingZone(spark, folder), LandingZone(spark, folder)
+    data = lambda *names: spark.createDataFrame([(n, "E", f"file-{n}") for n in names], "staff_id string, employee_id string, _file string")
+    real, pending = LandingZone._write_history, [("b", "c"), ("d",)]
+
+    def and_then_another(self, *args, **options):
+        real(self, *args, **options)
+        if self is one and pending:
+            two.write_load(spec, data(*pending.pop(0)))
+
+    monkeypatch.setattr(LandingZone, "_write_history", and_then_another)
+    # Both have file-b; the first writer notices and leaves it to the second.
+    assert one.write_load(spec, data("a", "b"), files=["file-a", "file-b", "file-empty"]) == 3
+    assert one.write_load(spec, data("e")) == 4
+    assert sorted(r["staff_id"] for r in one.table(spec).collect()) == ["a", "b", "c", "d", "e"]
+    loads = {r["file"]: r["load_id"] for r in one.load_history(spec).collect()}
+    assert loads == {"file-b": 1, "file-c": 1, "file-d": 2, "file-a": 3, "file-empty": 3, "file-e": 4}
+    assert sorted(r["staff_id"] for r in one.changes_since(spec, 2).collect()) == ["a", "e"]
+    pending.append(("g",))
+    assert one.write_load(spec, data("g"), files=["file-g"]) is None  # nothing left to load
+    assert one.table(spec).filter("staff_id = 'g'").count() == 1
+
+
+def test_two_writers_of_an_identity_column(spark, folder, monkeypatch):
+    spec = SPECS["branches"]
+    one, two = LandingZone(spark, folder), LandingZone(spark, folder)
+    data = lambda *names: spark.createDataFrame([(n, "c", f"file-{n}") for n in names], "branch_name string, city_name string, _file string")
+    real, pending = LandingZone._write_history, [("x", "y")]
+
+    def and_then_another(self, *args, **options):
+        real(self, *args, **options)
+        if self is one and pending:
+            two.write_load(spec, data(*pending.pop()))
+
+    monkeypatch.setattr(LandingZone, "_write_history", and_then_another)
+    one.write_load(spec, data("a", "b", "c"))
+    one.write_load(spec, data("d"))
+    assert sorted(r["branch_id"] for r in one.table(spec).collect()) == [1, 2, 3, 4, 5, 6]
+    ids = {r["branch_name"]: r["branch_id"] for r in one.table(spec).collect()}
+    assert {ids["x"], ids["y"]} == {1, 2} and ids["d"] == 6
+
+
+def test_identity_reads_no_earlier_rows(spark, stage, folder):
+    zone, spec = LandingZone(spark, folder), SPECS["branches"]
+    write(stage / "b" / "1.json", json.dumps([{"branch_name": n, "city_name": "c"} for n in "abc"]))
+    zone.load(spec, str(stage / "b"))
+    from pathlib import Path
+
+    first = list(Path(folder).glob("branches/rows/**/*.parquet"))
+    contents = {f: f.read_bytes() for f in first}
+    for f in first:
+        f.write_bytes(b"spoilt")
+    write(stage / "b" / "2.json", json.dumps([{"branch_name": "d", "city_name": "c"}]))
+    zone.load(spec, str(stage / "b"))
+    assert [r["branch_id"] for r in zone.changes_since(spec, 1).collect()] == [4]
+    assert contents and zone._commit("branches", 2).highest == 4
+
+
+def test_a_first_load_in_lots_goes_on_after_an_interruption(spark, stage, folder, monkeypatch):
+    zone, spec = LandingZone(spark, folder), SPECS["staff"].with_options(multi_line=False)
+    for i in range(23):
+        write(stage / "s" / f"{i:02d}.json", json.dumps({"staff_id": f"S{i}", "employee_id": "E"}) if i else "\n")
+    real, calls = LandingZone.write_load, []
+
+    def breaks(self, *args, **options):
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        calls.append(options["files"])
+        return real(self, *args, **options)
+
+    monkeypatch.setattr(LandingZone, "write_load", breaks)
+    with pytest.raises(RuntimeError):
+        zone.load(spec, str(stage / "s"), max_files=5)
+    assert zone.last_load("staff") == 2 and all(len(c) == 5 for c in calls)
+    monkeypatch.setattr(LandingZone, "write_load", real)
+    assert zone.load(spec, str(stage / "s"), max_files=5) == 5
+    assert zone.load(spec, str(stage / "s"), max_files=5) is None
+    assert sorted(r["staff_id"] for r in zone.table(spec).collect()) == sorted(f"S{i}" for i in range(1, 23))
+    assert zone.load_history(spec).count() == 23
+    sizes = [len(lot) for lot in LandingZone(spark, f"{folder}/x")._lots(spec, str(stage / "s"), 100, 100)]
+    assert sum(sizes) == 23 and max(sizes) <= 4  # 37 or 38 bytes a file, but one
+
+
+def test_streamed_files_without_rows_enter_the_history(spark, stage, folder):
+    zone, spec = LandingZone(spark, f"{folder}/raw"), SPECS["sales"]
+    write(stage / "sales" / "a.csv", SALES)
+    write(stage / "sales" / "empty.csv", SALES.splitlines()[0] + "\n")
+    run(zone, spec, str(stage / "sales"), f"{folder}/checkpoint")
+    write(stage / "sales" / "later.csv", SALES.splitlines()[0] + "\n")
+    run(zone, spec, str(stage / "sales"), f"{folder}/checkpoint")
+    history = {r["file"].rsplit("/", 1)[1]: (r["load_id"], r["parsed"]) for r in zone.load_history(spec).collect()}
+    assert history["empty.csv"] == (1, 0) and history["later.csv"] == (2, 0) and len(history) == 3
+    # Read again under another checkpoint: nothing is left, and no load is made.
+    run(zone, spec, str(stage / "sales"), f"{folder}/checkpoint2")
+    assert zone.last_load("sales") == 2
+
+
+def test_a_stream_skips_a_bad_file_where_no_rule_is_given(spark, stage, folder):
+    zone, spec = LandingZone(spark, f"{folder}/raw"), SPECS["cities"].with_options(multi_line=False)
+    assert spec.on_error == "abort"
+    write(stage / "c" / "bad.json", '{"city_name": "ok"}\n{"other": 1}')
+    write(stage / "c" / "good.json", '{"city_name": "Nairobi"}')
+    run(zone, spec, str(stage / "c"), f"{folder}/checkpoint")
+    assert [r["city_name"] for r in zone.table(spec).collect()] == ["Nairobi"]
 
 
 def test_scheduled_trigger(spark, stage, folder):
