@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from ..operators import (
     rename_passthrough,
     required_key_filter,
 )
+from ..audit import write_checked
 from ..operators.merge import ACTION
 from ..tables import TableStore
 
@@ -104,12 +107,13 @@ def merge_holidays(target: DataFrame, rows: DataFrame, **options) -> DataFrame:
 
 
 def run_model(store: TableStore, raw: DataFrame, names: dict[str, str] | None = None, name: str = "holidays") -> int:
-    """Build the table on the first run, merge into it afterwards."""
+    """Build the table on the first run, merge into it afterwards; a version that fails one of
+    ``CHECKS`` is not published."""
     rows = holidays_clean(raw, names).withColumn(PROCESSED_AT, F.current_timestamp())
     return incremental(store, rows, name)
 
 
-def incremental(store: TableStore, rows: DataFrame, name: str) -> int:
+def incremental(store: TableStore, rows: DataFrame, name: str, checks: Sequence = CHECKS) -> int:
     if not store.exists(name):
-        return store.write(rows.withColumn(ACTION, F.lit("I")), name)
-    return store.write(merge_holidays(store.read(name), rows), name)
+        return write_checked(store, rows.withColumn(ACTION, F.lit("I")), name, checks)
+    return write_checked(store, merge_holidays(store.read(name), rows), name, checks)

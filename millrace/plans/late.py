@@ -84,23 +84,25 @@ def versions(store: TableStore) -> dict[str, int]:
 def new_members(store: TableStore, since: Mapping[str, int]) -> dict[str, DataFrame]:
     """Business id and key of the members each dimension has gained since these versions.
 
-    A dimension without a version there counts as new as a whole.
+    A dimension without a version there, or with versions since that are no longer kept, counts as
+    new as a whole.
     """
     found = {}
     for name, (business_id, key) in KINDS.items():
         now = versions(store).get(name)
         if now is None or now == since.get(name):
             continue
-        gained = None
-        for v in range(since.get(name, now) + 1, now + 1):
+        gained, kept = None, store.versions(name)
+        between = range(since.get(name, now) + 1, now + 1)
+        if name not in since or any(v not in kept for v in between):
+            gained, between = store.read(name).select(business_id, key), ()
+        for v in between:
             if store.manifest(name, v).counts.get("rows_I") == 0:
                 continue
             rows = store.written_rows(name, v)
             rows = rows.filter(F.col(ACTION) == "I") if ACTION in rows.columns else rows
             rows = rows.select(business_id, key)
             gained = rows if gained is None else gained.unionByName(rows)
-        if name not in since:
-            gained = store.read(name).select(business_id, key)
         if gained is not None:
             found[name] = gained.filter(F.col(business_id).isNotNull()).dropDuplicates([business_id])
     return found

@@ -213,7 +213,7 @@ def write_fact(
         state["keys"] = index.build(rows.select("sale_id", PERIOD), counted.get("rows", 0))
         if with_ids:
             state["waiting"] = waiting.start(late.entries(rows, PERIOD, rows.limit(0)))
-        return store.commit(draft, state)
+        return store.commit(draft, _with_needs(name, state))
 
     manifest = store.manifest(name)
     before = dict(manifest.extra)
@@ -248,7 +248,15 @@ def write_fact(
         state["waiting"] = waiting.add(before["waiting"], now) if "waiting" in before else waiting.start(now)
     else:
         state = {**{k: v for k, v in before.items() if k != "keys"}, **state}
-    return store.commit(draft, state)
+    return store.commit(draft, _with_needs(name, state))
+
+
+def _with_needs(name: str, state: dict) -> dict:
+    """The state and the versions of other tables it names, which must live as long as it does."""
+    needs = {f"{name}_keys": state["keys"]["base"], f"{name}_keys_recent": state["keys"]["recent"]}
+    if "waiting" in state:
+        needs[f"{name}_waiting"] = state["waiting"]["version"]
+    return {**state, "needs": needs}
 
 
 def _fixes(store, name, waiting, before, rows, products) -> DataFrame | None:

@@ -408,3 +408,19 @@ class LandingZone:
             "rejected",
             "first_error",
         ).write.parquet(f"{self._history_path(spec.table)}/{PART}={part}")
+
+    # -- retention ------------------------------------------------------------------------------------
+
+    def sweep(self, spec: LoadSpec, grace: float = 86_400.0) -> list[str]:
+        """Delete what no committed load names: folders of writers that died, and old lists of files.
+
+        Folders changed in the last ``grace`` seconds may belong to a load under way and are left.
+        """
+        last = self.last_load(spec.table)
+        named = {f"{PART}={c.part}" for c in self._commits_since(spec.table, 0, last)}
+        swept = []
+        for path, kept in ((self._rows_path(spec.table), named), (self._history_path(spec.table), named), (f"{self.root}/{spec.table}/listings", set())):
+            swept += [f"{path}/{n}" for n in self._fs.names(path) if n not in kept and self._fs.age(f"{path}/{n}") >= grace]
+        for folder in swept:
+            self._fs.delete(folder)
+        return swept

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,6 +27,14 @@ class FileSystem:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
+    def delete(self, path: str) -> None:
+        """Delete a file, or a folder with all it holds."""
+        self._fs.delete(self._path(path), True)
+
+    def age(self, path: str) -> float:
+        """Seconds since a file or folder was last changed."""
+        return time.time() - self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
@@ -46,9 +56,26 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
     A local master without that setting takes the session's warehouse folder instead.
     """
+    return f"{_work_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def sweep_work(spark: SparkSession, older_than: float) -> list[str]:
+    """Delete work folders not changed for so many seconds; returns their names.
+
+    Choose a time no job lasts: a running job's tables lie in such folders.
+    """
+    base = _work_base(spark)
+    fs = FileSystem(spark, base)
+    old = [n for n in fs.names(base) if re.fullmatch(r".+-[0-9a-f]{12}", n) and fs.age(f"{base}/{n}") > older_than]
+    for name in old:
+        fs.delete(f"{base}/{name}")
+    return old
+
+
+def _work_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return base.rstrip("/")

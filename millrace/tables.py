@@ -12,6 +12,7 @@ version that never was, with the reasons.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
@@ -25,6 +26,7 @@ from .operators.merge import ACTION, merge_counts
 from .storage import FileSystem
 
 _VERSION = "_v"
+_PUBLISHED = "_published"
 _ACTIONS = ("I", "U", "D")
 
 
@@ -254,17 +256,82 @@ class TableStore:
         rewrites the data. Later writes on either side do not show on the other.
         """
         done = {}
+        if not copy:  # from now on this store keeps what the other one's manifests name
+            known = f"{self.root}/{_PUBLISHED}/{hashlib.md5(target.root.encode()).hexdigest()}"
+            self._fs.create_text(known, target.root, overwrite=True)
         for name in names:
             if copy:
                 manifest = self.manifest(name)
                 done[name] = target.write(self.read(name), name, manifest.partition_by, manifest.bookmark)
                 continue
             known = target.versions(name)
-            manifest = Manifest(**{**self.manifest(name).__dict__, "version": known[-1] + 1 if known else 1})
+            manifest = replace(self.manifest(name), version=known[-1] + 1 if known else 1, extra={})
             done[name] = target._commit(name, manifest)
         return done
 
 
+    # -- retention -----------------------------------------------------------------------------------
+
+    def tables(self) -> list[str]:
+        return [n for n in self._fs.names(self.root) if self._fs.exists(f"{self.root}/{n}/versions")]
+
+    def _manifest_path(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/versions/{version:010d}.json"
+
+    def _needed(self, name: str, keep: int) -> set[int]:
+        """Versions of a table that stay: the newest, and those that another table's versions name."""
+        stay = set(self.versions(name)[-keep:])
+        for other in self.tables():
+            for version in self.versions(other):
+                stay.update(v for t, v in self.manifest(other, version).extra.get("needs", {}).items() if t == name)
+        return stay
+
+    def _named_folders(self, name: str) -> set[str]:
+        """Folders of a table's data that any manifest names: its own, rejected, or of a store it was published to."""
+        named = {f for v in self.versions(name) for f in self.manifest(name, v).folders}
+        for mark in self.rejected(name):
+            named.update(json.loads(self._fs.read_text(f"{self.root}/{name}/rejected/{mark}.json"))["manifest"]["folders"])
+        for mark in self._fs.names(f"{self.root}/{_PUBLISHED}"):
+            other = TableStore(self.spark, self._fs.read_text(f"{self.root}/{_PUBLISHED}/{mark}"))
+            for table in other.tables():
+                for version in other.versions(table):
+                    manifest = other.manifest(table, version)
+                    if manifest.base == f"{self.root}/{name}/data":
+                        named.update(manifest.folders)
+        return named
+
+    def expire(self, name: str, keep: int = 1, grace: float = 86_400.0) -> list[str]:
+        """Forget all versions of a table but the newest ``keep``; returns the folders deleted.
+
+        Marks what the manifests name that stay (here, and in every store that snapshots were
+        published to), then sweeps the rest. A version that a kept version of another table needs
+        stays, and so does a folder carried over or shared, down to single partitions. Folders
+        changed in the last ``grace`` seconds may belong to a write under way and are left. Rejected
+        versions beyond the newest ``keep`` are forgotten too. Run again, it goes on where it stopped.
+        """
+        if keep < 1:
+            raise ValueError("at least one version stays")
+        stay = self._needed(name, keep)
+        for version in self.versions(name):
+            if version not in stay:
+                self._fs.delete(self._manifest_path(name, version))
+        for mark in list(self.rejected(name))[:-keep]:
+            self._fs.delete(f"{self.root}/{name}/rejected/{mark}.json")
+        named, base, swept = self._named_folders(name), f"{self.root}/{name}/data", []
+        for version in self._fs.names(base):
+            folder = f"{base}/{version}"
+            if self._fs.age(folder) < grace or folder in named:
+                continue
+            inside = {f for f in named if f.startswith(f"{folder}/")}
+            if not inside:
+                swept.append(folder)
+            else:
+                swept += [f"{folder}/{p}" for p in self._fs.names(folder) if "=" in p and f"{folder}/{p}" not in inside]
+        for folder in swept:
+            self._fs.delete(folder)
+        return swept
+
+
 # -- run log -------------------------------------------------------------------------------------
 
 LOG_DETAILS_SCHEMA = (

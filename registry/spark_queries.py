@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from millrace import functions as fn
 from millrace import operators as op
+from millrace.audit import AuditFailed
 from millrace.operators.merge import ACTION
 from millrace.plans import clean, holidays, late, star
 from millrace.sources import SPECS, LandingZone, LoadSpec, files, parse
@@ -1041,6 +1042,48 @@ def run_checks(spark, sf):
     )
 
 
+@register
+def audited_model(spark, sf):
+    """The holiday model with one fault per run: what its checks find, and whether it was published."""
+    good = _holidays(spark, sf)
+    store = _store(spark)
+    good = _written(spark, store, good, "holidays_now")
+    month = F.month("holiday_date")
+    faults = {
+        "none": good,
+        "unique": good.unionByName(good.filter(month == 1)),
+        "null key": good.withColumn("holiday_key", F.when(month != 2, F.col("holiday_key"))),
+        "null date": good.withColumn("holiday_date", F.when(month != 3, F.col("holiday_date"))),
+        "null name": good.withColumn("holiday_name", F.when(month != 4, F.col("holiday_name"))),
+        "other type": good.withColumn("holiday_type", F.when(month == 5, F.lit("Other")).otherwise(F.col("holiday_type"))),
+    }
+    found = []
+    for k, (fault, rows) in enumerate(faults.items()):
+        name = f"model_{k}"
+        try:
+            holidays.incremental(store, rows, name)
+            found.append((fault, store.exists(name), None, None, None))
+        except AuditFailed as failed:
+            kept = store.rejected(name)[failed.mark]
+            found += [(fault, store.exists(name), f["test"], f["column"], f["failures"]) for f in kept]
+    return spark.createDataFrame(found, "fault string, published boolean, test string, `column` string, failures long")
+
+
+@register
+def expire_versions(spark, sf):
+    """Old versions are deleted; a published snapshot of one of them stays readable."""
+    store, production = _store(spark), _store(spark)
+    cities = clean.cities_clean(raw(spark, sf, "cities"))
+    store.write(cities, "cities")
+    store.publish(production, ["cities"])
+    for k in range(3):
+        store.write(cities.withColumn("city_name", F.concat(F.lit(f"v{k} "), "city_name")), "cities")
+    store.expire("cities", keep=1, grace=0)
+    shown = [(s.read("cities"), label, len(s.versions("cities"))) for s, label in ((store, "store"), (production, "published"))]
+    parts = [df.select(F.lit(label).alias("where"), F.lit(n).alias("versions"), "city_id", "city_name") for df, label, n in shown]
+    return parts[0].unionByName(parts[1])
+
+
 # == streaming and change capture ==========================================================================================
 
 

@@ -482,6 +482,16 @@ SELECTS: dict[str, str] = {
         UNION ALL SELECT 'accepted_values', 'holiday_type',
           count(*) FILTER (holiday_type NOT IN ('Religious', 'Public', 'Bank', 'Regional')) FROM raw_holidays
         UNION ALL SELECT 'max_length', 'holiday_name', count(*) FILTER (length(holiday_name) > 12) FROM raw_holidays""",
+    "audited_model": """
+        SELECT 'none' AS fault, true AS published, CAST(NULL AS VARCHAR) AS test, CAST(NULL AS VARCHAR) AS "column", CAST(NULL AS BIGINT) AS failures
+        UNION ALL SELECT 'unique', false, 'unique', 'holiday_key', count(*) FILTER (month = 1) FROM holidays_clean
+        UNION ALL SELECT 'null key', false, 'not_null', 'holiday_key', count(*) FILTER (month = 2) FROM holidays_clean
+        UNION ALL SELECT 'null date', false, 'not_null', 'holiday_date', count(*) FILTER (month = 3) FROM holidays_clean
+        UNION ALL SELECT 'null name', false, 'not_null', 'holiday_name', count(*) FILTER (month = 4) FROM holidays_clean
+        UNION ALL SELECT 'other type', false, 'accepted_values', 'holiday_type', count(*) FILTER (month = 5) FROM holidays_clean""",
+    "expire_versions": """
+        SELECT 'store' AS "where", CAST(1 AS BIGINT) AS versions, CAST(city_id AS BIGINT) AS city_id, 'v2 ' || city_name AS city_name FROM cities_clean
+        UNION ALL SELECT 'published', 1, CAST(city_id AS BIGINT), city_name FROM cities_clean""",
     # streaming and change capture
     "auto_ingest": f"SELECT {out(SALES_OUT)} FROM loaded_sales",
     "scheduled_copy": f"""

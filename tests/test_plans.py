@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.audit import AuditFailed
 from millrace.index import KeyIndex
 from millrace.operators import has_changes, run_checks
 from millrace.plans import clean, holidays, star
@@ -411,6 +412,37 @@ def test_holiday_checks(spark, folder):
     assert found[("unique", "holiday_key")] == 1 and found[("accepted_values", "holiday_type")] == 2
 
 
+def test_a_model_run_that_fails_a_check_is_not_published(spark, folder):
+    store = TableStore(spark, folder)
+    good = ("2024-01-01", None, "a", None, "Bank")
+    holidays.run_model(store, spark.createDataFrame([good], HOLIDAYS), SAME)
+    with pytest.raises(AuditFailed, match="accepted_values"):
+        holidays.run_model(store, spark.createDataFrame([good, ("2024-01-02", None, "b", None, "Private")], HOLIDAYS), SAME)
+    with pytest.raises(AuditFailed, match="holiday_name"):
+        holidays.run_model(store, spark.createDataFrame([good, ("2024-01-02", None, None, None, "Bank")], HOLIDAYS), SAME)
+    assert store.versions("holidays") == [1] and store.read("holidays").count() == 1
+    assert [f[0]["failures"] for f in store.rejected("holidays").values()] == [1, 1]
+
+
+def test_old_versions_of_the_fact_expire(spark, tmp_path, folder):
+    store, zone, spec = TableStore(spark, f"{folder}/t"), LandingZone(spark, f"{folder}/r"), SPECS["sales"]
+    dimensions(spark, store)
+    source, products = tmp_path / "sales", products_of(spark)
+    source.mkdir()
+    for n in range(3):
+        (source / f"{n}.csv").write_text(header(f"{n},1,S9,1,2024-0{n + 1}-05,1,1,1,1", f"7,1,S1,1,2024-0{n + 1}-06,{n},1,1,1"))
+        zone.load(spec, str(source))
+        assert merge_sales_delta(store, zone, spec, products)
+    before = stored(store)
+    for name in store.tables():
+        store.expire(name, keep=1, grace=0)
+    assert all(len(store.versions(n)) <= 2 for n in store.tables()) and stored(store) == before
+    (source / "9.csv").write_text(header("7,1,S1,1,2024-05-06,9,1,1,1"))
+    zone.load(spec, str(source))
+    assert merge_sales_delta(store, zone, spec, products)
+    assert stored(store) == [b for b in before if b[0] != 7] + [(7, "2024-05-06", 9.0)]
+
+
 def test_schemas_are_valid_json(spark, folder):
     store = TableStore(spark, folder)
     store.create("t", star.FACT_SALES)

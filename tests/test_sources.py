@@ -235,6 +235,19 @@ def test_two_writers_lose_nothing(spark, folder, monkeypatch):
     assert one.table(spec).filter("staff_id = 'g'").count() == 1
 
 
+def test_sweep_removes_what_no_load_names(spark, folder, monkeypatch):
+    spec, zone = SPECS["staff"], LandingZone(spark, folder)
+    data = spark.createDataFrame([("S1", "E1", "f")], "staff_id string, employee_id string, _file string")
+    zone.write_load(spec, data)
+    monkeypatch.setattr(LandingZone, "_try_commit", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        zone.write_load(spec, data)
+    monkeypatch.undo()
+    assert zone.table(spec).count() == 1 and zone.load_history(spec).count() == 1
+    assert zone.sweep(spec) == [] and len(zone.sweep(spec, grace=0)) == 2 and zone.sweep(spec, grace=0) == []
+    assert zone.write_load(spec, data) == 2 and zone.table(spec).count() == 2
+
+
 def test_two_writers_of_an_identity_column(spark, folder, monkeypatch):
     spec = SPECS["branches"]
     one, two = LandingZone(spark, folder), LandingZone(spark, folder)

@@ -5,11 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.audit import AuditFailed, write_checked
+from millrace.operators import NotNull, Unique
 from millrace.operators.merge import ACTION
-from millrace.storage import work_folder
+from millrace.storage import sweep_work, work_folder
 from millrace.tables import TableStore, last_step, log_details, log_step, log_summary
 
-from .conftest import rows
+from .conftest import plan, rows
 
 
 def test_versions_stay_readable(spark, folder):
@@ -97,3 +99,75 @@ def test_register_and_append(spark, folder):
 
 def test_work_folder_is_below_the_shared_one(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_counts_come_from_the_write(spark, folder):
+    store = TableStore(spark, folder)
+    merged = spark.createDataFrame([(1, "I"), (2, "U"), (3, "K")], f"id int, {ACTION} string")
+    store.write(merged, "t", observe={"large": F.count_if(F.col("id") > 1)})
+    assert store.manifest("t").counts == {"rows": 3, "rows_I": 1, "rows_U": 1, "rows_D": 0, "large": 2}
+    assert "FileScan" not in plan(store.merge_counts("t")) and tuple(store.merge_counts("t").first()) == (1, 1, 0)
+
+
+def test_write_audit_publish(spark, folder):
+    store, checks = TableStore(spark, folder), [Unique("id"), NotNull("p")]
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    assert write_checked(store, first, "t", checks, partition_by=["p"]) == 1
+    with pytest.raises(AuditFailed, match=r"unique\(id\): 1") as failed:
+        # The row clashes with one of a partition that is carried over.
+        write_checked(store, spark.createDataFrame([(2, "a")], "id int, p string"), "t", checks, partition_by=["p"], keep_partitions=["b"])
+    assert store.versions("t") == [1] and rows(store.read("t")) == [(1, "a"), (2, "b")]
+    assert store.rejected("t") == {failed.value.mark: [{"test": "unique", "column": "id", "failures": 1}]}
+    assert rows(store.read_rejected("t", failed.value.mark)) == [(2, "a"), (2, "b")]
+    assert write_checked(store, spark.createDataFrame([(3, "a")], "id int, p string"), "t", checks, partition_by=["p"], keep_partitions=["b"]) == 2
+    assert rows(store.read("t")) == [(2, "b"), (3, "a")]
+
+
+def test_expire_keeps_what_a_kept_manifest_names(spark, folder):
+    store, other = TableStore(spark, f"{folder}/a"), TableStore(spark, f"{folder}/b")
+    frame = lambda *data: spark.createDataFrame(list(data), "id int, p string")
+    store.write(frame((1, "a"), (2, "b"), (3, "c")), "t", ["p"])
+    store.write(frame((4, "a")), "t", ["p"], keep_partitions=["b", "c"])
+    store.publish(other, ["t"])
+    store.write(frame((5, "b")), "t", ["p"], keep_partitions=["a"])
+    store.write(frame((6, "a")), "t", ["p"], keep_partitions=["b"])
+    store.prepare(frame((7, "z")), "t", ["p"])  # a write under way
+    before = rows(other.read("t"))
+    assert store.expire("t", keep=1) == []  # too young to tell from a write under way
+    assert store.versions("t") == [4]
+    swept = store.expire("t", keep=1, grace=0)
+    assert rows(store.read("t")) == [(5, "b"), (6, "a")]
+    assert rows(other.read("t")) == before == [(2, "b"), (3, "c"), (4, "a")]
+    # Version 1 keeps its partitions b and c for the snapshot, and loses a; the prepared rows go.
+    assert sorted(f.rsplit("/", 1)[1][:4] for f in swept) == ["_v=0", "p=a"]
+    assert store.expire("t", keep=1, grace=0) == []
+    with pytest.raises(ValueError):
+        store.expire("t", keep=0)
+
+
+def test_expire_keeps_versions_that_others_need(spark, folder):
+    store = TableStore(spark, folder)
+    for k in range(4):
+        store.write(spark.range(k + 1), "side")
+    store.write(spark.range(1), "main", extra={"needs": {"side": 2}})
+    store.expire("side", keep=1, grace=0)
+    assert store.versions("side") == [2, 4] and store.read("side", 2).count() == 2
+    store.write(spark.range(1), "main", extra={"needs": {"side": 4}})
+    store.expire("main", keep=1, grace=0)
+    store.expire("side", keep=1, grace=0)
+    assert store.versions("side") == [4]
+
+
+def test_rejected_versions_are_forgotten_in_time(spark, folder):
+    store = TableStore(spark, folder)
+    marks = [store.reject(store.prepare(spark.range(2), "t"), [{"test": "x", "column": "id", "failures": 1}]) for _ in range(3)]
+    store.write(spark.range(1), "t")
+    assert len(store.expire("t", keep=1, grace=0)) == 2
+    assert list(store.rejected("t")) == sorted(marks)[-1:] and store.read_rejected("t", sorted(marks)[-1]).count() == 2
+
+
+def test_old_work_folders_are_swept(spark):
+    path = work_folder(spark, "sweep")
+    spark.range(1).write.parquet(path)
+    assert path.rsplit("/", 1)[1] not in sweep_work(spark, 3_600)
+    assert spark.read.parquet(path).count() == 1
