@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import line_dedup, mixing, near_dedup, packing, quality
 from millrace.llm.common import shared_table, text_length
@@ -13,9 +14,17 @@ from millrace.llm.common import shared_table, text_length
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: A stage that adds columns of its own carries the document's in this one, whatever their names.
+WHOLE = "__document"
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(WHOLE))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects, of hosts that are not rejected."""
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    return quality.judge(_packed(docs)).filter("kept").select(f"{WHOLE}.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +40,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight shows them, every one at least once."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    return mixing.mixed(docs, carry=others).select(*docs.columns)
+    return mixing.mixed(_packed(docs), carry=(WHOLE,)).select(f"{WHOLE}.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

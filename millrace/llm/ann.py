@@ -148,8 +148,15 @@ def probes(cell: np.ndarray, inside: np.ndarray, fitted: Fitted, recall: float)
 
 
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, components added in order, so equal rows score alike."""
-    return np.add.reduce(np.ascontiguousarray((x * q).T), axis=0)
+    """Inner products in double precision, one component added after the other.
+
+    The order of the sum does not depend on how many rows are scored together, so equal rows score
+    alike in every meeting, and ties are settled by their ids.
+    """
+    score = np.zeros(len(x))
+    for k in range(x.shape[1]):
+        score += q[k] * x[:, k]
+    return score
 
 
 def best(q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

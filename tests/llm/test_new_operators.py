@@ -336,3 +336,26 @@ def test_registered_variants_equal_brute_force(spark):
 
 def test_work_folder_is_shared(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# -- pipeline ------------------------------------------------------------------------------------------
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 80)), "en", f"s{i % 3}", 1) for i in range(60)] + [(90, None, "en", "s0", 0), (91, "short", None, None, None)]
+    clashing = ("tokens", "copy", "block", "place", "kept", "n_words", "host_rate", "quota")
+    docs = spark.createDataFrame(rows, DOCS)
+    for c in clashing:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    judged = corpus_pipeline.quality_rules(spark, docs, "")
+    shown = corpus_pipeline.mix_sources(spark, judged, "")
+    assert judged.columns == shown.columns == docs.columns
+    want = {i for i, text, *_ in rows if text and len(text.split()) >= 50}
+    for frame in (judged, shown):
+        found = frame.collect()
+        assert {r["doc_id"] for r in found} == want
+        assert all(r[c] == f"{c} of {r['doc_id']}" for r in found for c in clashing)
+    assert len(judged.collect()) == len(want)
