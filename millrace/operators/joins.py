@@ -30,6 +30,14 @@ def _row_bytes(df: DataFrame):
     return reduce(add, sizes, F.lit(_ROW_OVERHEAD)).cast("long")
 
 
+def table_bytes(df: DataFrame):
+    """Size of a whole DataFrame as an aggregate, as ``fits_broadcast`` measures it; None for nested columns,
+    whose size is dear to take."""
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema.fields):
+        return None
+    return F.sum(_row_bytes(df))
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when the measured size of ``df`` (one distributed sum) is within the limit."""
     measured = df.agg(F.sum(_row_bytes(df)).alias("n")).first()["n"]
@@ -45,6 +53,7 @@ def lookup(
     how: str = "left",
     max_broadcast_bytes: int = BROADCAST_BYTES,
     bound: DataFrame | None = None,
+    right_bytes: int | None = None,
 ) -> DataFrame:
     """Add the ``take`` columns of ``right`` to ``left`` where the keys are equal.
 
@@ -55,7 +64,8 @@ def lookup(
     ``left`` stands in the plan once.
 
     ``bound`` is a DataFrame that ``right`` is a part of and that is cheaper to measure, such as
-    the rows it was deduplicated from; when it fits, ``right`` fits.
+    the rows it was deduplicated from; when it fits, ``right`` fits. ``right_bytes`` is a bound of
+    its size that the caller knows, as stored tables do: nothing is measured then.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -63,8 +73,12 @@ def lookup(
         F.col(right_key).alias("_key"), *[F.col(c) for c in take]
     )
     out = [F.col(f"`{c}`") for c in left.columns] + [F.col(f"`{c}`") for c in take]
-    small = bound is not None and fits_broadcast(bound, max_broadcast_bytes)
-    if small or fits_broadcast(side, max_broadcast_bytes):
+    if right_bytes is not None:
+        small = right_bytes <= max_broadcast_bytes
+    else:
+        small = bound is not None and fits_broadcast(bound, max_broadcast_bytes)
+        small = small or fits_broadcast(side, max_broadcast_bytes)
+    if small:
         return left.join(F.broadcast(side), left[left_key] == side["_key"], how).select(*out)
     return _salted_lookup(left, side, left_key, how).select(*out)
 

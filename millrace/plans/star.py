@@ -117,19 +117,19 @@ def join_date(sales: DataFrame, dates: DataFrame) -> DataFrame:
     return sales.join(F.broadcast(days), sales["sale_ts"].cast("date") == days["_date"], "inner").drop("_date")
 
 
-def lookup_product(sales: DataFrame, products: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def lookup_product(sales: DataFrame, products: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
     known = products.select("product_key", F.col("product_id").cast("decimal(38,0)").alias("_id"))
-    return lookup(sales, known, "product_id", "_id", ["product_key"], max_broadcast_bytes=max_broadcast_bytes)
+    return lookup(sales, known, "product_id", "_id", ["product_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size)
 
 
-def lookup_branch(sales: DataFrame, branches: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def lookup_branch(sales: DataFrame, branches: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
     known = branches.select("branch_key", F.col("branch_id").cast("decimal(38,0)").alias("_id"))
-    return lookup(sales, known, "branch_id", "_id", ["branch_key"], max_broadcast_bytes=max_broadcast_bytes)
+    return lookup(sales, known, "branch_id", "_id", ["branch_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size)
 
 
-def lookup_staff(sales: DataFrame, staff: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def lookup_staff(sales: DataFrame, staff: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
     known = staff.select("staff_key", F.col("staff_id").alias("_id"))
-    return lookup(sales, known, "staff_id", "_id", ["staff_key"], max_broadcast_bytes=max_broadcast_bytes)
+    return lookup(sales, known, "staff_id", "_id", ["staff_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size)
 
 
 def keyed_sales(
@@ -139,13 +139,15 @@ def keyed_sales(
     branches: DataFrame,
     staff: DataFrame,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    sizes: Mapping[str, int | None] | None = None,
 ) -> DataFrame:
     """Clean sales with the surrogate keys of their dimensions, NULL for unknown members, and the
-    business ids behind them."""
+    business ids behind them. ``sizes`` are the dimensions' known bytes; others are measured."""
+    sizes = sizes or {}
     rows = join_date(sales, dates)
-    rows = lookup_product(rows, products, max_broadcast_bytes)
-    rows = lookup_branch(rows, branches, max_broadcast_bytes)
-    rows = lookup_staff(rows, staff, max_broadcast_bytes)
+    rows = lookup_product(rows, products, max_broadcast_bytes, sizes.get("dim_product"))
+    rows = lookup_branch(rows, branches, max_broadcast_bytes, sizes.get("dim_branch"))
+    rows = lookup_staff(rows, staff, max_broadcast_bytes, sizes.get("dim_staff"))
     return rows.select(
         "sale_id", "date_key", "product_key", "branch_key", "staff_key", "sale_ts",
         *[F.col(c).cast("decimal(12,2)").alias(c) for c in ("volume_sold", "price", "cost", "revenue")],
@@ -292,9 +294,35 @@ def dimensions(store: TableStore) -> tuple[DataFrame, ...]:
     return tuple(store.read(n) for n in ("dim_date", "dim_product", "dim_branch", "dim_staff"))
 
 
+def sizes(store: TableStore) -> dict[str, int | None]:
+    """Bytes of the dimensions that sales are looked up in, as their writes have measured them."""
+    return {name: store.size(name) for name in late.KINDS}
+
+
+_DAYS = {"first_day": F.min, "last_day": F.max}
+
+
+def write_calendar(store: TableStore, sales: DataFrame, staged: str | None = None) -> int:
+    """Extend the stored calendar to the days of the sales.
+
+    When the write of the ``staged`` sales has seen no day outside the calendar's, the calendar
+    stays the version it is, and nothing is read.
+    """
+    known = store.exists("dim_date")
+    if known and staged is not None:
+        have, want = store.manifest("dim_date").counts, store.manifest(staged).counts
+        if "last_day" in have and (
+            "last_day" not in want or have["first_day"] <= want["first_day"] and want["last_day"] <= have["last_day"]
+        ):
+            return store.versions("dim_date")[-1]
+    days = dim_date(sales, store.read("dim_date") if known else None)
+    return store.write(days, "dim_date", observe={k: f(F.unix_date("date")) for k, f in _DAYS.items()})
+
+
 def stage_sales(store: TableStore, sales: DataFrame, products: DataFrame, name: str) -> DataFrame:
-    """Clean sales, written once; sales without a timestamp are counted on the way."""
-    store.write(clean.sales_clean(sales, products), name, observe={"left_out": F.count_if(F.col("sale_ts").isNull())})
+    """Clean sales, written once; their days, and sales without a timestamp, are seen on the way."""
+    seen = {k: f(F.unix_date(F.col("sale_ts").cast("date"))) for k, f in _DAYS.items()}
+    store.write(clean.sales_clean(sales, products), name, observe={"left_out": F.count_if(F.col("sale_ts").isNull()), **seen})
     return store.read(name)
 
 
@@ -313,7 +341,9 @@ def merge_members(store: TableStore, raw: Mapping[str, DataFrame]) -> None:
         if all(n in raw for n in needs):
             staged = name.replace("dim_", "clean_")
             store.write(source(), staged)
-            store.write(step(store.read_or_empty(name, SCHEMAS[name]), store.read(staged)), name)
+            size = store.size(staged)
+            small = None if size is None else size <= BROADCAST_BYTES
+            store.write(step(store.read_or_empty(name, SCHEMAS[name]), store.read(staged), small_source=small), name)
 
 
 def log_fact(store: TableStore, what: str, staged: str) -> None:
@@ -336,10 +366,9 @@ def build(
     except that members without a usable id never match and are added again.
     """
     sales = stage_sales(store, raw["sales"], raw["products"], "clean_sales")
-    known_dates = store.read("dim_date") if store.exists("dim_date") else None
-    store.write(dim_date(sales, known_dates), "dim_date")
+    write_calendar(store, sales, "clean_sales")
     merge_members(store, raw)
-    write_fact(store, keyed_sales(sales, *dimensions(store)), bookmark=bookmark, products=raw["products"])
+    write_fact(store, keyed_sales(sales, *dimensions(store), sizes=sizes(store)), bookmark=bookmark, products=raw["products"])
     log_fact(store, "merged clean sales", "clean_sales")
     if production is not None:
         store.publish(production, [*DIMENSIONS, "fact_sales"] if include_fact else DIMENSIONS)

@@ -40,9 +40,8 @@ def merge_sales_delta(
     products = raw.get("products", products)
     star.merge_members(store, raw)
     sales = star.stage_sales(store, delta, products, "clean_sales_delta")
-    known = store.read("dim_date") if store.exists("dim_date") else None
-    store.write(star.dim_date(sales, known), "dim_date")
-    rows = star.keyed_sales(sales, *star.dimensions(store))
+    star.write_calendar(store, sales, "clean_sales_delta")
+    rows = star.keyed_sales(sales, *star.dimensions(store), sizes=star.sizes(store))
     star.write_fact(store, rows, bookmark=upto, products=products)
     star.log_fact(store, "MERGE of changes", "clean_sales_delta")
     return True

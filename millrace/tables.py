@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .operators.changes import table_changes
+from .operators.joins import table_bytes
 from .operators.merge import ACTION, merge_counts
 from .storage import FileSystem
 
@@ -115,6 +117,8 @@ class TableStore:
         mark = f"{version:010d}-{uuid.uuid4().hex[:8]}"
         folder = f"{base}/{_VERSION}={mark}"
         metrics = {"rows": F.count(F.lit(1)), **(observe or {})}
+        if (size := table_bytes(df)) is not None:
+            metrics["bytes"] = size
         if ACTION in df.columns:
             metrics |= {f"rows_{a}": F.count_if(F.col(ACTION) == a) for a in _ACTIONS}
         # Each task of the write counts its own rows; no other job is needed for the counts.
@@ -145,7 +149,7 @@ class TableStore:
                 partitions=partitions,
                 written=mark,
                 bookmark=bookmark,
-                counts={k: int(v or 0) for k, v in observation.get.items()},
+                counts={k: int(v) for k, v in observation.get.items() if v is not None},
             ),
         )
 
@@ -221,6 +225,26 @@ class TableStore:
         names = {"rows_inserted": "I", "rows_updated": "U", "rows_deleted": "D"}
         return self.spark.range(1).select(*[F.lit(counts[f"rows_{a}"]).cast("long").alias(n) for n, a in names.items()])
 
+    def size(self, name: str, version: int | None = None) -> int | None:
+        """Bytes of a version that was written as a whole, as measured during its write; else None."""
+        manifest = self.manifest(name, version)
+        if any(f"/{_VERSION}={manifest.written}" not in f for f in manifest.folders):
+            return None
+        return manifest.counts.get("bytes", 0 if manifest.counts.get("rows") == 0 else None)
+
+    def changes(self, name: str, old: int, new: int, keys: Sequence[str]) -> DataFrame:
+        """Rows that differ between two versions, with ``_change`` insert, update or delete.
+
+        The manifests are compared first: folders that both versions name hold the same rows and
+        are not read. A row that moved between partitions is an update, as both have changed.
+        """
+        before, after = self.manifest(name, old), self.manifest(name, new)
+        shared = set(before.folders) & set(after.folders)
+        sides = [
+            self._scan(m, [f for f in m.folders if f not in shared]).drop(_VERSION, ACTION) for m in (before, after)
+        ]
+        return table_changes(*sides, keys)
+
     def read_or_empty(self, name: str, schema: str) -> DataFrame:
         """The latest version, or no rows of ``schema`` before the first."""
         if self.exists(name):

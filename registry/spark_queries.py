@@ -1139,6 +1139,21 @@ def table_changes(spark, sf):
     return op.table_changes(before.unionByName(gone), now, ["c_custkey"])
 
 
+@register
+def version_changes(spark, sf):
+    """Two versions of a partitioned table: partitions carried over are not read."""
+    store = _store(spark)
+    now = _written(spark, store, _customers(spark, sf), "now")
+    store.write(now, "customers", ["c_mktsegment"])
+    changed = now.filter("c_mktsegment = 'MACHINERY' AND c_custkey % 3 > 0").withColumn(
+        "c_name", F.when(F.col("c_custkey") % 3 == 1, F.concat(F.lit(_OLD), "c_name")).otherwise(F.col("c_name"))
+    )
+    added = now.filter("c_mktsegment = 'MACHINERY' AND c_custkey % 3 = 1").withColumn("c_custkey", -F.col("c_custkey"))
+    others = [v for v in store.manifest("customers").partitions if v != "MACHINERY"]
+    store.write(changed.unionByName(added), "customers", ["c_mktsegment"], None, others)
+    return store.changes("customers", 1, 2, ["c_custkey"])
+
+
 @register
 def has_changes(spark, sf):
     """The gate before and after the changes of a load are taken."""

@@ -505,6 +505,11 @@ SELECTS: dict[str, str] = {
         SELECT c_custkey, c_name, c_mktsegment, CASE WHEN {earlier('c_custkey')} THEN 'update' ELSE 'insert' END AS _change FROM customer
         WHERE NOT {earlier('c_custkey')} OR c_mktsegment = 'MACHINERY'
         UNION ALL SELECT -c_custkey, c_name, c_mktsegment, 'delete' FROM customer WHERE {earlier('c_custkey')} AND c_mktsegment = 'BUILDING'""",
+    "version_changes": """
+        SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN 'Old ' || c_name ELSE c_name END AS c_name, c_mktsegment,
+          CASE WHEN c_custkey % 3 = 1 THEN 'update' ELSE 'delete' END AS _change
+        FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_custkey % 3 < 2
+        UNION ALL SELECT -c_custkey, c_name, c_mktsegment, 'insert' FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_custkey % 3 = 1""",
     "has_changes": """
         SELECT CAST(0 AS BIGINT) AS bookmark, count(*) > 0 AS changed FROM loaded_sales UNION ALL SELECT 1, false""",
     "merge_deltas": f"SELECT {out(FACT_OUT.replace('date_key:i ', ''))} FROM fact",

@@ -424,6 +424,16 @@ def test_a_model_run_that_fails_a_check_is_not_published(spark, folder):
     assert [f[0]["failures"] for f in store.rejected("holidays").values()] == [1, 1]
 
 
+def test_the_calendar_is_written_for_new_days_only(spark, folder):
+    store = TableStore(spark, folder)
+    day = lambda *days: star.stage_sales(
+        store, sales_of(spark, *[(str(i), "1", "S1", "1", d, "1", "1", "1", "1") for i, d in enumerate(days)]), products_of(spark), "s"
+    )
+    versions = [star.write_calendar(store, day(*days), "s") for days in ([at(3), at(9)], [at(4), None], [None], [at(2)], [at(2)], [at(3, 2)])]
+    assert versions == [1, 1, 1, 2, 2, 3]
+    assert store.read("dim_date").count() == 33
+
+
 def test_old_versions_of_the_fact_expire(spark, tmp_path, folder):
     store, zone, spec = TableStore(spark, f"{folder}/t"), LandingZone(spark, f"{folder}/r"), SPECS["sales"]
     dimensions(spark, store)

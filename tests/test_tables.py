@@ -171,3 +171,23 @@ def test_old_work_folders_are_swept(spark):
     spark.range(1).write.parquet(path)
     assert path.rsplit("/", 1)[1] not in sweep_work(spark, 3_600)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_changes_read_only_folders_that_differ(spark, folder):
+    store = TableStore(spark, folder)
+    frame = lambda *data: spark.createDataFrame(list(data), "id int, v string, p string")
+    store.write(frame((1, "x", "a"), (2, "x", "b"), (3, "x", "c"), (4, "x", "c")), "t", ["p"])
+    store.write(frame((1, "x", "c"), (3, "y", "c"), (5, "x", "c")), "t", ["p"], keep_partitions=["b"])
+    found = store.changes("t", 1, 2, ["id"])
+    assert rows(found) == [(1, "x", "c", "update"), (3, "y", "c", "update"), (4, "x", "c", "delete"), (5, "x", "c", "insert")]
+    assert not [f for f in found.inputFiles() if "/p=b/" in f]
+    assert store.changes("t", 2, 2, ["id"]).count() == 0
+
+
+def test_sizes_come_from_the_write(spark, folder):
+    store = TableStore(spark, folder)
+    store.write(spark.createDataFrame([("abc", 1), (None, 2)], "s string, p int"), "t")
+    assert store.size("t") == (16 + 3 + 8 + 16) + (16 + 0 + 8 + 16)
+    store.write(spark.range(2).select("id", (F.col("id") % 2).alias("p")), "u", ["p"])
+    store.write(spark.range(1).select("id", F.lit(1).alias("p")), "u", ["p"], keep_partitions=["0"])
+    assert store.size("u", 1) is not None and store.size("u") is None
