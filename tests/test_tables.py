@@ -105,7 +105,7 @@ def test_counts_come_from_the_write(spark, folder):
     store = TableStore(spark, folder)
     merged = spark.createDataFrame([(1, "I"), (2, "U"), (3, "K")], f"id int, {ACTION} string")
     store.write(merged, "t", observe={"large": F.count_if(F.col("id") > 1)})
-    assert store.manifest("t").counts == {"rows": 3, "rows_I": 1, "rows_U": 1, "rows_D": 0, "large": 2}
+    assert store.manifest("t").counts == {"rows": 3, "bytes": 3 * 41, "rows_I": 1, "rows_U": 1, "rows_D": 0, "large": 2}
     assert "FileScan" not in plan(store.merge_counts("t")) and tuple(store.merge_counts("t").first()) == (1, 1, 0)
 
 
