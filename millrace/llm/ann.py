@@ -1,12 +1,16 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Each of several tables cuts space into cells by ``floor((a.x + b) / width)`` over a few Gaussian
-projections. A query visits its own cell and then neighbouring ones in the order of the estimated
-probability that a true neighbour lies there, until the probabilities of all tables together
-promise the wanted recall. Candidates of all cells are ranked by their exact inner products.
+projections. A query visits cells in the order of the estimated probability that a true neighbour
+lies there, down to the probability at which the order has found the wanted share of neighbours.
+Candidates of all tables are ranked by their exact inner products.
 
 Vectors are scaled to one length by one more component before hashing (the norm that is missing to
 the longest vector), so that the largest inner product is the smallest distance.
+
+Nothing but vectors travels: cells of one group (those with the same first hashes) are one place,
+a query is sent to the groups that can hold a cell likely enough for it, and there its
+probabilities are matched with the cells that are occupied.
 """
 
 from __future__ import annotations
@@ -17,36 +21,44 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shared_table
 
-CHUNK = 4_096  # vectors of a cell compared at once
+CHUNK = 16_384  # vectors of a group compared at once
 SAMPLE = 4_096  # rows that the search is fitted on, whatever the size of the table
+SLOTS = 8  # cell numbers of one hash; the outermost two are open
+_CELL_ROWS, _CELL_BITS = 24, 1.8  # rows wanted in a cell; bits that one hash tells of a vector
+_DRAWS = 256  # simulated neighbours for the order of cells
+_SLICE = 256  # queries of a meeting ranked at once
 
 
 @dataclass(frozen=True)
 class Search:
     k: int = 20
     every: int = 20  # queries are the rows whose id is divisible by this
-    tables: int = 4
-    hashes: int = 6
+    tables: int = 2
+    hashes: int | None = None  # from the number of rows, if not given
     width: float = 1.2  # of a cell, in units of the vectors' common length
-    recall: float = 0.97
+    recall: float = 0.95  # wanted of the sample's queries
     seed: int = 9
 
 
 @dataclass(frozen=True)
 class Fitted:
-    """Projections, the common length, and the distance within which neighbours are expected."""
+    """Projections, the common length, the distance at which neighbours are expected, and the
+    share of the simulated neighbours that the visited cells of a table have to hold."""
 
     dim: int
     length: float
-    radius: float
     directions: np.ndarray  # tables x hashes x (dim + 1)
     offsets: np.ndarray  # tables x hashes
     width: float
+    steps: np.ndarray  # draws x hashes: moves of a projection from a query to a neighbour
+    radius: float
+    share: float
+    leading: int  # hashes that make a group
 
 
 def usable(vector: Column) -> Column:
@@ -56,37 +68,47 @@ def usable(vector: Column) -> Column:
 
 
 def vectors(table: DataFrame) -> DataFrame:
-    """``vec_id`` and ``v`` (doubles) of the rows that take part; most rows' length is the length."""
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.col("rows").desc(), "n").first()
-    return rows.filter(F.size("v") == (sizes["n"] if sizes else 0))
+    """``vec_id`` and ``v`` (components as they are) of the rows that may take part."""
+    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
+    return rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
 
 
-def fit(rows: DataFrame, config: Search) -> Fitted | None:
-    """Common length from all rows; neighbour distance from at most SAMPLE of them.
+def fit(rows: DataFrame, config: Search, n: int, dim: int, length: float) -> Fitted:
+    """The search for ``n`` rows, from at most SAMPLE of them.
 
-    A sample's neighbours are further away than the table's, so the search looks further than it
-    must. None for an empty table.
+    The sample's first neighbours stand for the table's ``k``: as many as its share of the rows. A
+    pair's place in the order of a table is the share of simulated neighbours in cells at least as
+    likely as the neighbour's own; the best place of all tables that the wanted share of pairs does
+    not exceed is where the search stops.
     """
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    most = rows.agg(F.max(norm).alias("m"), F.count(F.lit(1)).alias("n")).first()
-    if not most["n"]:
-        return None
     # The rows with the smallest digests: a random sample that does not depend on partitions.
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
-    x = np.stack(sample["v"].to_numpy()).astype(np.float64)
-    length = float(most["m"])
-    x = _lifted(x, length)
-    near = []
-    for lo in range(0, min(len(x), 512), 64):
-        d = np.sqrt(np.maximum(0, 2 - 2 * x[lo : lo + 64] @ x.T))
-        near.append(np.partition(d, min(config.k, len(x) - 1), axis=1)[:, min(config.k, len(x) - 1)])
+    x = _lifted(_matrix(sample["v"], dim), length)
+    hashes = config.hashes or int(np.clip(round(np.log2(max(n, 2) / _CELL_ROWS) / _CELL_BITS), 2, 16))
+    leading = int(np.clip(np.ceil(np.log(max(n, 1) / (2 * CHUNK)) / np.log(2.5)), 0, hashes))
     rng = np.random.Generator(np.random.PCG64(config.seed))
-    return Fitted(
-        x.shape[1] - 1, length, max(float(np.quantile(np.concatenate(near), 0.9)), 1e-3),
-        rng.normal(size=(config.tables, config.hashes, x.shape[1])), rng.uniform(0, config.width, (config.tables, config.hashes)), config.width,
-    )
+    directions, offsets = rng.normal(size=(config.tables, hashes, dim + 1)), rng.uniform(0, config.width, (config.tables, hashes))
+    steps = rng.normal(size=(_DRAWS, hashes))
+    asked = x[:_SLICE]
+    distance = np.maximum(0, 2 - 2 * asked @ x.T)
+    distance[np.arange(len(asked)), np.arange(len(asked))] = np.inf
+    of = int(np.clip(np.ceil(config.k * len(x) / n), 1, max(1, len(x) - 1)))
+    near = np.argsort(distance, axis=1, kind="stable")[:, :of]
+    if len(x) < 2:
+        return Fitted(dim, length, directions, offsets, config.width, steps, 1.0, 1.0, leading)
+    radius = max(float(np.median(np.sqrt(np.take_along_axis(distance, near, axis=1)))), 1e-3)
+    fitted = Fitted(dim, length, directions, offsets, config.width, steps, radius, 1.0, leading)
+    cell, place = _cells(x, fitted)
+    first = np.ones(near.shape)
+    for t in range(config.tables):
+        chance = log_chance(place[: len(asked), t], fitted)
+        drawn = _drawn(chance, place[: len(asked), t], fitted)
+        for i in range(len(asked)):
+            own = chance[i][np.arange(hashes), cell[near[i], t]].sum(axis=1)
+            before = 1 - np.searchsorted(np.sort(drawn[i]), own, side="right") / _DRAWS
+            first[i] = np.minimum(first[i], before)
+    share = float(np.quantile(first, config.recall, method="higher"))
+    return Fitted(dim, length, directions, offsets, config.width, steps, radius, share, leading)
 
 
 def _lifted(x: np.ndarray, length: float) -> np.ndarray:
@@ -94,141 +116,151 @@ def _lifted(x: np.ndarray, length: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]], axis=1)
 
 
-def _cells(x: np.ndarray, fitted: Fitted) -> tuple[np.ndarray, np.ndarray]:
-    """Cell numbers and places inside the cells (0 to 1): rows x tables x hashes."""
-    at = (np.einsum("nd,thd->nth", _lifted(x, fitted.length), fitted.directions) + fitted.offsets) / fitted.width
-    cell = np.floor(at)
-    return cell.astype(np.int64), at - cell
+def _slot(place: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(place), -SLOTS // 2, SLOTS // 2 - 1).astype(np.int64) + SLOTS // 2
 
 
-def _cell_key(cell: np.ndarray) -> np.ndarray:
-    """One number for a row of cell numbers."""
-    with np.errstate(over="ignore"):
-        out = np.zeros(cell.shape[:-1], np.uint64)
-        for k in range(cell.shape[-1]):
-            out = (out ^ cell[..., k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-    return out.view(np.int64)
+def _cells(lifted: np.ndarray, fitted: Fitted) -> tuple[np.ndarray, np.ndarray]:
+    """Cell numbers (0 to SLOTS - 1) and places on the scale of cells: rows x tables x hashes."""
+    tables, hashes, size = fitted.directions.shape
+    at = (lifted @ fitted.directions.reshape(-1, size).T).reshape(-1, tables, hashes)
+    place = (at + fitted.offsets) / fitted.width
+    return _slot(place), place
 
 
 def _normal_cdf(x: np.ndarray) -> np.ndarray:
-    from math import sqrt
-
-    t = 1 / (1 + 0.3275911 * np.abs(x) / sqrt(2))
+    t = 1 / (1 + 0.3275911 * np.abs(x) / np.sqrt(2))
     poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
     return 0.5 * (1 + np.sign(x) * (1 - poly * np.exp(-x * x / 2)))
 
 
-def probes(cell: np.ndarray, inside: np.ndarray, fitted: Fitted, recall: float) -> tuple[np.ndarray, np.ndarray]:
-    """Cells that one query visits: their tables and their cell numbers.
+def log_chance(place: np.ndarray, fitted: Fitted) -> np.ndarray:
+    """Per query and hash of one table, the logarithm of the probability of each cell number.
 
-    A neighbour at the fitted distance moves a projection by a normal step; the chance of each cell
-    is the product over its hashes. Tables miss independently, so each has to find a neighbour with
-    probability 1 - (1 - recall)**(1 / tables); its most likely cells are taken up to that.
+    A neighbour at the fitted distance moves a projection by a normal step.
     """
-    share = 1 - (1 - recall) ** (1 / len(cell))
-    spread = fitted.radius / fitted.width
-    reach = max(1, int(np.ceil(2.6 * spread)))
-    steps = np.arange(-reach, reach + 1)
-    chance = _normal_cdf((steps + 1 - inside[..., None]) / spread) - _normal_cdf((steps - inside[..., None]) / spread)
-    tables, found = [], []
-    for t in range(len(cell)):
-        p, moves = np.ones(1), np.zeros((1, 0), np.int64)
-        for h in range(cell.shape[1]):
-            p = (p[:, None] * chance[t, h]).ravel()
-            moves = np.concatenate([np.repeat(moves, len(steps), axis=0), np.tile(steps, len(moves))[:, None]], axis=1)
-            best = np.argsort(-p, kind="stable")  # cells too unlikely to count leave early
-            best = best[: int(np.searchsorted(np.cumsum(p[best]), (1 - 1e-3) * p.sum())) + 1]
-            p, moves = p[best], moves[best]
-        best = np.argsort(-p, kind="stable")
-        best = best[: int(np.searchsorted(np.cumsum(p[best]), share)) + 1]
-        found.append(cell[t] + moves[best])
-        tables.append(np.full(len(best), t, np.int32))
-    return np.concatenate(tables), np.concatenate(found)
+    edges = np.arange(1 - SLOTS // 2, SLOTS // 2)
+    below = _normal_cdf((edges - place[..., None]) * (fitted.width / fitted.radius))
+    ends = np.zeros((*place.shape, 1))
+    return np.log(np.maximum(np.diff(np.concatenate([ends, below, ends + 1], axis=-1), axis=-1), 1e-9))
+
+
+def _drawn(chance: np.ndarray, place: np.ndarray, fitted: Fitted) -> np.ndarray:
+    """Log-probabilities of the cells of simulated neighbours: queries x draws."""
+    out = np.zeros((len(place), len(fitted.steps)))
+    for h in range(place.shape[1]):
+        slot = _slot(place[:, h, None] + fitted.steps[:, h] * (fitted.radius / fitted.width))
+        out += np.take_along_axis(chance[:, h], slot, axis=1)
+    return out
+
+
+def least_chance(chance: np.ndarray, place: np.ndarray, fitted: Fitted) -> np.ndarray:
+    """Per query, the log-probability down to which cells of this table are visited."""
+    if fitted.share >= 1:
+        return np.full(len(place), -np.inf)
+    drawn = np.sort(_drawn(chance, place, fitted), axis=1)
+    return drawn[:, min(_DRAWS - 1, int((1 - fitted.share) * _DRAWS))] - 1e-6
+
+
+def groups(chance: np.ndarray, least: float, leading: int) -> np.ndarray:
+    """Numbers of the groups that can hold a cell likely enough for one query.
+
+    A group's bound is the chance of its own hashes and the best chance of all others.
+    """
+    best = chance.max(axis=1)
+    bound, number = np.array([best.sum()]), np.zeros(1, np.int64)
+    for h in range(leading):
+        bound = (bound[:, None] + (chance[h] - best[h])).ravel()
+        number = (number[:, None] * SLOTS + np.arange(SLOTS)).ravel()
+        bound, number = bound[bound >= least], number[bound >= least]
+    return number
+
+
+def _group(cell: np.ndarray, leading: int) -> np.ndarray:
+    number = np.zeros(len(cell), np.int64)
+    for h in range(leading):
+        number = number * SLOTS + cell[:, h]
+    return number
 
 
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products in double precision, one component added after the other.
 
-    The order of the sum does not depend on how many rows are scored together, so equal rows score
-    alike in every meeting, and ties are settled by their ids.
+    ``q`` is one query or one for each row. The order of the sum does not depend on how many rows
+    are scored together, so equal rows score alike in every meeting, and ties are settled by ids.
     """
     score = np.zeros(len(x))
     for k in range(x.shape[1]):
-        score += q[k] * x[:, k]
+        score += q[..., k] * x[:, k]
     return score
 
 
-def best(q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``k`` best rows of ``x``: largest score, then smallest id."""
-    rough = x @ q
-    if len(ids) > k:
-        line = np.partition(rough, len(ids) - k)[len(ids) - k]
-        keep = np.flatnonzero(rough >= line - 1e-9 * (1 + abs(line)))
-        ids, x = ids[keep], x[keep]
-    score = exact_scores(q, x)
-    order = np.lexsort((ids, -score))[:k]
-    return ids[order], score[order]
-
-
 def _matrix(column: pd.Series, dim: int) -> np.ndarray:
-    return np.concatenate(column.to_numpy()).reshape(len(column), dim) if len(column) else np.empty((0, dim))
+    return np.concatenate(column.to_numpy()).reshape(len(column), dim).astype(np.float64) if len(column) else np.empty((0, dim))
 
 
 def search(table: DataFrame, config: Search | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's best, without the query itself.
 
     Vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor do those
-    of another length than most have. Rows that repeat an id are candidates of their own and, as
-    queries, count once (the vector that sorts first). A query gets fewer rows only if there are
-    fewer candidates: those whose cells hold too few are compared with all vectors, in blocks.
+    of another length than most have. Rows that repeat an id count once, with the best score of
+    them as a candidate and the vector that sorts first as a query. A query gets fewer rows only if
+    there are fewer candidates: those whose cells hold too few are compared with all vectors, in
+    blocks. An empty table gives no rows; other columns are not read.
 
-    Vectors of a cell are dealt into chunks of CHUNK, and the cell's queries meet each chunk, so a
-    cell with very many equal vectors is spread over tasks; each meeting returns at most ``k``
+    Vectors of a group are dealt into chunks of CHUNK, and the group's queries meet each chunk, so
+    a group with very many equal vectors is spread over tasks; each meeting returns at most ``k``
     rows for a query.
     """
     config, spark = config or Search(), table.sparkSession
-    rows = shared_table(vectors(table), "vectors")
-    fitted, out = fit(rows, config), "query_id long, rank int, vec_id long, score double"
-    if fitted is None:
+    rows, out = vectors(table), "query_id long, rank int, vec_id long, score double"
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    most = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("length")).orderBy(F.col("n").desc(), "dim").first()
+    if most is None:
         return spark.createDataFrame([], out)
-    shared, dim, k = spark.sparkContext.broadcast(vars(fitted)), fitted.dim, config.k
+    total, dim, k = int(most["n"]), int(most["dim"]), config.k
+    rows = rows.filter(F.size("v") == dim)
+    shared = spark.sparkContext.broadcast(vars(fit(rows, config, total, dim, float(most["length"]))))
+    queries = rows.filter(F.col("vec_id") % config.every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
+    queries = shared_table(queries, "queries")
 
-    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fitted = Fitted(**shared.value)
         for frame in frames:
-            for lo in range(0, len(frame), 2_000):
-                part = frame.iloc[lo : lo + 2_000]
-                cell, _ = _cells(_matrix(part["v"], dim), fitted)
-                n, tables = len(part), cell.shape[1]
-                yield pd.DataFrame({"t": np.tile(np.arange(tables, dtype=np.int32), n), "cell": _cell_key(cell).ravel(), "vec_id": np.repeat(part["vec_id"].to_numpy(), tables)})
+            cell, _ = _cells(_lifted(_matrix(frame["v"], dim), fitted.length), fitted)
+            for t in range(cell.shape[1]):
+                yield pd.DataFrame({"t": np.full(len(frame), t, np.int32), "g": _group(cell[:, t], fitted.leading), "vec_id": frame["vec_id"], "v": frame["v"]})
 
-    def probed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fitted = Fitted(**shared.value)
         for frame in frames:
-            cell, inside = _cells(_matrix(frame["v"], dim), fitted)
-            for i, query in enumerate(frame["query_id"]):
-                tables, cells = probes(cell[i], inside[i], fitted, config.recall)
-                yield pd.DataFrame({"t": tables, "cell": _cell_key(cells), "query_id": np.full(len(tables), query)})
-
-    queries = rows.filter(F.col("vec_id") % config.every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
-    queries = shared_table(queries, "queries")
-    cells = shared_table(rows.mapInPandas(hashed, "t int, cell long, vec_id long"), "cells")
-    sizes = cells.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("n")).select("t", "cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    sizes = shared_table(sizes, "cell-sizes")
-    # Vectors travel once per table; a query travels once per chunk of a cell that it visits.
-    members = cells.join(sizes, ["t", "cell"]).join(rows, "vec_id")
-    members = members.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.col("chunks")).cast("int")).drop("chunks")
-    visits = queries.mapInPandas(probed, "t int, cell long, query_id long").join(sizes, ["t", "cell"])
-    visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks").join(queries, "query_id")
-
-    def compare(_, left: pa.Table, right: pa.Table) -> pa.Table:
+            _, place = _cells(_lifted(_matrix(frame["v"], dim), fitted.length), fitted)
+            for t in range(place.shape[1]):
+                chance = log_chance(place[:, t], fitted)
+                least = least_chance(chance, place[:, t], fitted)
+                to = [groups(c, b, fitted.leading) for c, b in zip(chance, least, strict=True)]
+                n = [len(g) for g in to]
+                at = np.repeat(np.arange(len(frame)), n)
+                yield pd.DataFrame({"t": np.full(len(at), t, np.int32), "g": np.concatenate([np.empty(0, np.int64), *to]), "query_id": frame["query_id"].to_numpy()[at], "least": least[at], "v": frame["v"].to_numpy()[at]})
+
+    kind = rows.schema["v"].dataType.simpleString()
+    members = rows.mapInPandas(placed, f"t int, g long, vec_id long, v {kind}")
+    # One row for each group: as many as there are chunks, or a small multiple.
+    sizes = members.groupBy("t", "g").agg(F.count(F.lit(1)).alias("n")).select("t", "g", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    sizes = shared_table(sizes, "group-sizes")
+    members = members.join(sizes, ["t", "g"]).withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.col("chunks")).cast("int")).drop("chunks")
+    visits = queries.mapInPandas(sent, f"t int, g long, query_id long, least double, v {kind}").join(sizes, ["t", "g"])
+    visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+
+    def visit(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        return _ranked(left, right, dim, k, Fitted(**shared.value), key[0].as_py())
+
+    def scan(_, left: pa.Table, right: pa.Table) -> pa.Table:
         return _ranked(left, right, dim, k)
 
     pairs = "query_id long, vec_id long, score double"
-    met = visits.groupBy("t", "cell", "chunk").cogroup(members.groupBy("t", "cell", "chunk")).applyInArrow(compare, pairs)
-    found = shared_table(_top(met, k, distinct=True), "found")
-    total = rows.count()
+    met = visits.groupBy("t", "g", "chunk").cogroup(members.groupBy("t", "g", "chunk")).applyInArrow(visit, pairs)
+    found = shared_table(_top(met, k), "found")
     short = queries.join(found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")), "query_id", "left").filter(F.coalesce("n", F.lit(0)) < min(k, total - 1)).drop("n")
     short = shared_table(short, "short")
     if not short.isEmpty():
@@ -236,31 +268,73 @@ def search(table: DataFrame, config: Search | None = None) -> DataFrame:
         blocks = max(1, -(-total // CHUNK))
         left = short.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         right = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
-        again = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(compare, pairs)
-        found = found.join(short.select("query_id"), "query_id", "left_anti").unionByName(_top(again, k, distinct=False))
+        again = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(scan, pairs)
+        found = found.join(short.select("query_id"), "query_id", "left_anti").unionByName(_top(again, k))
     return found.select("query_id", "rank", "vec_id", "score")
 
 
-def _ranked(queries: pa.Table, members: pa.Table, dim: int, k: int) -> pa.Table:
-    ids = members["vec_id"].to_numpy()
-    x = members["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-    q = queries["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-    out: list[tuple[np.ndarray, ...]] = []
-    for query, v in zip(queries["query_id"].to_numpy(), q, strict=True):
-        other = ids != query
-        got, score = best(v, ids[other], x[other], k) if len(ids) else (ids, np.empty(0))
-        out.append((np.full(len(got), query), got, score))
-    parts = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-    return pa.table({"query_id": pa.array(parts[0], pa.int64()), "vec_id": pa.array(parts[1], pa.int64()), "score": pa.array(parts[2], pa.float64())})
-
-
-def _top(pairs: DataFrame, k: int, distinct: bool) -> DataFrame:
-    """Merge the rows of all meetings. A pair found in several tables counts once.
-
-    ``max_by``-style merging keeps k rows a task: k best structs by a bounded aggregate.
-    """
-    from pyspark.sql import Window
-
-    rows = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")) if distinct else pairs
+def _flat(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
+
+
+def _fewer_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Rows without those that ``k + 1`` equal vectors with smaller ids precede: no query takes them."""
+    order = np.argsort(ids, kind="stable")
+    _, of, n = np.unique(x[order].view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel(), return_inverse=True, return_counts=True)
+    if n.max() <= k + 1:
+        return order
+    by = np.argsort(of, kind="stable")
+    rank = np.arange(len(by)) - np.repeat(np.cumsum(n) - n, n)
+    return order[by[rank <= k]]
+
+
+def _ranked(queries: pa.Table, members: pa.Table, dim: int, k: int, fitted: Fitted | None = None, t: int = 0) -> pa.Table:
+    """The ``k`` best members of each query, of the cells it visits in table ``t`` or of all."""
+    names = ["query_id", "vec_id", "score"]
+    if not len(queries) or not len(members):
+        return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+    ids, x, asked = members["vec_id"].to_numpy(), _flat(members["v"], dim), queries["query_id"].to_numpy()
+    some = _fewer_copies(ids, x, k)
+    ids, x, q = ids[some], x[some], _flat(queries["v"], dim)
+    bounds = np.array([0, len(x)])
+    if fitted is not None:
+        cell = _cells(_lifted(x, fitted.length), fitted)[0][:, t]
+        order = np.lexsort(cell.T)
+        ids, x, cell = ids[order], x[order], cell[order]
+        starts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]).any(axis=1)]))
+        bounds, cell = np.append(starts, len(x)), cell[starts]
+        marks = np.zeros((len(cell), cell.shape[1] * SLOTS), np.float32)
+        marks[np.arange(len(cell))[:, None], np.arange(cell.shape[1]) * SLOTS + cell] = 1
+        least = queries["least"].to_numpy()
+    parts: list[tuple[np.ndarray, ...]] = []
+    for lo in range(0, len(q), _SLICE):
+        part, own = q[lo : lo + _SLICE], asked[lo : lo + _SLICE]
+        if fitted is None:
+            rough = part @ x.T
+        else:
+            place = _cells(_lifted(part, fitted.length), fitted)[1][:, t]
+            chance = log_chance(place, fitted).reshape(len(part), -1).astype(np.float32)
+            visited = marks @ chance.T >= least[lo : lo + _SLICE] - 1e-3
+            rough = np.full((len(part), len(x)), -np.inf)
+            for c in np.flatnonzero(visited.any(axis=1)):
+                begin, end, who = bounds[c], bounds[c + 1], np.flatnonzero(visited[c])
+                rough[who, begin:end] = part[who] @ x[begin:end].T
+        rough[own[:, None] == ids] = -np.inf
+        line = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
+        line = line - 1e-9 * (1 + np.abs(np.where(np.isfinite(line), line, 0)))
+        i, j = np.nonzero((rough >= line[:, None]) & (rough > -np.inf))
+        score = np.concatenate([np.empty(0), *[exact_scores(part[i[a : a + 200_000]], x[j[a : a + 200_000]]) for a in range(0, len(i), 200_000)]])
+        order = np.lexsort((ids[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        n = np.bincount(i, minlength=len(part))
+        top = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) < k
+        parts.append((own[i[top]], ids[j[top]], score[top]))
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    return pa.table(dict(zip(names, [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], strict=True)))
+
+
+def _top(pairs: DataFrame, k: int) -> DataFrame:
+    """Merge the rows of all meetings, in one shuffle. A pair found more than once counts once."""
+    rows = pairs.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
