@@ -6,7 +6,8 @@ lies there, down to the probability at which the order has found the wanted shar
 Candidates of all tables are ranked by their exact inner products.
 
 Vectors are scaled to one length by one more component before hashing (the norm that is missing to
-the longest vector), so that the largest inner product is the smallest distance.
+the longest vector), which is zero in a query of that length, so that the largest inner product is
+the smallest distance.
 
 Nothing but vectors travels: cells of one group (those with the same first hashes) are one place,
 a query is sent to the groups that can hold a cell likely enough for it, and there its
@@ -83,13 +84,13 @@ def fit(rows: DataFrame, config: Search, n: int, dim: int, length: float) -> Fit
     """
     # The rows with the smallest digests: a random sample that does not depend on partitions.
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
-    x = _lifted(_matrix(sample["v"], dim), length)
+    plain = _matrix(sample["v"], dim)
+    x, asked = _lifted(plain, length), _query(plain[:_SLICE])
     hashes = config.hashes or int(np.clip(round(np.log2(max(n, 2) / _CELL_ROWS) / _CELL_BITS), 2, 16))
     leading = int(np.clip(np.ceil(np.log(max(n, 1) / (2 * CHUNK)) / np.log(2.5)), 0, hashes))
     rng = np.random.Generator(np.random.PCG64(config.seed))
     directions, offsets = rng.normal(size=(config.tables, hashes, dim + 1)), rng.uniform(0, config.width, (config.tables, hashes))
     steps = rng.normal(size=(_DRAWS, hashes))
-    asked = x[:_SLICE]
     distance = np.maximum(0, 2 - 2 * asked @ x.T)
     distance[np.arange(len(asked)), np.arange(len(asked))] = np.inf
     of = int(np.clip(np.ceil(config.k * len(x) / n), 1, max(1, len(x) - 1)))
@@ -98,11 +99,11 @@ def fit(rows: DataFrame, config: Search, n: int, dim: int, length: float) -> Fit
         return Fitted(dim, length, directions, offsets, config.width, steps, 1.0, 1.0, leading)
     radius = max(float(np.median(np.sqrt(np.take_along_axis(distance, near, axis=1)))), 1e-3)
     fitted = Fitted(dim, length, directions, offsets, config.width, steps, radius, 1.0, leading)
-    cell, place = _cells(x, fitted)
+    cell, place = _cells(x, fitted)[0], _cells(asked, fitted)[1]
     first = np.ones(near.shape)
     for t in range(config.tables):
-        chance = log_chance(place[: len(asked), t], fitted)
-        drawn = _drawn(chance, place[: len(asked), t], fitted)
+        chance = log_chance(place[:, t], fitted)
+        drawn = _drawn(chance, place[:, t], fitted)
         for i in range(len(asked)):
             own = chance[i][np.arange(hashes), cell[near[i], t]].sum(axis=1)
             before = 1 - np.searchsorted(np.sort(drawn[i]), own, side="right") / _DRAWS
@@ -116,6 +117,11 @@ def _lifted(x: np.ndarray, length: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]], axis=1)
 
 
+def _query(x: np.ndarray) -> np.ndarray:
+    """Queries at the vectors' common length; their own length does not change the order of scores."""
+    return np.concatenate([x / np.sqrt((x * x).sum(axis=1))[:, None], np.zeros((len(x), 1))], axis=1)
+
+
 def _slot(place: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(place), -SLOTS // 2, SLOTS // 2 - 1).astype(np.int64) + SLOTS // 2
 
@@ -156,10 +162,10 @@ def _drawn(chance: np.ndarray, place: np.ndarray, fitted: Fitted) -> np.ndarray:
 
 def least_chance(chance: np.ndarray, place: np.ndarray, fitted: Fitted) -> np.ndarray:
     """Per query, the log-probability down to which cells of this table are visited."""
-    if fitted.share >= 1:
+    rest = round((1 - fitted.share) * _DRAWS)  # draws that need not be reached
+    if rest < 1:
         return np.full(len(place), -np.inf)
-    drawn = np.sort(_drawn(chance, place, fitted), axis=1)
-    return drawn[:, min(_DRAWS - 1, int((1 - fitted.share) * _DRAWS))] - 1e-6
+    return np.sort(_drawn(chance, place, fitted), axis=1)[:, rest - 1] - 1e-6
 
 
 def groups(chance: np.ndarray, least: float, leading: int) -> np.ndarray:
@@ -234,7 +240,7 @@ def search(table: DataFrame, config: Search | None = None) -> DataFrame:
     def sent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fitted = Fitted(**shared.value)
         for frame in frames:
-            _, place = _cells(_lifted(_matrix(frame["v"], dim), fitted.length), fitted)
+            _, place = _cells(_query(_matrix(frame["v"], dim)), fitted)
             for t in range(place.shape[1]):
                 chance = log_chance(place[:, t], fitted)
                 least = least_chance(chance, place[:, t], fitted)
@@ -312,7 +318,7 @@ def _ranked(queries: pa.Table, members: pa.Table, dim: int, k: int, fitted: Fitt
         if fitted is None:
             rough = part @ x.T
         else:
-            place = _cells(_lifted(part, fitted.length), fitted)[1][:, t]
+            place = _cells(_query(part), fitted)[1][:, t]
             chance = log_chance(place, fitted).reshape(len(part), -1).astype(np.float32)
             visited = marks @ chance.T >= least[lo : lo + _SLICE] - 1e-3
             rough = np.full((len(part), len(x)), -np.inf)
