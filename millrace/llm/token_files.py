@@ -238,7 +238,8 @@ def read_documents(index: DataFrame) -> DataFrame:
                 shard.close()
 
     shards = index.select("file", "layout", "base")
-    found = shards.repartition("file").mapInArrow(run, READ)
+    # Numbered, so that shards are not merged into one task however short their rows are.
+    found = shards.repartition(max(1, shards.count()), "file").mapInArrow(run, READ)
     return found.join(shards.select(F.col("file").alias("shard"), "base"), "shard").select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "shard"
     )

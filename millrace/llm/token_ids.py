@@ -15,20 +15,29 @@ import sys
 import types
 from array import array
 
-# White space other than single spaces and line breaks between words, and special-token markers.
-_WHOLE = re.compile("[ \\n][ \\n]|\\A[ \\n]|[ \\n]\\Z|[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200d\\u2028\\u2029\\u202f\\u205f\\u2060\\u3000\\ufeff]|<\\|")
+import numpy as np
+
+# What a text holds that has to be encoded whole: white space other than single spaces and line
+# breaks between words, and special-token markers. Each is one search for a fixed string.
+_WHOLE = (
+    "  ", " \n", "\n ", "\n\n", "<|", *map(chr, (
+        0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF,
+    )),
+)
 _MARKED = re.compile("([ \\n]?[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff]+)([.,;:!?]+)")
 
 
 class TokenIds:
     """Encodes texts with a tokenizer file; at most ``keep`` distinct pieces are remembered."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._keep = keep
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -38,31 +47,80 @@ class TokenIds:
             out += [array("I", e.ids).tobytes() for e in got]
         return out
 
-    def _learn(self, pieces: list[list[str]]) -> None:
+    def _encode_spaced(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that begin with white space, many at a time as one text.
+
+        The tokenizers cut before each, so a token belongs to the piece in which it begins.
+        """
+        runs = [pieces[k : k + 250] for k in range(0, len(pieces), 250)]
+        out = []
+        for begin in range(0, len(runs), 20):
+            some = runs[begin : begin + 20]
+            for run, got in zip(some, self._tokenizer.encode_batch(["".join(r) for r in some], add_special_tokens=False), strict=True):
+                ends = np.cumsum([len(p) for p in run])
+                at = np.array([x for x, _ in got.offsets], np.int64)
+                last = 4 * np.searchsorted(at, ends)
+                ids, lo = array("I", got.ids).tobytes(), 0
+                for hi in last.tolist():
+                    out.append(ids[lo:hi])
+                    lo = hi
+        return out
+
+    def _learn(self, new: set[str]) -> None:
+        """Remember the ids of pieces not known. Those known before the table was last full come
+        back from the older table, so words in use are not encoded again."""
+        if len(self._known) + len(new) > self._keep // 2:
+            self._older, self._known = self._known, {}
         known = self._known
-        new = {p for s in pieces for p in s if p not in known}
-        if len(known) + len(new) > self._keep:
-            known.clear()
-            new = {p for s in pieces for p in s}
-        marked = {p: m.groups() for p in new if (m := _MARKED.fullmatch(p))}
-        plain = list((new - marked.keys()) | {q for m in marked.values() for q in m if q not in known})
-        known.update(zip(plain, self._encode(plain), strict=True))
+        for p in [p for p in new if p in self._older]:
+            known[p] = self._older[p]
+        marked = {p: (_piece(m[1]), _piece(m[2])) for p in new if p not in known and (m := _MARKED.fullmatch(_written(p)))}
+        parts = {q for m in marked.values() for q in m}
+        known.update((q, self._older[q]) for q in parts if q not in known and q in self._older)
+        plain = [p for p in (new - marked.keys()) | parts if p not in known]
+        spaced = [p for p in plain if p[0] != " "]
+        known.update(zip(spaced, self._encode_spaced(list(map(_written, spaced))), strict=True))
+        other = [p for p in plain if p[0] == " "]
+        known.update(zip(other, self._encode(list(map(_written, other))), strict=True))
         known.update((p, known[a] + known[b]) for p, (a, b) in marked.items())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Unsigned 32-bit ids of each text in the machine's byte order (little-endian here)."""
-        whole = [bool(_WHOLE.search(t)) for t in texts]
-        # " a b\nc" has the pieces " a", " b" and "\nc"; the first piece has nothing before it.
+        whole = [_is_whole(t) for t in texts]
         pieces = []
         for t, w in zip(texts, whole, strict=True):
-            if w or not t:
-                continue
-            first, *rest = t.replace("\n", " \n").split(" ")
-            pieces.append([first, *[p if p[0] == "\n" else " " + p for p in rest]])
-        self._learn(pieces)
-        known = self._known.__getitem__
-        split, rest = iter(pieces), iter(self._encode([t for t, w in zip(texts, whole, strict=True) if w]))
-        return [next(rest) if w else b"".join(map(known, next(split))) if t else b"" for t, w in zip(texts, whole, strict=True)]
+            if t and not w:
+                p = t.replace("\n", " \n").split(" ")
+                p[0] = " " + p[0]
+                pieces.append(p)
+        found = [list(map(self._known.get, p)) for p in pieces]
+        short = [k for k, ids in enumerate(found) if not all(ids)]
+        if short:
+            new = {p for k in short for p, ids in zip(pieces[k], found[k], strict=True) if ids is None}
+            # The table may change here: what was found stays found, the rest is now known.
+            self._learn(new)
+            for k in short:
+                found[k] = [self._known[p] if ids is None else ids for p, ids in zip(pieces[k], found[k], strict=True)]
+        split, rest = iter(found), iter(self._encode([t for t, w in zip(texts, whole, strict=True) if w]))
+        return [next(rest) if w else b"".join(next(split)) if t else b"" for t, w in zip(texts, whole, strict=True)]
+
+
+# Pieces as keys: "a b\nc" has the pieces " a", "b" and "\nc", so that splitting at spaces gives the
+# keys. A key with a space in front stands for a text's beginning, one without for a space and a word.
+
+
+def _written(piece: str) -> str:
+    """The characters that a key stands for."""
+    return piece[1:] if piece[0] == " " else piece if piece[0] == "\n" else " " + piece
+
+
+def _piece(written: str) -> str:
+    """The key of some characters."""
+    return written[1:] if written[0] == " " else written if written[0] == "\n" else " " + written
+
+
+def _is_whole(text: str) -> bool:
+    return any(x in text for x in _WHOLE) or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n")
 
 
 def token_ids(path: str) -> TokenIds:

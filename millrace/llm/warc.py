@@ -249,7 +249,9 @@ def read_archives(files: DataFrame) -> DataFrame:
                     yield _batch([parse(data[at - begin : at - begin + size]) for _, _, at, size in lines], _NAMES, _KINDS)
                 captures.close()
 
-    return files.select("index", "archive").repartition("index").mapInArrow(run, READ)
+    # Numbered, so that archives are not merged into one task however short their rows are.
+    archives = files.select("index", "archive")
+    return archives.repartition(max(1, archives.count()), "index").mapInArrow(run, READ)
 
 
 def find_captures(files: DataFrame, urls: DataFrame) -> DataFrame:
