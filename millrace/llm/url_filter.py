@@ -3,8 +3,9 @@
 Hosts are linked by their pages' links and by their domains.
 
 Trust spreads from trusted hosts along links, distrust from blocked hosts against them: who links to
-a blocked host is suspect. Both are ends of random walks with restart (personalised PageRank). A host whose distrust outweighs its trust by
-the threshold is blocked. Rules always win over the propagated verdict.
+a blocked host is suspect. Both are personalised PageRanks, each as a part of the rank that the host
+would have if every host were a seed. A host whose distrust reaches the threshold and exceeds its
+trust is blocked. Rules always win over the propagated verdict.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ _LISTS = ("srcset", "imagesrcset", "ping")  # several addresses in one value
 
 @dataclass(frozen=True)
 class Propagation:
-    """``threshold``: distrust minus trust from which a host is blocked, both in [0, 1]. On a host
-    without links they are its shares of blocked and allowed pages."""
+    """``threshold``: distrust, in [0, 1], from which a host is blocked, if it exceeds the trust. On a
+    host without links they are its shares of blocked and allowed pages. ``kin``: weight of an edge
+    between a host and its parent domain, a link being 1."""
 
     damping: float = 0.85
     rounds: int | None = None  # no limit
     tolerance: float = 1e-6
-    threshold: float = 2 / 3
+    threshold: float = 0.5
+    kin: float = 0.25
 
 
 def host_of(url: Column) -> Column:
@@ -164,27 +167,34 @@ def personalised_rank(edges: DataFrame, seeds: DataFrame, config: Propagation) -
     return _walk(shares, seeds.select("host", ((1 - config.damping) * F.col("mass")).alias("score")), config)
 
 
-def walk_ends(edges: DataFrame, seeds: DataFrame, config: Propagation) -> DataFrame:
-    """``host`` and ``score`` in [0, 1]: the mean mass of the hosts at which walks from the host end.
+def _received(edges: DataFrame, seeds: DataFrame, everyone: DataFrame, config: Propagation, name: str) -> DataFrame:
+    """``host`` and ``name`` in [0, 1]: the seeds' part of the personalised rank of each host.
 
-    A walk along ``edges`` ends at each host with 1 - damping, and where no link goes on. This is the
-    personalised rank from each host, summed over the seeds. As a mean over the host's own links it
-    does not depend on how many other hosts link to a seed, nor on the number of hosts.
+    What a host receives over its links from seeds is divided by what it would receive if every host
+    were a seed, so the figure depends neither on the number of hosts nor on how many links lead to
+    a seed. The host's own mass counts by 1 - damping, as a walk starts over; alone without links.
     """
-    out = edges.groupBy("src").agg(F.sum("n").alias("out"))
-    shares = edges.join(out, "src").select(F.col("dst").alias("__from"), F.col("src").alias("dst"), (F.col("n") / F.col("out")).alias("share"))
-    stops = F.when(F.col("out").isNull(), F.lit(1.0)).otherwise(F.lit(1 - config.damping))
-    start = seeds.join(out.withColumnRenamed("src", "host"), "host", "left").select("host", (stops * F.col("mass")).alias("score"))
-    return _walk(shares.withColumnRenamed("__from", "src"), start, config)
+    own = 1 - config.damping
+    mine = personalised_rank(edges, seeds, config).withColumnRenamed("score", "mine")
+    whole = personalised_rank(edges, everyone.select("host", F.lit(1.0).alias("mass")), config)
+    rows = whole.join(mine, "host", "left").join(seeds.select("host", "mass"), "host", "left").fillna(0.0, ["mine", "mass"])
+    linked = F.col("score") - own
+    share = F.least(F.lit(1.0), (F.col("mine") - own * F.col("mass")) / linked)
+    part = F.when(linked > config.tolerance, own * F.col("mass") + config.damping * share).otherwise(F.col("mass"))
+    return rows.select("host", F.greatest(F.lit(0.0), part).alias(name))
 
 
 def propagate(edges: DataFrame, trusted: DataFrame, blocked: DataFrame, config: Propagation) -> DataFrame:
-    """``host``, ``trust``, ``distrust`` and ``blocked`` for hosts that either score reaches."""
+    """``host``, ``trust``, ``distrust`` and ``blocked`` for hosts with an edge or a seed.
+
+    Trust follows the links from trusted hosts, distrust goes against them from blocked hosts.
+    """
     against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    trust = walk_ends(against, trusted, config).withColumnRenamed("score", "trust")
-    distrust = walk_ends(edges, blocked, config).withColumnRenamed("score", "distrust")
-    both = trust.join(distrust, "host", "full").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
-    return both.withColumn("blocked", F.col("distrust") - F.col("trust") >= config.threshold)
+    everyone = shared_table(edges.select(F.col("src").alias("host")).union(edges.select("dst")).union(trusted.select("host")).union(blocked.select("host")).distinct(), "hosts")
+    trust = _received(edges, trusted, everyone, config, "trust")
+    distrust = _received(against, blocked, everyone, config, "distrust")
+    limit = (F.col("distrust") >= config.threshold) & (F.col("distrust") > F.col("trust"))
+    return trust.join(distrust, "host").withColumn("blocked", limit)
 
 
 def judge(pages: DataFrame, rules: DataFrame, config: Propagation | None = None) -> DataFrame:
@@ -199,7 +209,7 @@ def judge(pages: DataFrame, rules: DataFrame, config: Propagation | None = None)
     config = config or Propagation()
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     hosts = urls.select("host").distinct()
-    edges = links(pages).union(kin(hosts)).groupBy("src", "dst").agg(F.sum("n").alias("n"))
+    edges = links(pages).union(kin(hosts).withColumn("n", F.col("n") * config.kin)).groupBy("src", "dst").agg(F.sum("n").alias("n"))
     edges = shared_table(edges, "links")
     known = shared_table(host_rules(hosts, rules).withColumnRenamed("host", "__host"), "host-rules")
     fit = F.try_element_at(F.filter("rules", lambda r: F.startswith("path", r.path)), F.lit(1))

@@ -171,24 +171,22 @@ def test_dedup_lines(docs, bits, keep):
 
 
 def brute_classes(rows, config=near_dedup.NearDup()):
-    """Class of each (id, text) by comparing all texts."""
-    known, vectors, df = sketches.WordHashes(), {}, Counter()
+    """Class of each (id, text) by comparing the sets of shingles of all texts."""
     texts = {(r["doc_id"], r["text"]) for r in rows}
-    for r in rows:
-        h, c = sketches.shingles(known.of((r["text"] or "").encode().split()), config.words)
-        vectors[(r["doc_id"], r["text"])] = (h, c)
-        df.update((h >> np.uint64(64 - config.table_bits)).tolist())
-    n = sum(bool((r["text"] or "").split()) for r in rows)
-    idf = lambda x: 1 + np.log((n + 1) / (df[int(x) >> (64 - config.table_bits)] + 1))
-    weighed = {k: (h, c * np.array([idf(x) for x in h])) for k, (h, c) in vectors.items() if len(h)}
+    sets = {}
+    for k in texts:
+        words = WORD.findall(k[1] or "")
+        if words:
+            n = min(config.words, len(words))
+            sets[k] = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
     parent = {k: k for k in texts}
 
     def top(k):
         return k if parent[k] == k else top(parent[k])
 
     order = lambda k: (k[0] is not None, k[0] or 0, k[1] or "")
-    for a, b in itertools.combinations(sorted(weighed, key=order), 2):
-        if near_dedup.similarity(weighed[a], weighed[b]) >= config.similarity and top(a) != top(b):
+    for a, b in itertools.combinations(sorted(sets, key=order), 2):
+        if len(sets[a] & sets[b]) >= config.similarity * len(sets[a] | sets[b]) and top(a) != top(b):
             x, y = sorted((top(a), top(b)), key=order)
             parent[y] = x
     return {k: top(k)[0] for k in texts}
@@ -436,18 +434,75 @@ def test_links_of_every_attribute_and_of_domains(spark):
     assert {(r["src"], r["dst"]) for r in local(url_filter.kin(hosts))} == up | {(b, a) for a, b in up}
 
 
-def test_scores_converge_and_do_not_depend_on_the_number_of_linkers(spark, monkeypatch):
+def brute_parts(edges, mass, damping=0.85):
+    """Part of each host's personalised rank, by solving for it; ``edges`` is (src, dst) -> weight."""
+    hosts = sorted({h for e in edges for h in e} | set(mass))
+    at = {h: k for k, h in enumerate(hosts)}
+    share = np.zeros((len(hosts), len(hosts)))
+    for (a, b), n in edges.items():
+        share[at[b], at[a]] = n
+    share /= np.where(share.sum(axis=0) > 0, share.sum(axis=0), 1)
+    own = np.array([mass.get(h, 0.0) for h in hosts])
+    rank = lambda m: np.linalg.solve(np.eye(len(hosts)) - damping * share, (1 - damping) * m)
+    got, most = rank(own) - (1 - damping) * own, rank(np.ones(len(hosts))) - (1 - damping)
+    part = [(1 - damping) * m + damping * g / w if w > 1e-6 else m for m, g, w in zip(own, got, most, strict=True)]
+    return dict(zip(hosts, part, strict=True))
+
+
+def test_distrust_does_not_depend_on_the_number_of_linkers(spark, monkeypatch):
     """A chain longer than eight links, and 30 hosts that link to the chain's blocked end."""
-    edges = [(f"c{k + 1}", f"c{k}", 1) for k in range(11)] + [(f"s{k}", "c0", 2) for k in range(30)]
-    frame = spark.createDataFrame(edges, "src string, dst string, n long")
+    edges = {(f"c{k + 1}", f"c{k}"): 1 for k in range(11)} | {(f"s{k}", "c0"): 2 for k in range(30)}
+    frame = spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "src string, dst string, n long")
     none, seed = spark.createDataFrame([], "host string, mass double"), spark.createDataFrame([("c0", 1.0)], "host string, mass double")
-    want = {f"c{k}": 0.85**k for k in range(12)} | {f"s{k}": 0.85 for k in range(30)}
-    for size in (url_filter.GRAPH_BYTES, -1):
-        monkeypatch.setattr(url_filter, "GRAPH_BYTES", size)
-        assert {r["host"]: r["score"] for r in local(url_filter.walk_ends(frame, seed, url_filter.Propagation()))} == pytest.approx(want)
-    monkeypatch.undo()
-    got = {r["host"]: r["blocked"] for r in local(url_filter.propagate(frame, none, seed, url_filter.Propagation()))}
-    assert {h for h, b in got.items() if b} == {"c0", "c1", "c2", *(f"s{k}" for k in range(30))}
+    want = brute_parts({(b, a): n for (a, b), n in edges.items()}, {"c0": 1.0})
+    got = local(url_filter.propagate(frame, none, seed, url_filter.Propagation(tolerance=1e-9)))
+    assert {r["host"]: r["distrust"] for r in got} == pytest.approx(want, abs=1e-6)
+    assert {r["host"] for r in got if r["blocked"]} == {"c0", "c1", *(f"s{k}" for k in range(30))}
+    against, few = frame.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), url_filter.Propagation(rounds=2)
+    want = {r["host"]: r["score"] for r in local(url_filter.personalised_rank(against, seed, few))}
+    monkeypatch.setattr(url_filter, "GRAPH_BYTES", -1)  # a graph too large for one task
+    got = {r["host"]: r["score"] for r in local(url_filter.personalised_rank(against, seed, few))}
+    assert got == pytest.approx({h: want[h] for h in got}) and set(got) >= {h for h, x in want.items() if x}
+
+
+def test_judge_equals_brute_force(spark):
+    """Rules, links and domains together, with hosts partly blocked and pages no rule fits."""
+    rng = np.random.default_rng(17)
+    hosts = [f"{p}h{k}.{t}" for k, (p, t) in enumerate(itertools.product(("", "www.", "a.b."), ("good.org", "bad.net", "mid.net", "else.io")))]
+    rules = [("allow", "good.org", "/"), ("block", "bad.net", "/"), ("block", "net", "/x/"), ("allow", "www.h6.mid.net", "/x/")]
+    rows, edges = [], Counter()
+    for i in range(150):
+        src, to = hosts[rng.integers(len(hosts))], [hosts[k] for k in rng.integers(0, len(hosts), rng.integers(0, 3))]
+        rows.append((i, f"http://{src.upper() if i % 2 else src}/{'x' if rng.random() < 0.7 else 'y'}/{i}", " ".join(f"<a href='//{h}/z'>" for h in to) or None))
+        edges.update((src, h) for h in to if h != src)
+    rows += [(150, None, "<a href=//nowhere.io>"), (151, "no address", None), (152, "http://sink.bad.net/x/", None), (153, "http://spam.io/y/", "<a href='//sink.bad.net/z'>"), rows[0]]
+    edges["spam.io", "sink.bad.net"] += 1
+    split = lambda u: re.match(r"[^:]*://([^/]*)(.*)", u or "").groups() if "://" in (u or "") else ("", "")
+    edges.update((rows[0][1][7:].split("/")[0].lower(), h) for h in re.findall("//([^/]*)/z", rows[0][2] or "") if h != rows[0][1][7:].split("/")[0].lower())
+
+    def rule(host, path):
+        fits = [(len(h + p), v, h + p) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits, key=lambda f: (f[0], f[1] == "allow"))[1:] if fits else (None, None)
+
+    judged = [(i, split(u)[0].lower(), split(u)[1]) for i, u, _ in rows]
+    seen = Counter(h for _, h, _ in judged if h)
+    mass = {v: {h: n / seen[h] for h, n in Counter(h for _, h, p in judged if rule(h, p)[0] == v).items()} for v in ("allow", "block")}
+    for child, parent in {(".".join(h.split(".")[k:]), ".".join(h.split(".")[k + 1 :])) for h in seen for k in range(h.count(".") - 1)}:
+        edges[child, parent] += 0.25
+        edges[parent, child] += 0.25
+    for v in ("allow", "block"):
+        mass["allow" if v == "block" else "block"] |= {h: mass["allow" if v == "block" else "block"].get(h, 0.0) for h in mass[v]}
+    trust, distrust = brute_parts(edges, mass["allow"]), brute_parts({(b, a): n for (a, b), n in edges.items()}, mass["block"])
+    got = local(url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), url_filter.rule_table(spark, rules)))
+    want = Counter()
+    for i, h, p in judged:
+        verdict, text = rule(h, p)
+        bad = h and distrust[h] >= 0.5 and distrust[h] > trust[h]
+        want[i, h, p, text, verdict or ("block" if bad else "allow")] += 1
+    assert Counter((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got) == want
+    assert {r["host"]: r["distrust"] for r in got if r["host"]} == pytest.approx({h: distrust[h] for h in seen}, abs=1e-4)
+    assert {r["host"]: r["trust"] for r in got if r["host"]} == pytest.approx({h: trust[h] for h in seen}, abs=1e-4)
+    assert any(r["rule"] is None and r["verdict"] == "block" for r in got) and any(r["rule"] is None and r["verdict"] == "allow" for r in got)
 
 
 # -- nearest neighbours ------------------------------------------------------------------------------
