@@ -205,6 +205,7 @@ def judge(pages: DataFrame, rules: DataFrame, config: Propagation | None = None)
     pages that rules allow, and of distrust by the share that they block. Other pages are blocked
     if their host is, else allowed. A NULL URL, or one without ``://``, has an empty host
     and path and is allowed. Repeated rows are judged alike; an empty table gives no rows.
+    NULL or empty html has no links; html of any length is searched whole, one page at a time.
     """
     config = config or Propagation()
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
