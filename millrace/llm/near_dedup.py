@@ -1,14 +1,16 @@
-"""Near-duplicate documents: consistent samples of shingles, banded and verified.
-
-1. Each document gets samples of its distinct shingles; two documents agree in a sample with a
-   probability equal to their Jaccard similarity. Groups of samples are band keys.
-2. Texts with the same words are one node. Nodes that share a band key are compared on their texts:
-   first each with a few hubs of its bucket, then, in buckets whose nodes are not yet in one class,
-   block against block. A pair in one class already needs no comparison.
-3. Classes are the components of verified links.
-
-Every shingle weighs the same, so whether two texts are alike depends on the two alone: neither on
-how many copies of them there are nor on the size of the corpus.
+"""Near-duplicate documents: consistent weighted samples of TF-IDF shingles, banded and verified.
+
+1. Texts with the same words are one node. The nodes that have a shingle are counted exactly, so
+   copies of a text count once.
+2. Each node gets samples of its shingles weighted by TF-IDF, and samples of its set of shingles.
+   Two nodes agree in a sample with a probability equal to their (weighted) Jaccard similarity.
+   Groups of samples are band keys.
+3. Nodes that share a band key are compared on their texts: first each with a few hubs of its
+   bucket, then, in buckets whose nodes are not yet in one class, block against block. A pair in
+   one class already needs no comparison. Two texts are alike when their weighted or their plain
+   similarity reaches the limit: near copies in large groups, whose shingles are frequent and light
+   for that reason, are found by the plain one.
+4. Classes are the components of verified links.
 """
 
 from __future__ import annotations
@@ -26,16 +28,19 @@ from pyspark.sql import functions as F
 from ..operators.joins import lookup
 from .common import release, shared_table, text_or_empty
 from .components import components
-from .sketches import WordHashes, shingles
+from .sketches import WordHashes, document_frequencies, shingles
 
 _POOL_BITS = 16  # independent draws of (r, c, beta), shared by all samples
+_TABLES = 32  # weights whose scores are kept for all draws
 BLOCK = 2_000  # nodes of a bucket compared at once
+CHUNK = 8 << 20  # bytes of texts sampled together
+PART = 12 << 20  # bytes of texts per part of the space of shingles, some 2 million shingles
 
 
 @dataclass(frozen=True)
 class NearDup:
     """A pair at the similarity limit shares a band with probability 1 - (1 - s**rows)**bands,
-    0.9998 for the values here."""
+    0.9998 for the values here. There are as many bands of weighted samples as of plain ones."""
 
     words: int = 5
     similarity: float = 0.8
@@ -60,23 +65,80 @@ class Sampler:
         self._beta = rng.random(size)
         self._odd = rng.integers(0, 1 << 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+        self._tables: dict[float, np.ndarray] = {}
+
+    def _drawn(self, at: np.ndarray, log_s: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
+        """Score and quantised weight of a weight at these draws."""
+        r, beta = self._r[at], self._beta[at]
+        t = np.floor(log_s / r + beta)
+        return self._c[at] - r * (t - beta) - r, t
+
+    def _table(self, weight: float) -> np.ndarray:
+        if weight not in self._tables:
+            if len(self._tables) >= _TABLES:
+                self._tables.clear()
+            self._tables[weight] = self._drawn(np.arange(len(self._r)), np.log(weight))[0].astype(np.float32)
+        return self._tables[weight]
+
     def __call__(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One 32-bit sample per function: the chosen shingle and its quantised weight."""
+        order = np.argsort(weights, kind="stable")
+        hashes, weights = hashes[order], weights[order]
         log_s, out = np.log(weights), np.empty(len(self._odd), np.uint32)
+        starts = np.flatnonzero(np.r_[True, weights[1:] != weights[:-1]])
+        runs = list(zip(starts.tolist(), [*starts[1:].tolist(), len(weights)], strict=True))
+        # Frequent weights take their scores from a table, the others are worked out together.
+        many = [(lo, hi) for lo, hi in runs if hi - lo >= 32]
+        rare = np.concatenate([np.arange(lo, hi) for lo, hi in runs if hi - lo < 32] or [np.empty(0, np.int64)])
         step = max(1, 200_000 // len(hashes))
         for lo in range(0, len(out), step):
             with np.errstate(over="ignore"):
-                at = ((hashes * self._odd[lo : lo + step, None]) >> np.uint64(64 - _POOL_BITS)).astype(np.int64)
-            r, beta = self._r[at], self._beta[at]
-            t = np.floor(log_s / r + beta)
-            k = np.argmin(self._c[at] - r * (t - beta) - r, axis=1)
-            row = np.arange(len(k))
+                at = ((hashes * self._odd[lo : lo + step, None]) >> np.uint64(64 - _POOL_BITS)).view(np.int64)
+            score = self._table(weights[0]).take(at) if len(runs) == 1 else np.empty(at.shape, np.float32)
+            for x, y in many if len(runs) > 1 else ():
+                score[:, x:y] = self._table(weights[x]).take(at[:, x:y])
+            if len(rare) and len(runs) > 1:
+                score[:, rare] = self._drawn(at[:, rare], log_s[rare])[0]
+            k = np.argmin(score, axis=1)
+            t = self._drawn(at[np.arange(len(k)), k], log_s[k])[1]
             with np.errstate(over="ignore"):
-                mark = hashes[k] ^ (t[row, k].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                mark = hashes[k] ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             out[lo : lo + step] = (mark >> np.uint64(32)).astype(np.uint32)
         return out
 
 
+    def plain(self, hashes: np.ndarray) -> np.ndarray:
+        """One 32-bit sample per function of a set of shingles, all alike: the least product."""
+        out = np.empty(len(self._odd), np.uint64)
+        step = max(1, 200_000 // len(hashes))
+        for lo in range(0, len(out), step):
+            with np.errstate(over="ignore"):
+                out[lo : lo + step] = (hashes * self._odd[lo : lo + step, None]).min(axis=1)
+        return out.astype(np.uint32)  # an odd factor keeps the low bits of different hashes apart
+
+
+class Vector:
+    """A text's distinct shingles, ascending, and their TF-IDF weights.
+
+    ``counts`` holds the number of nodes that have each shingle (32-bit), or nothing if no other
+    node has any of them.
+    """
+
+    def __init__(self, hashes: np.ndarray, times: np.ndarray, counts: bytes, nodes: int):
+        self.hashes = hashes
+        df = np.frombuffer(counts, np.uint32) if counts else np.ones(len(hashes))
+        self.weights = times * (1 + np.log((nodes + 1) / (df + 1)))
+
+
+def alike(a: Vector, b: Vector, limit: float) -> bool:
+    """Whether the plain or the weighted similarity reaches the limit."""
+    _, i, j = np.intersect1d(a.hashes, b.hashes, assume_unique=True, return_indices=True)
+    if len(i) >= limit * (len(a.hashes) + len(b.hashes) - len(i)):
+        return True
+    least = np.minimum(a.weights[i], b.weights[j]).sum()
+    return bool(least >= limit * (a.weights.sum() + b.weights.sum() - least))
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard of two (ascending hashes, weights)."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -85,52 +147,75 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(least / most) if most else 0.0
 
 
-def _signed(docs: DataFrame, config: NearDup) -> DataFrame:
+def _digests(docs: DataFrame) -> DataFrame:
+    """Per row a digest of its words (NULL without words) and the size of its text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sample = WordHashes(), Sampler(config.samples)
         for batch in batches:
             digests: list[bytes | None] = []
-            marks: list[bytes | None] = []
+            sizes: list[int] = []
             for text in batch["text"].cast(pa.binary()).to_pylist():
                 words = text.split()
-                if not words:
-                    digests.append(None)
-                    marks.append(None)
-                    continue
-                hashes = shingles(known.of(words), config.words)[0]
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                marks.append(sample(hashes, np.ones(len(hashes))).tobytes())
+                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None)
+                sizes.append(len(text))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["__h"], pa.array(digests, pa.binary()), pa.array(marks, pa.binary())], ["doc_id", "__h", "digest", "samples"]
+                [batch["doc_id"], batch["__h"], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "__h", "digest", "size"]
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("__h"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, __h long, digest binary, samples binary")
+    return rows.mapInArrow(run, "doc_id long, __h long, digest binary, size long")
+
 
+def _signed(texts: DataFrame, frequent: DataFrame, nodes: int, config: NearDup) -> DataFrame:
+    """Per node its plain and its weighted samples, and the counts of its shingles.
 
-def _verified(pairs: DataFrame, texts: DataFrame, config: NearDup) -> DataFrame:
-    """Pairs (a, b) whose texts reach the similarity of their sets of shingles."""
+    ``frequent`` holds, per chunk of texts, the shingles that several nodes have, with the counts.
+    """
+
+    def run(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
+        known, sample = WordHashes(), Sampler(config.samples)
+        hashes = np.frombuffer(b"".join(found["hashes"].to_pylist()), np.uint64)
+        order = np.argsort(hashes)
+        hashes, times = hashes[order], np.frombuffer(b"".join(found["counts"].to_pylist()), np.uint32)[order]
+        marks, counts = [], []
+        for text in rows["text"].to_pylist():
+            own, tf = shingles(known.of(text.split()), config.words)
+            df = np.ones(len(own), np.uint32)
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                df = np.where(hashes[at] == own, times[at], df).astype(np.uint32)
+            counts.append(df.tobytes() if (df > 1).any() else b"")
+            vector = Vector(own, tf, counts[-1], nodes)
+            marks.append(sample.plain(own).tobytes() + sample(own, vector.weights).tobytes())
+        return pa.table({"rep": rows["rep"], "digest": rows["digest"], "samples": pa.array(marks, pa.binary()), "counts": pa.array(counts, pa.binary())})
+
+    both = texts.select("chunk", "rep", "digest", F.col("text").cast("binary").alias("text")).groupBy("chunk").cogroup(frequent.groupBy("chunk"))
+    return both.applyInArrow(run, "rep long, digest binary, samples binary, counts binary")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, nodes: int, config: NearDup) -> DataFrame:
+    """Pairs (a, b) whose texts reach the similarity of their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        last: tuple[bytes, tuple] | None = None
+        last: tuple[bytes, Vector] | None = None
 
-        def vector(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-            hashes = shingles(known.of(text.split()), config.words)[0]
-            return hashes, np.ones(len(hashes))
+        def vector(text: bytes, counts: bytes) -> Vector:
+            return Vector(*shingles(known.of(text.split()), config.words), counts, nodes)
 
         for batch in batches:
             ok = []
-            for x, y in zip(batch["x"].cast(pa.binary()).to_pylist(), batch["y"].cast(pa.binary()).to_pylist(), strict=True):
-                if last is None or last[0] != x:
-                    last = (x, vector(x))
-                ok.append(similarity(last[1], vector(y)) >= config.similarity)
+            x, y = (batch[c].cast(pa.binary()).to_pylist() for c in ("x", "y"))
+            for s, t, m, n in zip(x, y, batch["m"].to_pylist(), batch["n"].to_pylist(), strict=True):
+                if last is None or last[0] != s:
+                    last = (s, vector(s, m))
+                ok.append(alike(last[1], vector(t, n), config.similarity))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    x = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
-    y = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
+    x = texts.select(F.col("node").alias("a"), F.col("text").alias("x"), F.col("counts").alias("m"))
+    y = texts.select(F.col("node").alias("b"), F.col("text").alias("y"), F.col("counts").alias("n"))
     kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y", "m", "n").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _hub_pairs(buckets: DataFrame, labels: DataFrame | None, hub: Column) -> DataFrame:
@@ -144,7 +229,7 @@ def _hub_pairs(buckets: DataFrame, labels: DataFrame | None, hub: Column) -> Dat
     return pairs.join(left, "a", "left").join(right, "b", "left").filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def _block_links(buckets: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame, config: NearDup) -> DataFrame:
+def _block_links(buckets: DataFrame, texts: DataFrame, labels: DataFrame, nodes: int, config: NearDup) -> DataFrame:
     """Links between different classes in a bucket, block by block.
 
     Pairs whose samples agree well enough are compared on their texts at once, unless the links
@@ -159,37 +244,52 @@ def _block_links(buckets: DataFrame, nodes: DataFrame, texts: DataFrame, labels:
         .select("band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     members = placed.join(mixed, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.join(nodes.select("node", "samples"), "node").join(texts.select("node", F.col("text").cast("binary").alias("text")), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # The samples that the band is made of: plain or weighted ones.
+    half = F.when(F.col("band") < config.bands, F.substring("samples", 1, 4 * config.samples)).otherwise(F.substring("samples", 4 * config.samples + 1, 4 * config.samples))
+    members = members.join(texts.select("node", "samples"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select(
-        "band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "samples", "text",
+        "band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", half.alias("samples"),
         F.col("node.rep").alias("rep"), F.col("node.digest").alias("digest"), F.xxhash64("label").alias("label"),
     )
     least = int(np.ceil(config.agreement * config.samples))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def compared(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Each node of the left block, the nodes of the right one that agree with it, and the labels."""
         marks = np.frombuffer(b"".join(group["samples"]), np.uint32).reshape(len(group), -1)
-        block, label = group["block"].to_numpy(), group["label"].to_numpy()
-        i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
+        block, i, j = group["block"].to_numpy(), int(group["i"].iloc[0]), int(group["j"].iloc[0])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        rep, digest, text = group["rep"].to_numpy(dtype=object), group["digest"].to_numpy(), group["text"].to_numpy()
-        _, label = np.unique(label, return_inverse=True)  # joined classes get one label
+        _, label = np.unique(group["label"].to_numpy(), return_inverse=True)  # joined classes get one label
+        for x in left:
+            other = right[(label[right] != label[x]) & ((right > x) if i == j else True)]
+            yield x, other[(marks[other] == marks[x]).sum(axis=1) >= least], label
+
+    def agreeing(group: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(len(group), bool)
+        for x, near, _ in compared(group):
+            seen[near] = True
+            seen[x] |= len(near) > 0
+        return group[seen]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rep, digest, text, counts = group["rep"].to_numpy(dtype=object), group["digest"].to_numpy(), group["text"].to_numpy(), group["counts"].to_numpy()
         known, vectors = WordHashes(), {}
 
-        def vector(k: int) -> tuple[np.ndarray, np.ndarray]:
+        def vector(k: int) -> Vector:
             if k not in vectors:
-                hashes = shingles(known.of(text[k].split()), config.words)[0]
-                vectors[k] = (hashes, np.ones(len(hashes)))
+                vectors[k] = Vector(*shingles(known.of(text[k].split()), config.words), counts[k], nodes)
             return vectors[k]
 
         out = []
-        for x in left:
-            near = right[((marks[right] == marks[x]).sum(axis=1) >= least) & (label[right] != label[x])]
+        for x, near, label in compared(group):
             for y in near:
-                if (i != j or x < y) and label[x] != label[y] and similarity(vector(x), vector(y)) >= config.similarity:
+                if label[x] != label[y] and alike(vector(x), vector(y), config.similarity):
                     out.append((rep[x], digest[x], rep[y], digest[y]))
                     label[label == label[y]] = label[x]
         return pd.DataFrame(out, columns=["ra", "da", "rb", "db"])
 
+    # Texts move only for nodes that agree with one of another class.
+    members = shared_table(members.groupBy("band", "key", "i", "j").applyInPandas(agreeing, members.schema), "agreeing")
+    members = members.join(texts.select(F.col("node.digest").alias("digest"), "counts", F.col("text").cast("binary").alias("text")), "digest")
     found = members.groupBy("band", "key", "i", "j").applyInPandas(run, "ra long, da binary, rb long, db binary")
     node = lambda r, d: F.struct(F.col(r).alias("rep"), F.col(d).alias("digest"))
     return found.distinct().select(F.least(node("ra", "da"), node("rb", "db")).alias("a"), F.greatest(node("ra", "da"), node("rb", "db")).alias("b"))
@@ -205,27 +305,43 @@ def near_duplicates(docs: DataFrame, config: NearDup | None = None) -> DataFrame
     count, case does. An empty table gives no rows; other columns are not read.
     """
     config, spark = config or NearDup(), docs.sparkSession
-    signed = shared_table(_signed(docs, config), "signed")
+    signed = shared_table(_digests(docs), "digests")
 
     some = signed.filter("digest is not null")
     # Id and text hash of one row, ids before NULL: the row that ``texts`` looks for below.
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__h"))
-    nodes = some.groupBy("digest").agg(least.alias("least"), F.first("samples").alias("samples"))
-    nodes = shared_table(nodes.select(F.struct(F.col("least.doc_id").alias("rep"), "digest").alias("node"), F.col("least.__h").alias("h"), "samples"), "nodes")
+    nodes = some.groupBy("digest").agg(least.alias("least"), F.max("size").alias("size"))
+    nodes = shared_table(nodes.select(F.col("least.doc_id").alias("rep"), "digest", F.col("least.__h").alias("__wh"), "size"), "nodes")
+    sizes = nodes.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
+    total, size = sizes["n"], sizes["bytes"] or 0
 
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("__h"), text_or_empty().alias("text"))
+    texts = lookup(rows, nodes, "__h", "__wh", ["rep", "digest"], how="inner", right_bytes=64 * total)
+    texts = texts.filter(F.col("doc_id").eqNullSafe(F.col("rep"))).select("rep", "digest", "text")
+    # Rows that lie together are one chunk. The numbers are kept with the rows.
+    together = 1 << max(0, int(np.log2(max(1.0, CHUNK / max(1.0, size / max(1, total))))))
+    chunk = F.shiftright(F.monotonically_increasing_id(), int(np.log2(together)))
+    texts = shared_table(texts.withColumn("chunk", chunk), "texts")
+    if texts.count() > total:  # rows that repeat an id and a text
+        texts = shared_table(texts.groupBy("digest").agg(F.first(F.struct("rep", "text", "chunk")).alias("x")).select("x.rep", "digest", "x.text", "x.chunk"), "texts")
+    if (lost := total - texts.count()) != 0:
+        raise RuntimeError(f"{lost} nodes have no text")
+    parts = 1 << int(np.ceil(np.log2(max(1.0, size / PART))))
+    frequent = shared_table(document_frequencies(texts, config.words, parts), "frequent")
+    sampled = shared_table(_signed(texts, frequent, total, config), "samples")
+
+    own = F.struct("rep", "digest")
     width = 4 * config.rows
-    keys = [F.struct(F.lit(k).alias("band"), F.xxhash64(F.substring("samples", k * width + 1, width)).alias("key")) for k in range(config.bands)]
-    banded = nodes.select("node", F.explode(F.array(*keys)).alias("x")).select("node", "x.band", "x.key")
+    keys = [F.struct(F.lit(k).alias("band"), F.xxhash64(F.substring("samples", k * width + 1, width)).alias("key")) for k in range(2 * config.bands)]
+    banded = sampled.select(own.alias("node"), F.explode(F.array(*keys)).alias("x")).select("node", "x.band", "x.key")
     # Keys that one node alone has are most of them; they are counted away before the nodes move.
     crowded = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     buckets = shared_table(banded.join(crowded, ["band", "key"]), "buckets")
-    wanted = nodes.join(buckets.select("node").distinct(), "node").select(F.col("h").alias("__wh"), "node")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("__h"), text_or_empty().alias("text"))
-    wanted = shared_table(wanted, "wanted")
-    texts = lookup(rows, wanted, "__h", "__wh", ["node"], how="inner").filter(F.col("doc_id").eqNullSafe(F.col("node.rep")))
-    texts = shared_table(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    if (lost := wanted.count() - texts.count()) != 0:
-        raise RuntimeError(f"{lost} nodes to compare have no text")
+    wanted = shared_table(buckets.select(F.col("node.digest").alias("__wanted")).distinct(), "wanted")
+    n = wanted.count()
+    texts, sampled = (lookup(t, wanted, "digest", "__wanted", [], how="inner", right_bytes=64 * n) for t in (texts, sampled.drop("rep")))
+    texts = texts.join(sampled, "digest").select(own.alias("node"), "text", "samples", "counts")
+    texts = shared_table(texts, "wanted-texts")
 
     links, labels, tried = None, None, None
     hubs = [F.min("node"), F.max("node"), F.min_by("node", F.xxhash64("node"))]
@@ -233,22 +349,20 @@ def near_duplicates(docs: DataFrame, config: NearDup | None = None) -> DataFrame
         if step is None:
             if labels is None:
                 break
-            found = shared_table(_block_links(buckets, nodes, texts, labels, config), "links")
+            found = shared_table(_block_links(buckets, texts, labels, total, config), "links")
         else:
             pairs = _hub_pairs(buckets, labels, step)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = shared_table(pairs, "pairs")
             tried = pairs if tried is None else tried.union(pairs)
-            found = shared_table(_verified(pairs, texts, config), "links")
+            found = shared_table(_verified(pairs, texts, total, config), "links")
         if links is not None and found.isEmpty():
             continue
         links = found if links is None else links.union(found)
         labels = shared_table(components(links), "labels")
 
-    own = F.struct(F.col("rep"), F.col("digest"))
-    reps = nodes.select(F.col("node.digest").alias("digest"), F.col("node.rep").alias("rep"))
-    nodes_labelled = reps.withColumn("node", own).join(labels, "node", "left").select("digest", F.col("label.rep").alias("class_rep"), F.col("label").isNotNull().alias("similar"), F.coalesce(F.col("label") == F.col("node"), F.lit(True)).alias("leads"), "rep")
+    nodes_labelled = nodes.select("digest", "rep").withColumn("node", own).join(labels, "node", "left").select("digest", F.col("label.rep").alias("class_rep"), F.col("label").isNotNull().alias("similar"), F.coalesce(F.col("label") == F.col("node"), F.lit(True)).alias("leads"), "rep")
     out = signed.select("doc_id", "__h", "digest").join(shared_table(nodes_labelled, "classes"), "digest", "left")
     release(spark)
     return out.select(

@@ -1,9 +1,14 @@
-"""Word shingles as 64-bit hashes."""
+"""Word shingles as 64-bit hashes, and exact counts of the texts that have them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _M_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -63,3 +68,64 @@ def shingles(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(words):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     return np.unique(window_hashes(words, min(n, len(words))), return_counts=True)
+
+
+def document_frequencies(texts: DataFrame, n: int, parts: int) -> DataFrame:
+    """Per ``chunk`` of ``texts``: ``hashes`` of its shingles that two or more texts have, with
+    ``counts`` of those texts (arrays of 64 and 32 bits).
+
+    A chunk's shingles are counted where its texts lie, so a shingle that every text has moves once
+    a chunk. ``parts``, a power of two, splits the space of hashes; a part is counted as a whole.
+    """
+    shift = np.uint64(64 - (parts.bit_length() - 1)) if parts > 1 else None
+
+    def pieces(chunk: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = np.unique(np.concatenate(held), return_counts=True)
+        counts = counts.astype(np.uint32)
+        part = np.zeros(len(hashes), np.int64) if shift is None else (hashes >> shift).astype(np.int64)
+        ends = np.searchsorted(part, np.arange(parts + 1))
+        rows = [(k, lo, hi) for k, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if hi > lo]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _, _ in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()),
+                pa.array([hashes[lo:hi].tobytes() for _, lo, hi in rows], pa.binary()), pa.array([counts[lo:hi].tobytes() for _, lo, hi in rows], pa.binary()),
+            ],
+            ["part", "chunk", "hashes", "counts"],
+        )
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, at, held, size = WordHashes(), None, [], 0
+        for batch in batches:
+            for chunk, text in zip(batch["chunk"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+                if held and (chunk != at or size > 1 << 22):
+                    yield from pieces(at, held)
+                    held, size = [], 0
+                at = chunk
+                held.append(shingles(known.of(text.split()), n)[0])
+                size += len(held[-1])
+        if held:
+            yield from pieces(at, held)
+
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(h, np.uint64) for h in rows["hashes"].to_pylist()]
+        ends = np.cumsum([0, *map(len, hashes)]).tolist()
+        hashes = np.concatenate(hashes)
+        counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint32)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        sums = np.add.reduceat(counts[order].astype(np.int64), starts)
+        df = np.empty(len(hashes), np.int64)
+        df[order] = np.repeat(sums, np.diff(np.r_[starts, len(hashes)]))
+        several = df > 1
+        out = {"chunk": [], "hashes": [], "counts": []}
+        for chunk, lo, hi in zip(rows["chunk"].to_pylist(), ends[:-1], ends[1:], strict=True):
+            keep = several[lo:hi]
+            if keep.any():
+                out["chunk"].append(chunk)
+                out["hashes"].append(hashes[lo:hi][keep].tobytes())
+                out["counts"].append(df[lo:hi][keep].astype(np.uint32).tobytes())
+        return pa.table([pa.array(out["chunk"], pa.int64()), pa.array(out["hashes"], pa.binary()), pa.array(out["counts"], pa.binary())], names=list(out))
+
+    found = texts.select("chunk", F.col("text").cast("binary").alias("text")).mapInArrow(split, "part int, chunk long, hashes binary, counts binary")
+    return found.groupBy("part").applyInArrow(count, "chunk long, hashes binary, counts binary")

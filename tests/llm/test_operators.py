@@ -256,6 +256,46 @@ def test_class_of_a_pair_does_not_depend_on_the_corpus(spark):
         assert got.pop(0) == got.pop(1) == (0, True) and all(v == (k, False) for k, v in got.items())
 
 
+def shingle_counts(texts):
+    """How often each text has each of its shingles, and how many different texts have a shingle."""
+    tf = {w: Counter(w[i : i + 5] for i in range(len(w) - 4)) for w in {tuple(t.split()) for t in texts}}
+    return tf, Counter(g for c in tf.values() for g in c)
+
+
+def test_shingles_weigh_by_tf_idf(spark):
+    """Rare words in common, frequent passages that differ: alike by weight only, however many copies there are."""
+    rng = np.random.default_rng(12)
+    passages, pairs = [sentence(rng, 30, 100_000) for _ in range(4)], []
+    for k in range(20):
+        rare = sentence(rng, 190, 100_000)
+        pairs += [(2 * k, f"{rare} {passages[0]} {passages[1]}"), (2 * k + 1, f"{rare} {passages[2]} {passages[3]}")]
+    others = [(100 + k, f"{sentence(rng, 150, 100_000)} {passages[k % 2 * 2]} {passages[k % 2 * 2 + 1]}") for k in range(600)]
+    copies = [(1_000 + k, f" {pairs[0][1]}  ") for k in range(300)]
+    rows = [*pairs, *others, *copies]
+    tf, df = shingle_counts(t for _, t in rows)
+    weight = {w: {g: n * (1 + np.log((len(tf) + 1) / (df[g] + 1))) for g, n in c.items()} for w, c in tf.items()}
+    for (_, a), (_, b) in zip(pairs[::2], pairs[1::2], strict=True):
+        x, y = weight[tuple(a.split())], weight[tuple(b.split())]
+        alike = sum(min(x.get(g, 0), y.get(g, 0)) for g in x) / sum(max(x.get(g, 0), y.get(g, 0)) for g in {**x, **y})
+        assert plain_jaccard(a, b) < 0.7 and alike >= 0.8
+    got = {r["doc_id"]: r["class_id"] for r in local(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)))}
+    assert all(got[k] == k // 2 * 2 for k in range(40)) and all(got[k] == k for k, _ in others) and all(got[k] == 0 for k, _ in copies)
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_counts_of_shingles_are_exact(spark, parts):
+    rng = np.random.default_rng(13)
+    texts = list({sentence(rng, int(n), 3) for n in rng.integers(1, 60, 80)})
+    frame = spark.createDataFrame([(k // 9, t) for k, t in enumerate(texts)], "chunk long, text string").repartition(5)
+    grams = [sketches.shingles(sketches.WordHashes().of(t.encode().split()), 5)[0].tolist() for t in texts]
+    df = Counter(g for own in grams for g in own)
+    want = {(k // 9, g): df[g] for k, own in enumerate(grams) for g in own if df[g] > 1}
+    got = {}
+    for r in sketches.document_frequencies(frame, 5, parts).collect():
+        got |= {(r["chunk"], h): c for h, c in zip(np.frombuffer(r["hashes"], np.uint64).tolist(), np.frombuffer(r["counts"], np.uint32).tolist(), strict=True)}
+    assert got == want and len({g for _, g in got}) < len(df)
+
+
 def test_samples_agree_like_weighted_jaccard():
     rng, draw = np.random.default_rng(1), near_dedup.Sampler(2_000)
     h = np.sort(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
