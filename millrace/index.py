@@ -75,13 +75,15 @@ class KeyIndex:
         """
         asked = keys.select(self.key)
         base = self.store.read_partitions(self.base, self.buckets_of(state, asked), state["base"])
-        parts = base.select(self.key, self.value, F.lit(0).alias(RUN)).unionByName(
-            self.store.read(self.recent, state["recent"]).select(self.key, self.value, RUN)
-        )
+        parts = base.select(self.key, self.value, F.lit(0).alias(RUN))
+        if state["runs"]:
+            parts = parts.unionByName(self.store.read(self.recent, state["recent"]).select(self.key, self.value, RUN))
         pushed = int(self.store.spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold"))
         if n_keys is not None and n_keys <= pushed:
             parts = parts.filter(F.col(self.key).isin([r[0] for r in asked.collect()]))
         hits = parts.join(F.broadcast(asked) if small else asked, self.key, "left_semi")
+        if not state["runs"]:  # the base alone has each key once
+            return hits.select(self.key, self.value)
         return hits.groupBy(self.key).agg(F.max_by(self.value, RUN).alias(self.value))
 
     def add(self, state: dict, rows: DataFrame, n_rows: int = 0) -> dict:
