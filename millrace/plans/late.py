@@ -42,9 +42,9 @@ def missing() -> list[Column]:
 def entries(rows: DataFrame, period: str, known: DataFrame) -> DataFrame:
     """What keyed sales wait for; a sale the fact held before has an entry even if for nothing."""
     waiting = rows.select("sale_id", period, *missing())
-    seen = known.select("sale_id", F.lit(True).alias("_known"))
-    both = lookup(waiting, seen, "sale_id", "sale_id", ["_known"])
-    return both.filter(_waits() | F.col("_known")).drop("_known")
+    # A sale's id is its own: no key is hot here, and nothing has to be counted or spread.
+    settled = waiting.filter(~_waits()).join(known.select("sale_id"), "sale_id", "left_semi")
+    return waiting.filter(_waits()).unionByName(settled)
 
 
 def latest(runs: DataFrame, period: str) -> DataFrame:
@@ -120,8 +120,7 @@ def repairs(waiting: DataFrame, period: str, members: Mapping[str, DataFrame], p
         touched = hits if touched is None else touched.unionByName(hits)
     if touched is None:
         return None
-    picked = touched.distinct().withColumn("_touched", F.lit(True))
-    rows = latest(lookup(waiting, picked, "sale_id", "sale_id", ["_touched"], how="inner"), period)
+    rows = latest(waiting.join(touched, "sale_id", "left_semi"), period)
     for name, (business_id, key) in KINDS.items():
         if name in members:
             rows = lookup(rows, members[name].withColumnRenamed(business_id, "_id"), business_id, "_id", [key])
@@ -135,11 +134,14 @@ def repairs(waiting: DataFrame, period: str, members: Mapping[str, DataFrame], p
     return rows.filter(found).select("sale_id", period, *keys, price, *missing())
 
 
-def apply(part: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Stored sales with the keys, prices and revenues they waited for; ``_repaired`` marks them."""
+def apply(part: DataFrame, fixes: DataFrame, small: bool = False) -> DataFrame:
+    """Stored sales with the keys, prices and revenues they waited for; ``_repaired`` marks them.
+
+    There is one fix a sale; ``small`` says that the fixes may be broadcast.
+    """
     keys = [key for _, key in KINDS.values()]
     named = fixes.select("sale_id", *[F.col(k).alias("_" + k) for k in keys], F.col("product_price").alias("_price"), F.lit(True).alias("_repaired"))
-    both = lookup(part, named, "sale_id", "sale_id", [*["_" + k for k in keys], "_price", "_repaired"])
+    both = part.join(F.broadcast(named) if small else named, "sale_id", "left")
     price = F.coalesce("price", F.col("_price")).cast("decimal(12,2)")
     revenue = F.coalesce("revenue", (F.coalesce("price", F.col("_price")) * F.col("volume_sold")).cast("decimal(12,2)"))
     set_to = {k: F.coalesce(k, "_" + k) for k in keys}

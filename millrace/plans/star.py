@@ -43,6 +43,7 @@ FACT_COLUMNS = [
 PERIOD = "sale_period"
 NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL partition value
 _ROW_BYTES = 16 * 14  # a row of the fact with its ids, all columns counted at the widest
+_PAIR_BYTES = 16 * 3  # a key and an id of fixed width, as ``lookup`` measures them
 GRAINS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 
@@ -237,7 +238,8 @@ def write_fact(
     if fixes is None:
         merged = fact_sales(part, rows.select(*columns), small_source=small)
     else:
-        merged = fact_sales(late.apply(part, fixes), rows.select(*columns), small_source=small)
+        few = store.manifest(f"{name}_repairs").counts.get("rows", 0) * _ROW_BYTES <= max_broadcast_bytes
+        merged = fact_sales(late.apply(part, fixes, few), rows.select(*columns), small_source=small)
         repaired = (F.col(ACTION) == "K") & F.col("_repaired")
         merged = merged.withColumn(ACTION, F.when(repaired, F.lit("U")).otherwise(F.col(ACTION))).drop("_repaired")
     kept = [v for v in manifest.partitions if v not in touched]
@@ -270,8 +272,7 @@ def _fixes(store, name, waiting, before, rows, products) -> DataFrame | None:
     if found is None:
         return None
     # A sale that comes again now has its keys from today's dimensions.
-    again = rows.select("sale_id", F.lit(True).alias("_again"))
-    left = lookup(found, again, "sale_id", "sale_id", ["_again"]).filter(F.col("_again").isNull()).drop("_again")
+    left = found.join(rows.select("sale_id"), "sale_id", "left_anti")
     version = store.write(left, f"{name}_repairs")
     return store.read(f"{name}_repairs", version) if store.manifest(f"{name}_repairs", version).counts.get("rows", 0) else None
 
@@ -295,8 +296,16 @@ def dimensions(store: TableStore) -> tuple[DataFrame, ...]:
 
 
 def sizes(store: TableStore) -> dict[str, int | None]:
-    """Bytes of the dimensions that sales are looked up in, as their writes have measured them."""
-    return {name: store.size(name) for name in late.KINDS}
+    """Bytes of what a lookup takes from each dimension, its key and its business id, as far as the
+    dimensions' writes have measured them."""
+    found = {}
+    for name, (business_id, _) in late.KINDS.items():
+        size, rows = store.size(name), store.manifest(name).counts.get("rows")
+        if size is not None and size > BROADCAST_BYTES:  # names and other columns may make it that large
+            fixed = dict(store.read(name).dtypes)[business_id] != "string" and rows is not None
+            size = rows * _PAIR_BYTES if fixed else None
+        found[name] = size
+    return found
 
 
 _DAYS = {"first_day": F.min, "last_day": F.max}

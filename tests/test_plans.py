@@ -342,6 +342,38 @@ def test_late_members_give_the_same_fact_as_a_full_build(spark, tmp_path, folder
     assert {v for v in b if a.get(v) != b[v]} == {"2024-01", "2024-02", "2024-06", "2024-07"}
 
 
+def test_sizes_count_what_a_lookup_takes(spark, folder, monkeypatch):
+    """Long names make a dimension large, not the key and id that sales are looked up by."""
+    store = TableStore(spark, folder)
+    store.write(spark.createDataFrame([(k, Decimal(k), "n" * 3_000, "c") for k in range(5)], star.DIM_PRODUCT), "dim_product")
+    store.write(spark.createDataFrame([(1, Decimal(1), "c", "b")], star.DIM_BRANCH), "dim_branch")
+    store.write(spark.createDataFrame([(1, "S1", "E1", "f" * 3_000, "l", "r")], star.DIM_STAFF), "dim_staff")
+    monkeypatch.setattr(star, "BROADCAST_BYTES", 2_000)
+    assert store.size("dim_product") > 15_000
+    assert star.sizes(store) == {"dim_product": 5 * 48, "dim_branch": store.size("dim_branch"), "dim_staff": None}
+
+
+def test_sales_meet_their_entries_and_fixes_without_counting_keys(spark, monkeypatch):
+    """The id of a sale is its own, so nothing is measured or spread; hot keys are not looked for."""
+    from millrace.operators import joins
+    from millrace.plans import late
+
+    def unwanted(*_):
+        raise AssertionError("measured")
+
+    monkeypatch.setattr(joins, "fits_broadcast", unwanted)
+    ids = "product_id decimal(38,0), branch_id decimal(38,0), staff_id string"
+    keyed = [(Decimal(1), "p", 1, 1, None, Decimal(1), Decimal(1), "S9"), (Decimal(2), "p", 1, 1, 1, Decimal(1), Decimal(1), "S1"), (Decimal(3), "p", 1, 1, 1, Decimal(1), Decimal(1), "S1")]
+    sales = spark.createDataFrame(keyed, f"sale_id decimal(38,0), sale_period string, product_key long, branch_key long, staff_key long, {ids}")
+    known = spark.createDataFrame([(Decimal(3), "q"), (Decimal(4), "q")], "sale_id decimal(38,0), sale_period string")
+    assert [tuple(r) for r in late.entries(sales, "sale_period", known).orderBy("sale_id").collect()] == [(1, "p", None, None, "S9"), (3, "p", None, None, None)]
+    part = spark.createDataFrame([(Decimal(k), None, 1, 1, Decimal(2), None, None) for k in (1, 2)], "sale_id decimal(38,0), product_key long, branch_key long, staff_key long, volume_sold decimal(12,2), price decimal(12,2), revenue decimal(12,2)")
+    fixes = spark.createDataFrame([(Decimal(1), 7, None, None, Decimal("2.50"))], "sale_id decimal(38,0), product_key long, branch_key long, staff_key long, product_price decimal(12,2)")
+    for small in (False, True):
+        got = late.apply(part, fixes, small).orderBy("sale_id").collect()
+        assert [(r.product_key, r.price, r.revenue, r._repaired) for r in got] == [(7, Decimal("2.50"), Decimal("5.00"), True), (None, None, None, None)]
+
+
 def test_waiting_entries_fold(spark, folder):
     from millrace.plans import late
 
