@@ -124,7 +124,7 @@ class TableStore:
         # Each task of the write counts its own rows; no other job is needed for the counts.
         observation = Observation()
         observed = df.observe(observation, *[m.alias(k) for k, m in metrics.items()])
-        writer = observed.write.mode("errorifexists").options(**(options or {}))
+        writer = observed.write.mode("errorifexists").options(**{"compression": "zstd", **(options or {})})
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(folder)
