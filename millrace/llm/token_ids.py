@@ -16,6 +16,8 @@ import types
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # What a text holds that has to be encoded whole: white space other than single spaces and line
 # breaks between words, and special-token markers. Each is one search for a fixed string.
@@ -25,7 +27,9 @@ _WHOLE = (
         0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF,
     )),
 )
-_MARKED = re.compile("([ \\n]?[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff]+)([.,;:!?]+)")
+_LETTERS = re.compile("\\n?[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff]+| [A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff]+")
+_MARKS = ".,;:!?#$%&*"
+_LOT = 4 << 20  # characters of texts split at once
 
 
 class TokenIds:
@@ -33,9 +37,16 @@ class TokenIds:
 
     def __init__(self, path: str, keep: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
+        # Of a byte-level tokenizer: the ids that begin with a space or a line break. A space is a byte
+        # of its own there, so every piece has one such id, its first.
+        self._opens: np.ndarray | None = None
+        if isinstance(self._tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and self._tokenizer.normalizer is None:
+            vocab = self._tokenizer.get_vocab(with_added_tokens=True)
+            self._opens = np.zeros(max(vocab.values()) + 1, bool)
+            self._opens[[k for token, k in vocab.items() if token[0] in "\u0120\u010a"]] = True
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._keep = keep
@@ -56,14 +67,18 @@ class TokenIds:
         out = []
         for begin in range(0, len(runs), 20):
             some = runs[begin : begin + 20]
-            for run, got in zip(some, self._tokenizer.encode_batch(["".join(r) for r in some], add_special_tokens=False), strict=True):
-                ends = np.cumsum([len(p) for p in run])
-                at = np.array([x for x, _ in got.offsets], np.int64)
-                last = 4 * np.searchsorted(at, ends)
-                ids, lo = array("I", got.ids).tobytes(), 0
-                for hi in last.tolist():
-                    out.append(ids[lo:hi])
-                    lo = hi
+            encode = self._tokenizer.encode_batch if self._opens is None else self._tokenizer.encode_batch_fast
+            for run, got in zip(some, encode(["".join(r) for r in some], add_special_tokens=False), strict=True):
+                ids = array("I", got.ids)
+                if self._opens is None:
+                    at = np.array([x for x, _ in got.offsets], np.int64)
+                    first = np.searchsorted(at, np.cumsum([0, *map(len, run)])[:-1])
+                else:
+                    first = np.flatnonzero(self._opens[np.frombuffer(ids, np.uint32)])
+                    if len(first) != len(run):
+                        raise RuntimeError("a piece of text has not just one id that begins with white space")
+                ids, bounds = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
+                out += [ids[lo:hi] for lo, hi in zip(bounds, bounds[1:])]
         return out
 
     def _learn(self, new: set[str]) -> None:
@@ -71,54 +86,82 @@ class TokenIds:
         back from the older table, so words in use are not encoded again."""
         if len(self._known) + len(new) > self._keep // 2:
             self._older, self._known = self._known, {}
-        known = self._known
-        for p in [p for p in new if p in self._older]:
-            known[p] = self._older[p]
-        marked = {p: (_piece(m[1]), _piece(m[2])) for p in new if p not in known and (m := _MARKED.fullmatch(_written(p)))}
-        parts = {q for m in marked.values() for q in m}
-        known.update((q, self._older[q]) for q in parts if q not in known and q in self._older)
-        plain = [p for p in (new - marked.keys()) | parts if p not in known]
+        known, older = self._known, self._older
+        marked: list[str] = []
+        words: list[str] = []
+        marks: list[str] = []
+        plain: set[str] = set()
+        for p in new:
+            if (ids := older.get(p)) is not None:
+                known[p] = ids
+                continue
+            # A word and closing marks are two pieces: "word", and the marks as a text's beginning.
+            word = p.rstrip(_MARKS) if p[-1] in _MARKS else p
+            if len(word) < len(p) and _LETTERS.fullmatch(word):
+                marked.append(p)
+                words.append(word)
+                marks.append(" " + p[len(word) :])
+            else:
+                plain.add(p)
+        for p in {*words, *marks}:
+            if p not in known:
+                if (ids := older.get(p)) is not None:
+                    known[p] = ids
+                else:
+                    plain.add(p)
         spaced = [p for p in plain if p[0] != " "]
-        known.update(zip(spaced, self._encode_spaced(list(map(_written, spaced))), strict=True))
+        known.update(zip(spaced, self._encode_spaced([p if p[0] == "\n" else " " + p for p in spaced]), strict=True))
         other = [p for p in plain if p[0] == " "]
-        known.update(zip(other, self._encode(list(map(_written, other))), strict=True))
-        known.update((p, known[a] + known[b]) for p, (a, b) in marked.items())
+        known.update(zip(other, self._encode([p[1:] for p in other]), strict=True))
+        known.update((p, known[w] + known[m]) for p, w, m in zip(marked, words, marks, strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Unsigned 32-bit ids of each text in the machine's byte order (little-endian here)."""
         whole = [_is_whole(t) for t in texts]
-        pieces = []
-        for t, w in zip(texts, whole, strict=True):
-            if t and not w:
-                p = t.replace("\n", " \n").split(" ")
-                p[0] = " " + p[0]
-                pieces.append(p)
-        found = [list(map(self._known.get, p)) for p in pieces]
-        short = [k for k, ids in enumerate(found) if not all(ids)]
-        if short:
-            new = {p for k in short for p, ids in zip(pieces[k], found[k], strict=True) if ids is None}
+        rest = iter(self._encode([t for t, w in zip(texts, whole, strict=True) if w]))
+        split = iter(self._encode_split([t for t, w in zip(texts, whole, strict=True) if not w]))
+        return [next(rest if w else split) for w in whole]
+
+    def _encode_split(self, texts: list[str]) -> list[bytes]:
+        out, lot, size = [], [], 0
+        for t in texts:
+            lot.append(t)
+            size += len(t)
+            if size >= _LOT:
+                out += self._encode_lot(lot)
+                lot, size = [], 0
+        return out + self._encode_lot(lot) if lot else out
+
+    def _encode_lot(self, texts: list[str]) -> list[bytes]:
+        """Each distinct piece is looked up once; numpy puts the ids together by piece numbers."""
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        bounds, numbered = split.offsets.to_numpy(), split.values.dictionary_encode()
+        keys, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64)
+        begins = [" " + keys[k] for k in number[bounds[:-1]].tolist()]
+        number[bounds[:-1]] = np.arange(len(keys), len(keys) + len(begins))
+        keys += begins
+        found = list(map(self._known.get, keys))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        if new:
             # The table may change here: what was found stays found, the rest is now known.
-            self._learn(new)
-            for k in short:
-                found[k] = [self._known[p] if ids is None else ids for p, ids in zip(pieces[k], found[k], strict=True)]
-        split, rest = iter(found), iter(self._encode([t for t, w in zip(texts, whole, strict=True) if w]))
-        return [next(rest) if w else b"".join(next(split)) if t else b"" for t, w in zip(texts, whole, strict=True)]
+            # A word that only begins texts is looked up without need, as a word after a space.
+            self._learn({keys[k] for k in new if keys[k]})
+            for k in new:
+                found[k] = self._known[keys[k]] if keys[k] else b""
+        length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        first, length = (np.cumsum(length) - length)[number], length[number]
+        ends = np.cumsum(length)
+        at = np.repeat(first - (ends - length), length)
+        at += np.arange(len(at))
+        put, cuts = ids[at].tobytes(), (4 * np.concatenate([[0], ends])[bounds]).tolist()
+        return [put[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
 
 # Pieces as keys: "a b\nc" has the pieces " a", "b" and "\nc", so that splitting at spaces gives the
 # keys. A key with a space in front stands for a text's beginning, one without for a space and a word.
 
 
-def _written(piece: str) -> str:
-    """The characters that a key stands for."""
-    return piece[1:] if piece[0] == " " else piece if piece[0] == "\n" else " " + piece
-
-
-def _piece(written: str) -> str:
-    """The key of some characters."""
-    return written[1:] if written[0] == " " else written if written[0] == "\n" else " " + written
-
-
 def _is_whole(text: str) -> bool:
     return any(x in text for x in _WHOLE) or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n")
 

@@ -77,6 +77,19 @@ def test_memory_of_pieces_is_bounded():
     assert [small([t])[0] for t in texts] == token_ids.TokenIds(BYTE_BPE)(texts)
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_pieces_are_encoded_once_and_marks_apart_from_their_word(path, monkeypatch):
+    encoder, asked = token_ids.TokenIds(path), []
+    encoder(["alpha beta"])
+    for name in ("_encode", "_encode_spaced"):
+        monkeypatch.setattr(encoder, name, lambda pieces, ask=getattr(encoder, name): asked.extend(pieces) or ask(pieces))
+    texts = ["", "beta&&& alpha beta&&& beta&&&", "alpha,###\nbeta gamma", "gamma"]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_ids, "_LOT", 30)
+    assert [np.frombuffer(g, "<u4").tolist() for g in encoder(texts)] == want
+    assert sorted(filter(None, asked)) == sorted(["beta", "&&&", ",###", "\nbeta", " gamma", "gamma"])
+
+
 # -- packing -----------------------------------------------------------------------------------------
 
 
