@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import gc
 import importlib
+import time
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import work_folder
+from ..storage import FileSystem, work_folder
 
 # Task code travels with its job, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(importlib.import_module(__package__))
@@ -43,10 +44,24 @@ def shared_table(df: DataFrame, name: str, partition_by: str | None = None) -> D
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of finished stages now, not at the next long pause."""
+def release(spark: SparkSession, pause: float = 0.0) -> None:
+    """Let Spark's cleaner drop shuffle files of finished stages now, not at the next long pause.
+
+    Listeners may hold a query for a moment after its end; a second collection after ``pause``
+    seconds finds what the first one could not. It is worth the wait after a large shuffle.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    if pause:
+        time.sleep(pause)
+        spark.sparkContext._jvm.System.gc()
+
+
+def drop_table(table: DataFrame) -> None:
+    """Delete the files of a stage table that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        FileSystem(spark, folder).delete(folder)
 
 
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup
-from .common import release, shared_table, text_or_empty
+from .common import drop_table, release, shared_table, text_or_empty
 from .components import components
-from .sketches import WordHashes, document_frequencies, shingles
+from .sketches import WordHashes, document_frequencies, hashed_words, shingles
 
 _POOL_BITS = 16  # independent draws of (r, c, beta), shared by all samples
 _TABLES = 32  # weights whose scores are kept for all draws
@@ -174,13 +174,13 @@ def _signed(texts: DataFrame, frequent: DataFrame, nodes: int, config: NearDup)
     """
 
     def run(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
-        known, sample = WordHashes(), Sampler(config.samples)
+        sample = Sampler(config.samples)
         hashes = np.frombuffer(b"".join(found["hashes"].to_pylist()), np.uint64)
         order = np.argsort(hashes)
         hashes, times = hashes[order], np.frombuffer(b"".join(found["counts"].to_pylist()), np.uint32)[order]
         marks, counts = [], []
-        for text in rows["text"].to_pylist():
-            own, tf = shingles(known.of(text.split()), config.words)
+        for words in (w for part in rows["text"].chunks for w in hashed_words(part)):
+            own, tf = shingles(words, config.words)
             df = np.ones(len(own), np.uint32)
             if len(hashes):
                 at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
@@ -235,7 +235,8 @@ def _block_links(buckets: DataFrame, texts: DataFrame, labels: DataFrame, nodes:
 
     Pairs whose samples agree well enough are compared on their texts at once, unless the links
     found before them in the block have joined their classes. So a block gives fewer links than it
-    has classes, however many pairs of it are alike.
+    has classes, however many pairs of it are alike. A pair that agrees in several bands is compared
+    in the first of them only: it lies in one bucket there, too.
     """
     placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (
@@ -245,24 +246,37 @@ def _block_links(buckets: DataFrame, texts: DataFrame, labels: DataFrame, nodes:
         .select("band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     members = placed.join(mixed, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # The samples that the band is made of: plain or weighted ones.
-    half = F.when(F.col("band") < config.bands, F.substring("samples", 1, 4 * config.samples)).otherwise(F.substring("samples", 4 * config.samples + 1, 4 * config.samples))
     members = members.join(texts.select("node", "samples"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select(
-        "band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", half.alias("samples"),
+        "band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "samples",
         F.col("node.rep").alias("rep"), F.col("node.digest").alias("digest"), F.xxhash64("label").alias("label"),
     )
     least = int(np.ceil(config.agreement * config.samples))
 
+    def met(same: np.ndarray) -> np.ndarray:
+        """Whether a pair shares one of the bands whose samples are compared here."""
+        return same.reshape(len(same), same.shape[1] // config.rows, config.rows).all(axis=2).any(axis=1)
+
     def compared(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Each node of the left block, the nodes of the right one that agree with it, and the labels."""
-        marks = np.frombuffer(b"".join(group["samples"]), np.uint32).reshape(len(group), -1)
+        marks = np.frombuffer(b"".join(group["samples"]), np.uint32).reshape(len(group), 2, -1)  # plain and weighted
+        band = int(group["band"].iloc[0])
+        own = marks[:, band // config.bands]  # the samples that the band is made of
         block, i, j = group["block"].to_numpy(), int(group["i"].iloc[0]), int(group["j"].iloc[0])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         _, label = np.unique(group["label"].to_numpy(), return_inverse=True)  # joined classes get one label
         for x in left:
             other = right[(label[right] != label[x]) & ((right > x) if i == j else True)]
-            yield x, other[(marks[other] == marks[x]).sum(axis=1) >= least], label
+            same = own[other] == own[x]
+            enough = same.sum(axis=1) >= least
+            near, same = other[enough], same[enough]
+            if len(near):
+                before = met(same[:, : band % config.bands * config.rows])
+                if band >= config.bands:
+                    plain = marks[near, 0] == marks[x, 0]
+                    before |= met(plain) & (plain.sum(axis=1) >= least)
+                near = near[~before]
+            yield x, near, label
 
     def agreeing(group: pd.DataFrame) -> pd.DataFrame:
         seen = np.zeros(len(group), bool)
@@ -329,7 +343,10 @@ def near_duplicates(docs: DataFrame, config: NearDup | None = None) -> DataFrame
         raise RuntimeError(f"{lost} nodes have no text")
     parts = 1 << int(np.ceil(np.log2(max(1.0, size / PART))))
     frequent = shared_table(document_frequencies(texts, config.words, parts), "frequent")
+    release(spark, pause=0.5)  # the shuffles of all shingles and of all texts do not lie on disk together
     sampled = shared_table(_signed(texts, frequent, total, config), "samples")
+    drop_table(frequent)
+    release(spark, pause=0.5)
 
     own = F.struct("rep", "digest")
     width = 4 * config.rows
@@ -340,9 +357,11 @@ def near_duplicates(docs: DataFrame, config: NearDup | None = None) -> DataFrame
     buckets = shared_table(banded.join(crowded, ["band", "key"]), "buckets")
     wanted = shared_table(buckets.select(F.col("node.digest").alias("__wanted")).distinct(), "wanted")
     n = wanted.count()
-    texts, sampled = (lookup(t, wanted, "digest", "__wanted", [], how="inner", right_bytes=64 * n) for t in (texts, sampled.drop("rep")))
-    texts = texts.join(sampled, "digest").select(own.alias("node"), "text", "samples", "counts")
-    texts = shared_table(texts, "wanted-texts")
+    found, signs = (lookup(t, wanted, "digest", "__wanted", [], how="inner", right_bytes=64 * n) for t in (texts, sampled.drop("rep")))
+    wanted_texts = shared_table(found.join(signs, "digest").select(own.alias("node"), "text", "samples", "counts"), "wanted-texts")
+    drop_table(texts)
+    drop_table(sampled)
+    texts = wanted_texts
 
     links, labels, tried = None, None, None
     hubs = [F.min("node"), F.max("node"), F.min_by("node", F.xxhash64("node"))]
@@ -364,7 +383,9 @@ def near_duplicates(docs: DataFrame, config: NearDup | None = None) -> DataFrame
         labels = shared_table(components(links), "labels")
 
     nodes_labelled = nodes.select("digest", "rep").withColumn("node", own).join(labels, "node", "left").select("digest", F.col("label.rep").alias("class_rep"), F.col("label").isNotNull().alias("similar"), F.coalesce(F.col("label") == F.col("node"), F.lit(True)).alias("leads"), "rep")
-    out = signed.select("doc_id", "__h", "digest").join(shared_table(nodes_labelled, "classes"), "digest", "left")
+    classes = shared_table(nodes_labelled, "classes")
+    drop_table(texts)
+    out = signed.select("doc_id", "__h", "digest").join(classes, "digest", "left")
     release(spark)
     return out.select(
         "doc_id", "__h",

@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _M_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+LOT = 8 << 20  # bytes of texts whose words are hashed together
 
 
 class WordHashes(dict):
@@ -29,6 +31,26 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def hashed_words(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Hashes of the words of each text, as ``WordHashes`` has them; each distinct word of a lot is
+    hashed once. A NULL text has no words."""
+    lots = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // LOT
+    bounds = [0, *(np.flatnonzero(np.diff(lots)) + 1).tolist(), len(texts)] if len(texts) else []
+    for lo, hi in zip(bounds, bounds[1:]):
+        lot = texts.slice(lo, hi - lo).cast(pa.large_binary())
+        # The kernel parts at the six characters of WHITE and takes any bytes, valid UTF-8 or not.
+        split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(lot), lot.buffers(), offset=lot.offset))
+        numbered = split.flatten().dictionary_encode()
+        words, number = numbered.dictionary, numbered.indices.to_numpy()
+        words = pa.Array.from_buffers(pa.large_binary(), len(words), words.buffers(), offset=words.offset).to_pylist()
+        ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).tolist()])
+        if b"" in words:  # before and after white space at the ends of a text
+            kept = number != words.index(b"")
+            ends, number = np.concatenate([[0], np.cumsum(kept)])[ends], number[kept]
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[number]
+        yield from (hashes[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist()))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -94,14 +116,14 @@ def document_frequencies(texts: DataFrame, n: int, parts: int) -> DataFrame:
         )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, at, held, size = WordHashes(), None, [], 0
+        at, held, size = None, [], 0
         for batch in batches:
-            for chunk, text in zip(batch["chunk"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+            for chunk, words in zip(batch["chunk"].to_pylist(), hashed_words(batch["text"]), strict=True):
                 if held and (chunk != at or size > 1 << 22):
                     yield from pieces(at, held)
                     held, size = [], 0
                 at = chunk
-                held.append(shingles(known.of(text.split()), n)[0])
+                held.append(shingles(words, n)[0])
                 size += len(held[-1])
         if held:
             yield from pieces(at, held)

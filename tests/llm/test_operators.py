@@ -7,15 +7,18 @@ import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from millrace.llm import ann, line_dedup, mixing, near_dedup, packing, quality, sketches, substring_dedup, token_files, token_ids, url_filter, warc
 from millrace.storage import work_folder
 
@@ -295,6 +298,65 @@ def test_shingles_weigh_by_tf_idf(spark):
     assert all(got[k] == k // 2 * 2 for k in range(40)) and all(got[k] == k for k, _ in others) and all(got[k] == 0 for k, _ in copies)
 
 
+def test_a_pair_in_several_bands_is_compared_in_one(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    base, texts, agreeing = sentence(rng, 300, 100_000).split(), [], []
+    for k in range(8):
+        own = list(base)
+        for at in (5 + 15 * k, 150 + 15 * k):
+            own[at : at + 5] = [f"c{k}x{at}x{j}" for j in range(5)]
+        texts.append((k, " ".join(own)))
+    assert all(0.75 < plain_jaccard(a, b) < 0.8 for (_, a), (_, b) in itertools.combinations(texts, 2))
+    other = sentence(rng, 200, 100_000)
+    texts += [(8, other), (9, f"{other} more")]  # blocks are compared once there are links
+    write = near_dedup.shared_table
+
+    def noted(df, name):
+        out = write(df, name)
+        agreeing.extend([out] if name == "agreeing" else [])
+        return out
+
+    monkeypatch.setattr(near_dedup, "shared_table", noted)
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    want = {k[0]: c for k, c in brute_classes([{"doc_id": i, "text": t} for i, t in texts]).items()}
+    assert {r["doc_id"]: r["class_id"] for r in local(near_dedup.near_duplicates(frame))} == want and want[9] == 8
+    assert 0 < agreeing[0].count() <= 8 * 7  # two rows a pair at most
+
+
+def test_tables_of_texts_and_shuffles_do_not_stay(spark, docs, monkeypatch):
+    """What only the search reads goes when it is over; a result reads digests and classes."""
+    names, write = {}, near_dedup.shared_table
+
+    def noted(df, name):
+        out = write(df, name)
+        names[name] = [f.removeprefix("file:").rpartition("/")[0] for f in out.inputFiles()][0]
+        return out
+
+    monkeypatch.setattr(near_dedup, "shared_table", noted)
+    found = near_dedup.near_duplicates(docs)
+    left = {n for n, folder in names.items() if Path(folder).exists()}
+    assert {"frequent", "texts", "samples", "wanted-texts"} <= names.keys() and not left & {"frequent", "texts", "samples", "wanted-texts"}
+    assert found.count() == docs.count()
+
+
+def test_hashes_of_words_by_lots(monkeypatch):
+    monkeypatch.setattr(sketches, "LOT", 20)
+    texts = [b"", b" ", b"a", b" a b\n c\t", "\u00e9 x y\x85z \x1c q".encode(), b"w " * 50, None, b"x\x0b\x0cy\rz", b"\xff\xfe a \xc3"]
+    for some in (pa.array(texts), pa.array(texts).slice(3), pa.array(texts).slice(3, 0), pa.array(["p q", None, "r"])):
+        raw = some.cast(pa.binary()).to_pylist()
+        assert [g.tolist() for g in sketches.hashed_words(some)] == [sketches.WordHashes().of((t or b"").split()).tolist() for t in raw]
+
+
+def test_quality_stage_stores_a_text_once(spark, docs, monkeypatch):
+    tables, write = [], quality.shared_table
+    monkeypatch.setattr(quality, "shared_table", lambda df, name: tables.append(df) or write(df, name))
+    got = corpus_pipeline.quality_rules(spark, docs, "")
+    assert [str(f.dataType).count("'text'") + (f.name == "text") for f in tables[0].schema.fields].count(1) == 1 and got.columns == docs.columns
+    want = quality.judge(docs.drop("kept")).filter("kept").withColumn("kept", F.lit("x")).select(*docs.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert corpus_pipeline.quality_rules(spark, docs.select("text", "source", "doc_id"), "").columns == ["text", "source", "doc_id"]
+
+
 @pytest.mark.parametrize("parts", [1, 8])
 def test_counts_of_shingles_are_exact(spark, parts):
     rng = np.random.default_rng(13)
