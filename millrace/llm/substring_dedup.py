@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup
-from .common import release, shared_table, text_or_empty
-from .sketches import WordHashes, mix, window_hashes
+from .common import give_back, release, shared_table, text_or_empty
+from .sketches import hashed_words, mix, window_hashes
+
+LOT = 200  # texts that are split and hashed together
 
 
 @dataclass(frozen=True)
@@ -66,16 +68,14 @@ def _anchors(rows: DataFrame, config: Repeats) -> DataFrame:
     """Anchors of each document, once per hash, and whether it has them twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, LOT):
+                part = batch.slice(lo, LOT)
                 found, times, sizes = [], [], []
-                for text in part["text"].cast(pa.binary()).to_pylist():
-                    words = text.split()
+                for words in hashed_words(part["text"].cast(pa.binary())):
                     own = np.empty(0, np.uint64)
                     if len(words) >= config.length:
-                        grams = window_hashes(known.of(words), config.gram)
+                        grams = window_hashes(words, config.gram)
                         own = grams[winnow(grams, config.run)]
                     distinct, n = np.unique(own, return_counts=True)
                     found.append(distinct.view(np.int64))
@@ -89,6 +89,7 @@ def _anchors(rows: DataFrame, config: Repeats) -> DataFrame:
                     ],
                     ["anchor", "doc", "twice"],
                 )
+        give_back()
 
     return rows.mapInArrow(run, "anchor long, doc long, twice boolean")
 
@@ -103,13 +104,11 @@ def _extended(rows: DataFrame, config: Repeats) -> DataFrame:
     """Every window that holds a seed: (a, b) its 128-bit hash, and where it starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 100):
-                part = batch.slice(lo, 100)
+            for lo in range(0, batch.num_rows, LOT):
+                part = batch.slice(lo, LOT)
                 docs, starts, hashes, seconds = [], [], [], []
-                for doc, text, seeds in zip(part["doc"].to_pylist(), part["text"].cast(pa.binary()).to_pylist(), part["seeds"], strict=True):
-                    words = known.of(text.split())
+                for doc, words, seeds in zip(part["doc"].to_pylist(), hashed_words(part["text"].cast(pa.binary())), part["seeds"], strict=True):
                     grams = window_hashes(words, config.gram)
                     at = np.flatnonzero(np.isin(grams, seeds.values.to_numpy(zero_copy_only=False).view(np.uint64)))
                     # Extend each seed left and right: all windows of the length that hold it.
@@ -129,6 +128,7 @@ def _extended(rows: DataFrame, config: Repeats) -> DataFrame:
                     ],
                     ["a", "b", "doc", "start"],
                 )
+        give_back()
 
     return rows.mapInArrow(run, "a long, b long, doc long, start int")
 
@@ -213,6 +213,7 @@ def remove_repeats(docs: DataFrame, config: Repeats | None = None) -> DataFrame:
             }
             names = [*columns, "__words", "__removed", "__spans"]
             yield pa.RecordBatch.from_arrays([new[c] if c in new else batch[c] for c in names], names)
+        give_back()
 
     out = joined.select(*[F.col(f"`{c}`") for c in columns], "spans", "copy")
     return out.mapInArrow(cut, f"{schema}, __words long, __removed long, __spans array<struct<begin:int,end:int>>")

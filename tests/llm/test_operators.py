@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -404,6 +405,31 @@ def test_remove_repeats_with_repeated_rows(docs):
     assert sorted(r["__removed"] for r in got) == [0, got[0]["__words"]]
 
 
+@pytest.mark.parametrize("step", ["anchors", "extended"])
+def test_words_of_earlier_texts_are_not_kept(step):
+    """The memory of a task of op4 does not grow with the words it has seen."""
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    def batches():
+        for n in range(100):
+            texts = [" ".join(f"w{n}-{k}-{w}" for w in range(100)) for k in range(20)]
+            seeds = pa.array([[0]] * 20, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(range(20), pa.int64()), pa.array(texts), seeds], ["doc", "text", "seeds"])
+
+    run = getattr(substring_dedup, f"_{step}")(Rows(), substring_dedup.Repeats())
+    tracemalloc.start()
+    try:
+        found = sum(b.num_rows for b in run(batches()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (found > 0) == (step == "anchors")
+    assert peak < 8 << 20  # 200,000 words: over 20 MB when kept
+
+
 def test_winnow_leaves_no_run_without_anchor():
     x = np.random.default_rng(1).integers(0, 50, 400).astype(np.uint64)
     at = substring_dedup.winnow(x, 11)
