@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import re
 import sys
+import threading
+import time
 import types
 from array import array
 
@@ -19,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import give_back
+
 # What a text holds that has to be encoded whole: white space other than single spaces and line
 # breaks between words, and special-token markers. Each is one search for a fixed string.
 _WHOLE = (
@@ -30,6 +34,7 @@ _WHOLE = (
 _LETTERS = re.compile("\\n?[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff]+| [A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff]+")
 _MARKS = ".,;:!?#$%&*"
 _LOT = 4 << 20  # characters of texts split at once
+IDLE = 3.0  # seconds without texts after which a worker's encoder goes
 
 
 class TokenIds:
@@ -50,6 +55,12 @@ class TokenIds:
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._keep = keep
+        self._calls = 0  # under way
+        self._used = time.monotonic()
+
+    def idle(self) -> float:
+        """Seconds since the last call; none while one is under way."""
+        return 0.0 if self._calls else time.monotonic() - self._used
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -117,10 +128,15 @@ class TokenIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Unsigned 32-bit ids of each text in the machine's byte order (little-endian here)."""
-        whole = [_is_whole(t) for t in texts]
-        rest = iter(self._encode([t for t, w in zip(texts, whole, strict=True) if w]))
-        split = iter(self._encode_split([t for t, w in zip(texts, whole, strict=True) if not w]))
-        return [next(rest if w else split) for w in whole]
+        self._calls += 1
+        try:
+            whole = [_is_whole(t) for t in texts]
+            rest = iter(self._encode([t for t, w in zip(texts, whole, strict=True) if w]))
+            split = iter(self._encode_split([t for t, w in zip(texts, whole, strict=True) if not w]))
+            return [next(rest if w else split) for w in whole]
+        finally:
+            self._used = time.monotonic()
+            self._calls -= 1
 
     def _encode_split(self, texts: list[str]) -> list[bytes]:
         out, lot, size = [], [], 0
@@ -167,10 +183,24 @@ def _is_whole(text: str) -> bool:
 
 
 def token_ids(path: str) -> TokenIds:
-    """This process's encoder of a file: a Python worker serves many tasks and keeps what it knows."""
+    """This process's encoder of a file: a Python worker serves many tasks and keeps what it knows.
+
+    A worker lives on after the stage, beside other stages. There the encoder and its table of some
+    200 MB would lie idle, so they go after ``IDLE`` seconds without a text; a task that still holds
+    the encoder goes on with it.
+    """
     if sys.byteorder != "little":
         raise RuntimeError("ids are written in little-endian order")
     box = sys.modules.setdefault("_token_ids_of_this_worker", types.ModuleType("_token_ids_of_this_worker")).__dict__
-    if path not in box:
-        box[path] = TokenIds(path)
-    return box[path]
+    encoder = box.get(path)
+    if encoder is None:
+        encoder = box[path] = TokenIds(path)
+        threading.Thread(target=_forget, args=(box, path, IDLE), daemon=True).start()
+    return encoder
+
+
+def _forget(box: dict, path: str, idle: float) -> None:
+    while path in box and box[path].idle() < idle:
+        time.sleep(idle / 4)
+    box.pop(path, None)
+    give_back()

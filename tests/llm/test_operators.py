@@ -5,7 +5,11 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import sys
+import time
 import tracemalloc
+import types
+import weakref
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -81,6 +85,29 @@ def test_memory_of_pieces_is_bounded():
     assert [small([t])[0] for t in texts] == token_ids.TokenIds(BYTE_BPE)(texts)
 
 
+def test_an_encoder_that_idles_goes(monkeypatch):
+    kept = sys.modules.setdefault("_token_ids_of_this_worker", types.ModuleType("_token_ids_of_this_worker")).__dict__
+    kept.pop(BYTE_BPE, None)
+    monkeypatch.setattr(token_ids, "IDLE", 0.5)
+    encoder = token_ids.token_ids(BYTE_BPE)
+    assert token_ids.token_ids(BYTE_BPE) is encoder  # from one task to the next
+    want, gone = encoder(["alpha beta"]), weakref.ref(encoder)
+    assert encoder.idle() < 0.5 and kept[BYTE_BPE] is encoder
+    encoder._calls += 1  # as in a call that takes long
+    time.sleep(1)
+    assert encoder.idle() == 0 and kept[BYTE_BPE] is encoder
+    encoder._calls -= 1
+    for _ in range(100):
+        if BYTE_BPE not in kept:
+            break
+        time.sleep(0.1)
+    assert BYTE_BPE not in kept
+    assert encoder(["alpha beta"]) == want  # for a task that holds it
+    del encoder
+    assert gone() is None
+    assert token_ids.token_ids(BYTE_BPE)(["alpha beta"]) == want
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_pieces_are_encoded_once_and_marks_apart_from_their_word(path, monkeypatch):
     encoder, asked = token_ids.TokenIds(path), []
