@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup
-from .common import drop_table, release, shared_table, text_or_empty
+from .common import drop_table, give_back, release, shared_table, text_or_empty
 from .components import components
 from .sketches import WordHashes, document_frequencies, hashed_words, shingles
 
 _POOL_BITS = 16  # independent draws of (r, c, beta), shared by all samples
-_TABLES = 32  # weights whose scores are kept for all draws
+_TABLES = 64  # weights whose scores are kept for all draws
+_OFTEN = 1_000  # shingles of a weight from which such a table is worth its making
 BLOCK = 2_000  # nodes of a bucket compared at once
 CHUNK = 8 << 20  # bytes of texts sampled together
 PART = 12 << 20  # bytes of texts per part of the space of shingles, some 2 million shingles
@@ -66,6 +67,7 @@ class Sampler:
         self._odd = rng.integers(0, 1 << 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
         self._tables: dict[float, np.ndarray] = {}
+        self._uses: dict[float, int] = {}
 
     def _drawn(self, at: np.ndarray, log_s: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
         """Score and quantised weight of a weight at these draws."""
@@ -73,49 +75,70 @@ class Sampler:
         t = np.floor(log_s / r + beta)
         return self._c[at] - r * (t - beta) - r, t
 
-    def _table(self, weight: float) -> np.ndarray:
-        if weight not in self._tables:
+    def _table(self, weight: float, n: int) -> np.ndarray | None:
+        """Scores of all draws of a weight that ``n`` more shingles have, if it is used often."""
+        if (table := self._tables.get(weight)) is None:
+            if len(self._uses) >= 100_000:
+                self._uses.clear()
+            self._uses[weight] = uses = self._uses.get(weight, 0) + n
+            if uses < _OFTEN:
+                return None
             if len(self._tables) >= _TABLES:
                 self._tables.clear()
-            self._tables[weight] = self._drawn(np.arange(len(self._r)), np.log(weight))[0].astype(np.float32)
-        return self._tables[weight]
+                self._uses.clear()
+            table = self._tables[weight] = self._drawn(np.arange(len(self._r)), np.log(weight))[0].astype(np.float32)
+        return table
 
     def __call__(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One 32-bit sample per function: the chosen shingle and its quantised weight."""
+        return self.both(hashes, weights)[1]
+
+    def both(self, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Plain and weighted samples, one of 32 bits each per function.
+
+        The plain sample of a set of shingles, all alike, is the least product of a hash and the
+        function's odd factor; an odd factor keeps the low bits of different hashes apart. The upper
+        bits of the same products are the draws of the weighted sample.
+        """
         order = np.argsort(weights, kind="stable")
         hashes, weights = hashes[order], weights[order]
-        log_s, out = np.log(weights), np.empty(len(self._odd), np.uint32)
-        starts = np.flatnonzero(np.r_[True, weights[1:] != weights[:-1]])
-        runs = list(zip(starts.tolist(), [*starts[1:].tolist(), len(weights)], strict=True))
+        log_s, n = np.log(weights), len(hashes)
+        starts = [0, *(np.flatnonzero(weights[1:] != weights[:-1]) + 1).tolist()]
         # Frequent weights take their scores from a table, the others are worked out together.
-        many = [(lo, hi) for lo, hi in runs if hi - lo >= 32]
-        rare = np.concatenate([np.arange(lo, hi) for lo, hi in runs if hi - lo < 32] or [np.empty(0, np.int64)])
-        step = max(1, 200_000 // len(hashes))
-        for lo in range(0, len(out), step):
-            with np.errstate(over="ignore"):
-                at = (hashes * self._odd[lo : lo + step, None]).astype("<u8", copy=False)
-            at = at.view("<u2")[:, 3::4].astype(np.int64)  # the upper _POOL_BITS; a shift takes longer
-            score = self._table(weights[0]).take(at) if len(runs) == 1 else np.empty(at.shape, np.float32)
-            for x, y in many if len(runs) > 1 else ():
-                score[:, x:y] = self._table(weights[x]).take(at[:, x:y])
-            if len(rare) and len(runs) > 1:
-                score[:, rare] = self._drawn(at[:, rare], log_s[rare])[0]
-            k = np.argmin(score, axis=1)
-            t = self._drawn(at[np.arange(len(k)), k], log_s[k])[1]
+        parts: list[tuple[np.ndarray | slice, np.ndarray | None]] = []
+        rare = []
+        for lo, hi in zip(starts, [*starts[1:], n]):
+            table = self._table(weights[lo], hi - lo) if hi - lo >= 8 else None
+            if table is None:
+                rare.append(np.arange(lo, hi))
+            else:
+                parts.append((slice(lo, hi), table))
+        if rare:
+            parts.append((np.concatenate(rare), None))
+        plain, weighted = np.empty(len(self._odd), np.uint64), np.empty(len(self._odd), np.uint32)
+        step = max(1, 100_000 // n)
+        for begin in range(0, len(plain), step):
+            odd = self._odd[begin : begin + step, None]
+            rows, least, best, k = np.arange(len(odd)), None, None, None
+            for some, table in parts:
+                with np.errstate(over="ignore"):
+                    product = (hashes[some] * odd).astype("<u8", copy=False)
+                at = product.view("<u2")[:, 3::4].astype(np.int64)  # the upper _POOL_BITS; a shift takes longer
+                score = table.take(at) if table is not None else self._drawn(at, log_s[some])[0].astype(np.float32)
+                own, low = np.argmin(score, axis=1), product.min(axis=1)
+                score = score[rows, own]
+                own = own + some.start if table is not None else some[own]
+                if least is None:
+                    least, best, k = low, score, own
+                else:  # of equal scores the first in the order of weights
+                    better = (score < best) | ((score == best) & (own < k))
+                    least, best, k = np.minimum(least, low), np.where(better, score, best), np.where(better, own, k)
             with np.errstate(over="ignore"):
+                at = (hashes[k] * odd[:, 0] >> np.uint64(64 - _POOL_BITS)).astype(np.int64)
+                t = self._drawn(at, log_s[k])[1]
                 mark = hashes[k] ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            out[lo : lo + step] = (mark >> np.uint64(32)).astype(np.uint32)
-        return out
-
-
-    def plain(self, hashes: np.ndarray) -> np.ndarray:
-        """One 32-bit sample per function of a set of shingles, all alike: the least product."""
-        out = np.empty(len(self._odd), np.uint64)
-        step = max(1, 200_000 // len(hashes))
-        for lo in range(0, len(out), step):
-            with np.errstate(over="ignore"):
-                out[lo : lo + step] = (hashes * self._odd[lo : lo + step, None]).min(axis=1)
-        return out.astype(np.uint32)  # an odd factor keeps the low bits of different hashes apart
+            plain[begin : begin + step], weighted[begin : begin + step] = least, (mark >> np.uint64(32)).astype(np.uint32)
+        return plain.astype(np.uint32), weighted
 
 
 class Vector:
@@ -162,6 +185,7 @@ def _digests(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["__h"], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())], ["doc_id", "__h", "digest", "size"]
             )
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("__h"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, "doc_id long, __h long, digest binary, size long")
@@ -187,7 +211,8 @@ def _signed(texts: DataFrame, frequent: DataFrame, nodes: int, config: NearDup)
                 df = np.where(hashes[at] == own, times[at], df).astype(np.uint32)
             counts.append(df.tobytes() if (df > 1).any() else b"")
             vector = Vector(own, tf, counts[-1], nodes)
-            marks.append(sample.plain(own).tobytes() + sample(own, vector.weights).tobytes())
+            marks.append(b"".join(x.tobytes() for x in sample.both(own, vector.weights)))
+        give_back()
         return pa.table({"rep": rows["rep"], "digest": rows["digest"], "samples": pa.array(marks, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
     both = texts.select("chunk", "rep", "digest", F.col("text").cast("binary").alias("text")).groupBy("chunk").cogroup(frequent.groupBy("chunk"))
@@ -212,6 +237,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: int, config: NearDup) -
                     last = (s, vector(s, m))
                 ok.append(alike(last[1], vector(t, n), config.similarity))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        known, last = None, None
+        give_back()
 
     x = texts.select(F.col("node").alias("a"), F.col("text").alias("x"), F.col("counts").alias("m"))
     y = texts.select(F.col("node").alias("b"), F.col("text").alias("y"), F.col("counts").alias("n"))
@@ -264,13 +291,19 @@ def _block_links(buckets: DataFrame, texts: DataFrame, labels: DataFrame, nodes:
         own = marks[:, band // config.bands]  # the samples that the band is made of
         block, i, j = group["block"].to_numpy(), int(group["i"].iloc[0]), int(group["j"].iloc[0])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        by_sample = np.ascontiguousarray(own[right].T)  # counted sample by sample, along the nodes
         _, label = np.unique(group["label"].to_numpy(), return_inverse=True)  # joined classes get one label
-        for x in left:
-            other = right[(label[right] != label[x]) & ((right > x) if i == j else True)]
-            same = own[other] == own[x]
-            enough = same.sum(axis=1) >= least
-            near, same = other[enough], same[enough]
+        for n, x in enumerate(left):
+            lo = n + 1 if i == j else 0
+            other = np.flatnonzero(label[right[lo:]] != label[x]) + lo
+            if 4 * len(other) < len(right) - lo:
+                enough = (own[right[other]] == own[x]).sum(axis=1) >= least
+            else:
+                agree = np.add.reduce(by_sample[:, lo:] == own[x][:, None], axis=0, dtype=np.uint16)
+                enough = agree[other - lo] >= least
+            near = right[other[enough]]
             if len(near):
+                same = own[near] == own[x]
                 before = met(same[:, : band % config.bands * config.rows])
                 if band >= config.bands:
                     plain = marks[near, 0] == marks[x, 0]
@@ -300,6 +333,9 @@ def _block_links(buckets: DataFrame, texts: DataFrame, labels: DataFrame, nodes:
                 if label[x] != label[y] and alike(vector(x), vector(y), config.similarity):
                     out.append((rep[x], digest[x], rep[y], digest[y]))
                     label[label == label[y]] = label[x]
+        if len(vectors) > 500:  # after a large group; most are a few texts
+            known, vectors = None, None
+            give_back()
         return pd.DataFrame(out, columns=["ra", "da", "rb", "db"])
 
     # Texts move only for nodes that agree with one of another class.

@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 _M = np.uint64(0x9E3779B97F4A7C15)
 _M_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 LOT = 8 << 20  # bytes of texts whose words are hashed together
@@ -42,7 +44,7 @@ def hashed_words(texts: pa.Array) -> Iterator[np.ndarray]:
         split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(lot), lot.buffers(), offset=lot.offset))
         numbered = split.flatten().dictionary_encode()
         words, number = numbered.dictionary, numbered.indices.to_numpy()
-        words = pa.Array.from_buffers(pa.large_binary(), len(words), words.buffers(), offset=words.offset).to_pylist()
+        words = pa.Array.from_buffers(pa.large_binary(), len(words), words.buffers(), offset=words.offset).to_numpy(zero_copy_only=False).tolist()
         ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).tolist()])
         if b"" in words:  # before and after white space at the ends of a text
             kept = number != words.index(b"")
@@ -127,6 +129,8 @@ def document_frequencies(texts: DataFrame, n: int, parts: int) -> DataFrame:
                 size += len(held[-1])
         if held:
             yield from pieces(at, held)
+            held.clear()
+        give_back()
 
     def count(key: tuple, rows: pa.Table) -> pa.Table:
         hashes = [np.frombuffer(h, np.uint64) for h in rows["hashes"].to_pylist()]

@@ -121,6 +121,23 @@ def test_pieces_are_encoded_once_and_marks_apart_from_their_word(path, monkeypat
     assert sorted(filter(None, asked)) == sorted(["beta", "&&&", ",###", "\nbeta", " gamma", "gamma"])
 
 
+def test_new_words_of_a_tokenizer_with_word_ends_need_no_offsets(monkeypatch):
+    encoder = token_ids.TokenIds(WORD_BPE)
+    texts = ["Alpha \u00c9t\u00e9 alpha,\nbeta gamma", "delta " * 700 + "x"]
+    want = [e.ids for e in Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)]
+
+    class Fast:
+        def __init__(self, inner):
+            self.encode_batch_fast = inner.encode_batch_fast  # and no encode_batch
+
+    monkeypatch.setattr(encoder, "_tokenizer", Fast(encoder._tokenizer))
+    assert [np.frombuffer(g, "<u4").tolist() for g in encoder(texts)] == want
+    monkeypatch.undo()
+    again = token_ids.TokenIds(WORD_BPE)
+    again._closes = np.zeros_like(again._closes)  # ends that do not come out even
+    assert [np.frombuffer(g, "<u4").tolist() for g in again(texts)] == want
+
+
 # -- packing -----------------------------------------------------------------------------------------
 
 
@@ -407,6 +424,58 @@ def test_samples_agree_like_weighted_jaccard():
     assert abs(np.mean(draw(*a) == draw(*b)) - near_dedup.similarity(a, b)) < 0.05
 
 
+def test_both_samples_are_the_defined_ones(monkeypatch):
+    """Against the definitions, draw by draw; weights of one shingle, of many, and both."""
+    monkeypatch.setattr(near_dedup, "_OFTEN", 40)
+    monkeypatch.setattr(near_dedup, "_TABLES", 2)
+    rng, draw = np.random.default_rng(7), near_dedup.Sampler(9)
+    for n in (1, 5, 30, 300, 300, 300):
+        h = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for w in (np.ones(len(h)), rng.integers(1, 4, len(h)) * 1.5, rng.uniform(0.1, 9, len(h)), np.where(rng.random(len(h)) < 0.8, 2.5, rng.uniform(1, 9, len(h)))):
+            order = np.argsort(w, kind="stable")
+            plain, weighted = draw.both(h, w)
+            for f, odd in enumerate(draw._odd.tolist()):
+                product = [x * odd % (1 << 64) for x in h[order].tolist()]
+                assert plain[f] == min(product) % (1 << 32)
+                at = np.array([x >> 48 for x in product])
+                score, t = draw._drawn(at, np.log(w[order]))
+                k = int(np.argmin(score.astype(np.float32)))
+                mark = int(h[order][k]) ^ (int(t[k]) * 0x9E3779B97F4A7C15 % (1 << 64))
+                assert weighted[f] == mark >> 32
+
+
+@pytest.mark.parametrize("module", [sketches, near_dedup, line_dedup])
+def test_tasks_return_the_memory_they_freed(spark, module, monkeypatch):
+    """A Python worker stays for a minute after its task, beside the next stages."""
+
+    class Rows:
+        schema, runs = defaultdict(lambda: types.SimpleNamespace(dataType=types.SimpleNamespace(simpleString=lambda: "long"))), []
+
+        def mapInArrow(self, run, schema):
+            self.runs.append(run)
+            return self
+
+        def toLocalIterator(self):
+            return []
+
+        def __getattr__(self, name):
+            return lambda *a, **b: self
+
+    rows, returned = Rows(), []
+    monkeypatch.setattr(module, "give_back", lambda: returned.append(1), raising=False)
+    if module is sketches:
+        sketches.document_frequencies(rows, 5, 2)
+        batch = pa.record_batch({"chunk": pa.array([1, 1], pa.int64()), "text": pa.array([b"a b c d e f", b"a b c d e"])})
+    elif module is near_dedup:
+        near_dedup._verified(rows, rows, 2, near_dedup.NearDup())
+        batch = pa.record_batch({"a": [1], "b": [2], "x": [b"a b c d e f"], "y": [b"a b c d e f g"], "m": [b""], "n": [b""]})
+    else:
+        monkeypatch.setattr(line_dedup, "shuffle_partitions", lambda spark: 2)
+        line_dedup.seen_again(rows, 1, line_dedup.SLICE_BITS)
+        batch = pa.record_batch({"text": ["a\nb", "b"]})
+    assert list(rows.runs[0](iter([batch]))) and returned
+
+
 # -- repeats of passages -----------------------------------------------------------------------------
 
 
