@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_table, shuffle_partitions, text_or_empty
+from .common import give_back, shared_table, shuffle_partitions, text_or_empty
 
 BLOOM_BITS = 1 << 28  # 32 MB a filter
 HASHES = 4
@@ -74,6 +74,7 @@ def seen_again(docs: DataFrame, min_chars: int = 1, bits: int = BLOOM_BITS) -> n
                 yield from flush()
         if held:
             yield from flush()
+        give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -129,6 +130,7 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, keep: str, bi
                 [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lines, pa.int64())],
                 ["__id", "__h", "key", "line"],
             )
+        give_back()
 
     rows = _identified(docs).select("__id", "__h", "text").mapInArrow(suspects, "__id long, __h long, key binary, line long")
     per_doc = shared_table(rows.groupBy("__id", "__h", "key").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("line")), "suspects")
@@ -186,5 +188,6 @@ def dedup_lines(
             new = {"text": pa.array(texts, pa.binary()).cast(kind), "__lines": pa.array(total, pa.int64()), "__dropped": pa.array(dropped, pa.int64())}
             names = [*columns, "__lines", "__dropped"]
             yield pa.RecordBatch.from_arrays([new[c] if c in new else batch[c] for c in names], names)
+        give_back()
 
     return joined.select(*[F.col(f"`{c}`") for c in columns], "__shared").mapInArrow(drop, f"{schema}, __lines long, __dropped long")
