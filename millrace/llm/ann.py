@@ -9,9 +9,11 @@ Vectors are scaled to one length by one more component before hashing (the norm
 the longest vector), which is zero in a query of that length, so that the largest inner product is
 the smallest distance.
 
-Nothing but vectors travels: cells of one group (those with the same first hashes) are one place,
-a query is sent to the groups that can hold a cell likely enough for it, and there its
-probabilities are matched with the cells that are occupied.
+Nothing but vectors travels: cells of one group (those with the same first hashes) lie together,
+neighbouring groups make a part, a query is sent once to each part that has a group which can hold a
+cell likely enough for it, and there its probabilities are matched with the cells of the vectors.
+A task holds a slice of the queries and reads the vectors of its part block by block, so that its
+memory depends on neither the table nor the number of groups.
 """
 
 from __future__ import annotations
@@ -25,14 +27,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_table
+from .common import give_back, shared_table
 
-CHUNK = 16_384  # vectors of a group compared at once
+CHUNK = 16_384  # vectors that a part has at least
+VALUES = 1 << 22  # components of the queries that a task holds
+BLOCK, _FIRST = 8_192, 1_024  # vectors of a part compared at once; of its first block
 SAMPLE = 4_096  # rows that the search is fitted on, whatever the size of the table
 SLOTS = 8  # cell numbers of one hash; the outermost two are open
 _CELL_ROWS, _CELL_BITS = 24, 1.8  # rows wanted in a cell; bits that one hash tells of a vector
 _DRAWS = 256  # simulated neighbours for the order of cells
-_SLICE = 256  # queries of a meeting ranked at once
+_SLICE = 256  # queries compared at once
+_SCORES = 20_000  # pairs scored at once
+_MEETING = ["t", "part", "chunk", "slice"]
 
 
 @dataclass(frozen=True)
@@ -214,9 +220,9 @@ def search(table: DataFrame, config: Search | None = None) -> DataFrame:
     there are fewer candidates: those whose cells hold too few are compared with all vectors, in
     blocks. An empty table gives no rows; other columns are not read.
 
-    Vectors of a group are dealt into chunks of CHUNK, and the group's queries meet each chunk, so
-    a group with very many equal vectors is spread over tasks; each meeting returns at most ``k``
-    rows for a query.
+    A part whose groups are too large for it, as with very many equal vectors, is dealt into chunks
+    over tasks, and the part's queries meet each chunk. The queries are dealt into slices of VALUES
+    components; each meeting of a slice and a chunk returns at most ``k`` rows for a query.
     """
     config, spark = config or Search(), table.sparkSession
     rows, out = vectors(table), "query_id long, rank int, vec_id long, score double"
@@ -224,63 +230,212 @@ def search(table: DataFrame, config: Search | None = None) -> DataFrame:
     most = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("length")).orderBy(F.col("n").desc(), "dim").first()
     if most is None:
         return spark.createDataFrame([], out)
-    total, dim, k = int(most["n"]), int(most["dim"]), config.k
+    total, dim, length, k = int(most["n"]), int(most["dim"]), float(most["length"]), config.k
     rows = rows.filter(F.size("v") == dim)
-    shared = spark.sparkContext.broadcast(vars(fit(rows, config, total, dim, float(most["length"]))))
+    shared = spark.sparkContext.broadcast(vars(fit(rows, config, total, dim, length)))
     queries = rows.filter(F.col("vec_id") % config.every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     queries = shared_table(queries, "queries")
+    per = max(CHUNK, min(total // 8, 4 * CHUNK), total // 64)  # vectors of a part
 
-    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def grouped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fitted = Fitted(**shared.value)
         for frame in frames:
-            cell, _ = _cells(_lifted(_matrix(frame["v"], dim), fitted.length), fitted)
+            cell, _ = _cells(_lifted(_matrix(frame["v"], dim), length), fitted)
             for t in range(cell.shape[1]):
-                yield pd.DataFrame({"t": np.full(len(frame), t, np.int32), "g": _group(cell[:, t], fitted.leading), "vec_id": frame["vec_id"], "v": frame["v"]})
+                g, n = np.unique(_group(cell[:, t], fitted.leading), return_counts=True)
+                yield pd.DataFrame({"t": np.full(len(g), t, np.int32), "g": g, "n": n})
+
+    sizes = rows.select("v").mapInPandas(grouped, "t int, g long, n long").groupBy("t", "g").agg(F.sum("n").alias("n"))
+    # At most 65 parts for a table of hashes, whatever the number of groups and rows.
+    upto = Window.partitionBy("t").orderBy("g").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = sizes.withColumn("part", F.floor((F.sum("n").over(upto) - F.col("n")) / per).cast("int"))
+    parts = sizes.groupBy("t", "part").agg(F.min("g").alias("g"), F.ceil(F.max("n") / per).cast("int").alias("chunks")).orderBy("t", "g").collect()
+    bounds = [
+        (np.array([r["g"] for r in parts if r["t"] == t], np.int64), np.array([r["chunks"] for r in parts if r["t"] == t], np.int32))
+        for t in range(config.tables)
+    ]
+
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fitted = Fitted(**shared.value)
+        for frame in frames:
+            cell, _ = _cells(_lifted(_matrix(frame["v"], dim), length), fitted)
+            for t, (first, chunks) in enumerate(bounds):
+                part = np.searchsorted(first, _group(cell[:, t], fitted.leading), side="right") - 1
+                yield pd.DataFrame({"t": np.full(len(frame), t, np.int32), "part": part.astype(np.int32), "chunks": chunks[part], "id": frame["vec_id"], "v": frame["v"]})
 
     def sent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fitted = Fitted(**shared.value)
         for frame in frames:
-            _, place = _cells(_query(_matrix(frame["v"], dim)), fitted)
-            for t in range(place.shape[1]):
-                chance = log_chance(place[:, t], fitted)
-                least = least_chance(chance, place[:, t], fitted)
-                to = [groups(c, b, fitted.leading) for c, b in zip(chance, least, strict=True)]
-                n = [len(g) for g in to]
-                at = np.repeat(np.arange(len(frame)), n)
-                yield pd.DataFrame({"t": np.full(len(at), t, np.int32), "g": np.concatenate([np.empty(0, np.int64), *to]), "query_id": frame["query_id"].to_numpy()[at], "least": least[at], "v": frame["v"].to_numpy()[at]})
+            for lo in range(0, len(frame), _SLICE):
+                ids, v = frame["query_id"].to_numpy()[lo : lo + _SLICE], frame["v"].to_numpy()[lo : lo + _SLICE]
+                _, place = _cells(_query(np.concatenate(v).reshape(len(v), dim).astype(np.float64)), fitted)
+                for t, (first, chunks) in enumerate(bounds):
+                    chance = log_chance(place[:, t], fitted)
+                    least = least_chance(chance, place[:, t], fitted)
+                    to = [np.unique(np.searchsorted(first, groups(c, b, fitted.leading), side="right") - 1) for c, b in zip(chance, least, strict=True)]
+                    at, part = np.repeat(np.arange(len(v)), [len(p) for p in to]), np.concatenate(to)
+                    at, part = at[part >= 0], part[part >= 0]  # no vector lies before the first group
+                    yield pd.DataFrame({"t": np.full(len(at), t, np.int32), "part": part.astype(np.int32), "chunks": chunks[part], "id": ids[at], "least": least[at], "v": v[at]})
 
     kind = rows.schema["v"].dataType.simpleString()
-    members = rows.mapInPandas(placed, f"t int, g long, vec_id long, v {kind}")
-    # One row for each group: as many as there are chunks, or a small multiple.
-    sizes = members.groupBy("t", "g").agg(F.count(F.lit(1)).alias("n")).select("t", "g", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    sizes = shared_table(sizes, "group-sizes")
-    members = members.join(sizes, ["t", "g"]).withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.col("chunks")).cast("int")).drop("chunks")
-    visits = queries.mapInPandas(sent, f"t int, g long, query_id long, least double, v {kind}").join(sizes, ["t", "g"])
-    visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
-
-    def visit(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _ranked(left, right, dim, k, Fitted(**shared.value), key[0].as_py())
-
-    def scan(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _ranked(left, right, dim, k)
-
-    pairs = "query_id long, vec_id long, score double"
-    met = visits.groupBy("t", "g", "chunk").cogroup(members.groupBy("t", "g", "chunk")).applyInArrow(visit, pairs)
+    members = rows.mapInPandas(placed, f"t int, part int, chunks int, id long, v {kind}")
+    visits = queries.mapInPandas(sent, f"t int, part int, chunks int, id long, least double, v {kind}")
+    met = _met(visits, members, queries.count(), sum(r["chunks"] for r in parts), dim, k, length, shared)
     found = shared_table(_top(met, k), "found")
     short = queries.join(found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")), "query_id", "left").filter(F.coalesce("n", F.lit(0)) < min(k, total - 1)).drop("n")
     short = shared_table(short, "short")
-    if not short.isEmpty():
+    left = short.count()
+    if left:
         # A stated set of queries against all rows, block by block.
-        blocks = max(1, -(-total // CHUNK))
-        left = short.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        right = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
-        again = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(scan, pairs)
+        blocks = -(-total // per)
+        everywhere = [F.lit(0).alias("t"), F.lit(0).alias("part"), F.lit(blocks).alias("chunks")]
+        asked = short.select(*everywhere, F.col("query_id").alias("id"), F.lit(0.0).alias("least"), "v")
+        again = _met(asked, rows.select(*everywhere, F.col("vec_id").alias("id"), "v"), left, blocks, dim, k, length)
         found = found.join(short.select("query_id"), "query_id", "left_anti").unionByName(_top(again, k))
     return found.select("query_id", "rank", "vec_id", "score")
 
 
-def _flat(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
+def _met(visits: DataFrame, members: DataFrame, asked: int, chunks: int, dim: int, k: int, length: float, shared=None) -> DataFrame:
+    """query_id, vec_id, score: the best of each meeting of a slice of the ``asked`` queries with a chunk of a part.
+
+    ``shared`` has the search that says which cells a query visits; without it a query visits all.
+    """
+    slices = max(1, -(-asked * dim // VALUES))
+    visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    visits = visits.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
+    members = members.withColumn("chunk", F.pmod(F.xxhash64("id", "v"), F.col("chunks")).cast("int")).withColumn("least", F.lit(None).cast("double"))
+    members = members.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))) if slices > 1 else F.lit(0))
+    columns = [*_MEETING, "id", "least", "v"]
+    both = visits.select(*columns).unionByName(members.select(*columns)).repartition(min(3 * chunks * slices, 5_000), *_MEETING)
+    # Queries come first; vectors in the order of a digest, so that the first of them are like the rest.
+    both = both.sortWithinPartitions(*_MEETING, F.col("least").isNull(), F.xxhash64("id"), "id")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _meetings(batches, dim, k, length, Fitted(**shared.value) if shared else None)
+
+    return both.mapInArrow(meet, "query_id long, vec_id long, score double")
+
+
+def _flat(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], dim: int, k: int, length: float, fitted: Fitted | None) -> Iterator[pa.RecordBatch]:
+    at, asked, meeting = None, [], None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in _MEETING], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi == lo:
+                continue
+            if (key := keys[lo].tolist()) != at:
+                if meeting is not None:
+                    yield from meeting.rows()
+                at, asked, meeting = key, [], None
+            piece = batch.slice(lo, hi - lo)
+            n = len(piece) - piece.column("least").null_count
+            if n:
+                asked.append(piece.slice(0, n))
+            if n < len(piece) and asked:
+                meeting = meeting or _Meeting(asked, dim, k, length, fitted, key[0])
+                meeting.take(piece.column("id").slice(n).to_numpy(), _flat(piece.column("v").slice(n), dim))
+    if meeting is not None:
+        yield from meeting.rows()
+    meeting = asked = None
+    give_back()
+
+
+class _Meeting:
+    """Queries and the ``k`` best of the vectors they have met so far.
+
+    Vectors are first compared in single precision, by an upper bound of the inner product; those
+    that may be among the best are scored in double precision.
+    """
+
+    def __init__(self, asked: list[pa.RecordBatch], dim: int, k: int, length: float, fitted: Fitted | None, t: int):
+        self.ids = np.concatenate([p.column("id").to_numpy() for p in asked])
+        self.q = np.concatenate([_flat(p.column("v"), dim) for p in asked])
+        self.k, self.length, self.fitted, self.t = k, length, fitted, t
+        self.norm = np.sqrt(np.concatenate([np.square(p.astype(np.float64)).sum(axis=1) for p in self._slices(self.q)]))
+        self.unit = np.ones((len(self.q), dim + 1), np.float32)
+        self.unit[:, :-1] = np.concatenate([p / n[:, None] for p, n in zip(self._slices(self.q), self._slices(self.norm))])
+        self.best = np.full((len(self.q), k), -np.inf)
+        self.who = np.zeros((len(self.q), k), np.int64)
+        self.begun = False
+        if fitted is not None:
+            self.least = np.concatenate([p.column("least").to_numpy() for p in asked]) - 1e-3
+            places = (_cells(_query(p.astype(np.float64)), fitted)[1][:, t] for p in self._slices(self.q))
+            self.chance = np.concatenate([log_chance(p, fitted).reshape(len(p), -1).astype(np.float32) for p in places])
+
+    @staticmethod
+    def _slices(x: np.ndarray) -> list[np.ndarray]:
+        return [x[lo : lo + _SLICE] for lo in range(0, len(x), _SLICE)]
+
+    def take(self, ids: np.ndarray, v: np.ndarray) -> None:
+        lo = 0
+        while lo < len(ids):
+            hi = lo + (BLOCK if self.begun else _FIRST)
+            self._block(ids[lo:hi], v[lo:hi].astype(np.float64))
+            lo, self.begun = hi, True
+
+    def _block(self, ids: np.ndarray, x: np.ndarray) -> None:
+        some = _fewer_copies(ids, x, self.k)
+        ids, x = ids[some], x[some]
+        # Rounding of both vectors, of the products and of their sum, twice as much as it can be.
+        error = (x.shape[1] + 8) * 2.0**-23 * np.sqrt((x * x).sum(axis=1)) / self.length + 1e-30
+        upper = np.concatenate([x / self.length, error[:, None]], axis=1).astype(np.float32).T.copy()
+        slack, cell, marks = 2.5 * float(error.max()), None, None
+        if self.fitted is not None:
+            cell = _cells(_lifted(x, self.length), self.fitted)[0][:, self.t] + np.arange(self.fitted.directions.shape[1]) * SLOTS
+        for lo in range(0, len(self.q), _SLICE):
+            own = self.ids[lo : lo + _SLICE]
+            rough = self.unit[lo : lo + _SLICE] @ upper
+            line = self.best[lo : lo + _SLICE, -1] / self.norm[lo : lo + _SLICE] / self.length
+            line = np.nextafter(line.astype(np.float32), np.float32(-np.inf))
+            hit = rough >= line[:, None]
+            free = np.isneginf(line)
+            if free.any():  # fewer than k so far: the k best of the cells visited, without the query itself
+                at = np.flatnonzero(free)
+                seen = own[at, None] != ids
+                if cell is not None:
+                    if marks is None:
+                        kinds, of = np.unique(cell, axis=0, return_inverse=True)
+                        marks = np.zeros((self.chance.shape[1], len(kinds)), np.float32)
+                        marks[kinds.T, np.arange(len(kinds))] = 1
+                    seen &= (self.chance[lo + at] @ marks >= self.least[lo + at, None])[:, of.ravel()]
+                bound = np.where(seen, rough[at], -np.inf)
+                if len(ids) > self.k:
+                    seen &= bound >= np.partition(bound, len(ids) - self.k, axis=1)[:, [len(ids) - self.k]] - slack
+                hit[at] = seen
+            i, j = np.divmod(np.flatnonzero(hit.ravel()), len(ids))
+            for a in range(0, len(i), _SCORES):
+                self._merge(lo, i[a : a + _SCORES], j[a : a + _SCORES], own, free, ids, x, cell)
+
+    def _merge(self, lo: int, i: np.ndarray, j: np.ndarray, own: np.ndarray, free: np.ndarray, ids: np.ndarray, x: np.ndarray, cell: np.ndarray | None) -> None:
+        keep = own[i] != ids[j]
+        if cell is not None:
+            keep &= free[i] | (self.chance[(lo + i)[:, None], cell[j]].sum(axis=1) >= self.least[lo + i])
+        i, j = i[keep], j[keep]
+        if not len(i):
+            return
+        score = exact_scores(self.q[lo + i].astype(np.float64), x[j])
+        touched = np.unique(i)
+        old = self.best[lo + touched].ravel()
+        held = old > -np.inf
+        i = np.concatenate([i, np.repeat(touched, self.k)[held]])
+        who, score = np.concatenate([ids[j], self.who[lo + touched].ravel()[held]]), np.concatenate([score, old[held]])
+        order = np.lexsort((who, -score, i))
+        i, who, score = i[order], who[order], score[order]
+        n = np.bincount(i)
+        rank = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        top = rank < self.k
+        self.best[lo + i[top], rank[top]], self.who[lo + i[top], rank[top]] = score[top], who[top]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(self.ids), BLOCK):
+            best = self.best[lo : lo + BLOCK]
+            i, at = np.nonzero(best > -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(self.ids[lo + i]), pa.array(self.who[lo + i, at]), pa.array(best[i, at])], ["query_id", "vec_id", "score"])
 
 
 def _fewer_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
@@ -294,51 +449,6 @@ def _fewer_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     return order[by[rank <= k]]
 
 
-def _ranked(queries: pa.Table, members: pa.Table, dim: int, k: int, fitted: Fitted | None = None, t: int = 0) -> pa.Table:
-    """The ``k`` best members of each query, of the cells it visits in table ``t`` or of all."""
-    names = ["query_id", "vec_id", "score"]
-    if not len(queries) or not len(members):
-        return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-    ids, x, asked = members["vec_id"].to_numpy(), _flat(members["v"], dim), queries["query_id"].to_numpy()
-    some = _fewer_copies(ids, x, k)
-    ids, x, q = ids[some], x[some], _flat(queries["v"], dim)
-    bounds = np.array([0, len(x)])
-    if fitted is not None:
-        cell = _cells(_lifted(x, fitted.length), fitted)[0][:, t]
-        order = np.lexsort(cell.T)
-        ids, x, cell = ids[order], x[order], cell[order]
-        starts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]).any(axis=1)]))
-        bounds, cell = np.append(starts, len(x)), cell[starts]
-        marks = np.zeros((len(cell), cell.shape[1] * SLOTS), np.float32)
-        marks[np.arange(len(cell))[:, None], np.arange(cell.shape[1]) * SLOTS + cell] = 1
-        least = queries["least"].to_numpy()
-    parts: list[tuple[np.ndarray, ...]] = []
-    for lo in range(0, len(q), _SLICE):
-        part, own = q[lo : lo + _SLICE], asked[lo : lo + _SLICE]
-        if fitted is None:
-            rough = part @ x.T
-        else:
-            place = _cells(_query(part), fitted)[1][:, t]
-            chance = log_chance(place, fitted).reshape(len(part), -1).astype(np.float32)
-            visited = marks @ chance.T >= least[lo : lo + _SLICE] - 1e-3
-            rough = np.full((len(part), len(x)), -np.inf)
-            for c in np.flatnonzero(visited.any(axis=1)):
-                begin, end, who = bounds[c], bounds[c + 1], np.flatnonzero(visited[c])
-                rough[who, begin:end] = part[who] @ x[begin:end].T
-        rough[own[:, None] == ids] = -np.inf
-        line = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
-        line = line - 1e-9 * (1 + np.abs(np.where(np.isfinite(line), line, 0)))
-        i, j = np.nonzero((rough >= line[:, None]) & (rough > -np.inf))
-        score = np.concatenate([np.empty(0), *[exact_scores(part[i[a : a + 200_000]], x[j[a : a + 200_000]]) for a in range(0, len(i), 200_000)]])
-        order = np.lexsort((ids[j], -score, i))
-        i, j, score = i[order], j[order], score[order]
-        n = np.bincount(i, minlength=len(part))
-        top = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) < k
-        parts.append((own[i[top]], ids[j[top]], score[top]))
-    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-    return pa.table(dict(zip(names, [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], strict=True)))
-
-
 def _top(pairs: DataFrame, k: int) -> DataFrame:
     """Merge the rows of all meetings, in one shuffle. A pair found more than once counts once."""
     rows = pairs.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -772,6 +772,58 @@ def test_search(vectors, monkeypatch, chunk):
     assert hits >= 0.9 * 20 * len(by)
 
 
+def test_search_sends_a_query_once_to_a_part(vectors, monkeypatch):
+    """However many groups there are, a query travels to each part at most once, and tasks hold slices of the queries."""
+    frame, _ = vectors
+    want = sorted(tuple(r) for r in local(ann.search(frame, ann.Search(hashes=8))))
+    sent, real = [], ann._met
+
+    def met(visits, members, *args):
+        sent.append((Counter((r["t"], r["id"]) for r in local(visits.select("t", "id"))), sum(r["n"] for r in local(members.groupBy("t", "part").count().withColumnRenamed("count", "n"))), members.select("t", "part").distinct().count()))
+        return real(visits, members, *args)
+
+    monkeypatch.setattr(ann, "_met", met)
+    monkeypatch.setattr(ann, "VALUES", 16 * 7)
+    assert sorted(tuple(r) for r in local(ann.search(frame, ann.Search(hashes=8)))) == want
+    monkeypatch.setattr(ann, "CHUNK", 8)
+    assert local(ann.search(frame, ann.Search(hashes=8)))
+    visits, n, parts = sent[1]
+    assert n == 2 * 600 and parts <= 2 * 65 and max(visits.values()) <= 65
+
+
+def test_meeting_by_blocks(monkeypatch):
+    """Queries and vectors that come in many batches give what one comparison of all gives, ties by id."""
+    monkeypatch.setattr(ann, "BLOCK", 37)
+    monkeypatch.setattr(ann, "_FIRST", 5)
+    monkeypatch.setattr(ann, "_SLICE", 4)
+    monkeypatch.setattr(ann, "_SCORES", 3)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 6)).astype(np.float32) * np.float32(10) ** rng.integers(-6, 3, (300, 1)).astype(np.float32)
+    x[40:90] = x[40]
+    length = float(np.sqrt((x.astype(float) ** 2).sum(axis=1)).max())
+
+    def batch(part, ids, least):
+        n = len(ids)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([0] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array([0] * n, pa.int32()), pa.array([0] * n, pa.int32()),
+             pa.array(ids, pa.int64()), pa.array([least] * n, pa.float64()), pa.array([x[i].tolist() for i in ids], pa.list_(pa.float32()))],
+            ["t", "part", "chunk", "slice", "id", "least", "v"],
+        )
+
+    came, asked = [], {0: list(range(0, 300, 20)), 1: list(range(0, 300, 30))}
+    for part, ids in asked.items():
+        came += [batch(part, ids[:7], 0.0), batch(part, ids[7:], 0.0)]
+        came += [batch(part, list(range(lo, min(lo + 90, 300))), None) for lo in range(part * 100, 300, 90)]
+    got = Counter(tuple(r.values()) for b in ann._meetings(iter([pa.Table.from_batches(came).combine_chunks().to_batches()[0]]), 6, 5, length, None) for r in b.to_pylist())
+    assert got == Counter(tuple(r.values()) for b in ann._meetings(iter(came), 6, 5, length, None) for r in b.to_pylist())
+    want = Counter()
+    for part, ids in asked.items():
+        for q in ids:
+            scores = ann.exact_scores(x[q].astype(float), x.astype(float))
+            want.update((q, i, s) for s, i in sorted(((s, i) for i, s in enumerate(scores) if i != q and i >= part * 100), key=lambda p: (-p[0], p[1]))[:5])
+    assert got == want
+
+
 def test_few_candidates_are_all_returned(spark):
     frame = spark.createDataFrame([(20, [1.0, 2.0]), (21, [-1.0, 0.5]), (40, [3.0, -4.0])], "vec_id long, embedding array<float>")
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in local(ann.search(frame))}
