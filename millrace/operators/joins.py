@@ -54,6 +54,7 @@ def lookup(
     max_broadcast_bytes: int = BROADCAST_BYTES,
     bound: DataFrame | None = None,
     right_bytes: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the ``take`` columns of ``right`` to ``left`` where the keys are equal.
 
@@ -65,7 +66,9 @@ def lookup(
 
     ``bound`` is a DataFrame that ``right`` is a part of and that is cheaper to measure, such as
     the rows it was deduplicated from; when it fits, ``right`` fits. ``right_bytes`` is a bound of
-    its size that the caller knows, as stored tables do: nothing is measured then.
+    its size that the caller knows, as stored tables do: nothing is measured then. ``counted`` is a
+    DataFrame with about the keys of ``left`` that is cheaper to count, such as the stored rows that
+    ``left`` is made from: which of its keys are frequent decides the spread, not the result.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -80,13 +83,13 @@ def lookup(
         small = small or fits_broadcast(side, max_broadcast_bytes)
     if small:
         return left.join(F.broadcast(side), left[left_key] == side["_key"], how).select(*out)
-    return _salted_lookup(left, side, left_key, how).select(*out)
+    return _salted_lookup(left, side, left_key, how, left if counted is None else counted).select(*out)
 
 
-def _salted_lookup(left: DataFrame, side: DataFrame, left_key: str, how: str) -> DataFrame:
+def _salted_lookup(left: DataFrame, side: DataFrame, left_key: str, how: str, counted: DataFrame) -> DataFrame:
     # The most frequent keys, at most HOT_KEYS values: one counting pass, which combines per task.
     frequent = (
-        left.filter(F.col(left_key).isNotNull())
+        counted.filter(F.col(left_key).isNotNull())
         .groupBy(F.col(left_key).alias("_hot"))
         .count()
         .orderBy(F.col("count").desc(), "_hot")

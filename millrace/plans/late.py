@@ -108,30 +108,41 @@ def new_members(store: TableStore, since: Mapping[str, int]) -> dict[str, DataFr
     return found
 
 
-def repairs(waiting: DataFrame, period: str, members: Mapping[str, DataFrame], products: DataFrame) -> DataFrame | None:
+def repairs(
+    waiting: DataFrame, period: str, members: Mapping[str, DataFrame], products: DataFrame, single: bool = False
+) -> DataFrame | None:
     """Sales that wait for one of these members: the keys to set, and the product's price.
 
-    The ids that stay without a member are kept, so that they can wait on.
+    The ids that stay without a member are kept, so that they can wait on. ``single`` says that the
+    entries are of one run, so that none has to be picked among a sale's before the lookups.
     """
-    touched = None
-    for name, gained in members.items():
-        business_id, key = KINDS[name]
-        hits = lookup(waiting.select("sale_id", business_id), gained, business_id, business_id, [key], how="inner").select("sale_id")
-        touched = hits if touched is None else touched.unionByName(hits)
-    if touched is None:
+    if not members:
         return None
-    rows = latest(waiting.join(touched, "sale_id", "left_semi"), period)
+    if single:
+        rows = waiting.select("sale_id", period, *IDS)
+    else:
+        touched = None
+        for name, gained in members.items():
+            business_id, key = KINDS[name]
+            hits = lookup(waiting.select("sale_id", business_id), gained, business_id, business_id, [key], how="inner").select("sale_id")
+            touched = hits if touched is None else touched.unionByName(hits)
+        rows = latest(waiting.join(touched, "sale_id", "left_semi"), period)
+    prices = clean.product_prices(products)
     for name, (business_id, key) in KINDS.items():
-        if name in members:
-            rows = lookup(rows, members[name].withColumnRenamed(business_id, "_id"), business_id, "_id", [key])
-        else:
+        gained = members.get(name)
+        if gained is None:
             rows = rows.withColumn(key, F.lit(None).cast("bigint"))
-    prices = clean.product_prices(products)
-    rows = lookup(rows, prices, "product_id", "_product", ["product_price"])
-    price = F.when(F.col("product_key").isNotNull(), F.col("product_price")).alias("product_price")
+            continue
+        gained, take = gained.withColumnRenamed(business_id, "_id"), [key]
+        if name == "dim_product":  # a price comes only with a product, so the products bring it along
+            gained, take = lookup(gained, prices, "_id", "_product", ["product_price"]), [key, "product_price"]
+        rows = lookup(rows, gained, business_id, "_id", take, counted=waiting)
+    if "product_price" not in rows.columns:
+        rows = rows.withColumn("product_price", F.lit(None).cast(prices.schema["product_price"].dataType))
     found = F.coalesce(*[F.col(key) for _, key in KINDS.values()]).isNotNull()
     keys = [key for _, key in KINDS.values()]
-    return rows.filter(found).select("sale_id", period, *keys, price, *missing())
+    fixes = rows.filter(found).select("sale_id", period, *keys, "product_price", *missing())
+    return fixes.dropDuplicates(["sale_id"]) if single else fixes
 
 
 def apply(part: DataFrame, fixes: DataFrame, small: bool = False) -> DataFrame:

@@ -118,19 +118,25 @@ def join_date(sales: DataFrame, dates: DataFrame) -> DataFrame:
     return sales.join(F.broadcast(days), sales["sale_ts"].cast("date") == days["_date"], "inner").drop("_date")
 
 
-def lookup_product(sales: DataFrame, products: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
+def lookup_product(
+    sales: DataFrame, products: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     known = products.select("product_key", F.col("product_id").cast("decimal(38,0)").alias("_id"))
-    return lookup(sales, known, "product_id", "_id", ["product_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size)
+    return lookup(sales, known, "product_id", "_id", ["product_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size, counted=counted)
 
 
-def lookup_branch(sales: DataFrame, branches: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
+def lookup_branch(
+    sales: DataFrame, branches: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     known = branches.select("branch_key", F.col("branch_id").cast("decimal(38,0)").alias("_id"))
-    return lookup(sales, known, "branch_id", "_id", ["branch_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size)
+    return lookup(sales, known, "branch_id", "_id", ["branch_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size, counted=counted)
 
 
-def lookup_staff(sales: DataFrame, staff: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
+def lookup_staff(
+    sales: DataFrame, staff: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     known = staff.select("staff_key", F.col("staff_id").alias("_id"))
-    return lookup(sales, known, "staff_id", "_id", ["staff_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size)
+    return lookup(sales, known, "staff_id", "_id", ["staff_key"], max_broadcast_bytes=max_broadcast_bytes, right_bytes=size, counted=counted)
 
 
 def keyed_sales(
@@ -146,9 +152,10 @@ def keyed_sales(
     business ids behind them. ``sizes`` are the dimensions' known bytes; others are measured."""
     sizes = sizes or {}
     rows = join_date(sales, dates)
-    rows = lookup_product(rows, products, max_broadcast_bytes, sizes.get("dim_product"))
-    rows = lookup_branch(rows, branches, max_broadcast_bytes, sizes.get("dim_branch"))
-    rows = lookup_staff(rows, staff, max_broadcast_bytes, sizes.get("dim_staff"))
+    # Keys are counted in the sales as they are given, not behind the lookups before.
+    rows = lookup_product(rows, products, max_broadcast_bytes, sizes.get("dim_product"), sales)
+    rows = lookup_branch(rows, branches, max_broadcast_bytes, sizes.get("dim_branch"), sales)
+    rows = lookup_staff(rows, staff, max_broadcast_bytes, sizes.get("dim_staff"), sales)
     return rows.select(
         "sale_id", "date_key", "product_key", "branch_key", "staff_key", "sale_ts",
         *[F.col(c).cast("decimal(12,2)").alias(c) for c in ("volume_sold", "price", "cost", "revenue")],
@@ -216,7 +223,9 @@ def write_fact(
         state["keys"] = index.build(rows.select("sale_id", PERIOD), counted.get("rows", 0))
         if with_ids:
             state["waiting"] = waiting.start(late.entries(rows, PERIOD, rows.limit(0)))
-        return store.commit(draft, _with_needs(name, state))
+        version = store.commit(draft, _with_needs(name, state))
+        store.discard(f"{name}_delta", delta_version)
+        return version
 
     manifest = store.manifest(name)
     before = dict(manifest.extra)
@@ -227,9 +236,16 @@ def write_fact(
     # The columns of the fact have a fixed width, so the number of rows bounds their size.
     small = n * _ROW_BYTES <= max_broadcast_bytes
     found = index.find(before["keys"], rows, small, n)
+    stages = {f"{name}_delta": delta_version}  # what only this merge reads
     if with_ids:  # read again for what waits
-        found = store.read(f"{name}_found", store.write(found, f"{name}_found"))
-    fixes = _fixes(store, name, waiting, before, rows, products) if with_ids else None
+        stages[f"{name}_found"] = store.write(found, f"{name}_found")
+        found = store.read(f"{name}_found", stages[f"{name}_found"])
+    repairs = _fixes(store, name, waiting, before, rows, products) if with_ids else None
+    fixes = None
+    if repairs is not None:
+        stages[f"{name}_repairs"] = repairs
+        if store.manifest(f"{name}_repairs", repairs).counts.get("rows", 0):
+            fixes = store.read(f"{name}_repairs", repairs)
     # Distinct periods: they name folders in the manifest.
     named = rows.select(PERIOD).unionByName(found.select(PERIOD))
     named = named if fixes is None else named.unionByName(fixes.select(PERIOD))
@@ -238,7 +254,7 @@ def write_fact(
     if fixes is None:
         merged = fact_sales(part, rows.select(*columns), small_source=small)
     else:
-        few = store.manifest(f"{name}_repairs").counts.get("rows", 0) * _ROW_BYTES <= max_broadcast_bytes
+        few = store.manifest(f"{name}_repairs", repairs).counts.get("rows", 0) * _ROW_BYTES <= max_broadcast_bytes
         merged = fact_sales(late.apply(part, fixes, few), rows.select(*columns), small_source=small)
         repaired = (F.col(ACTION) == "K") & F.col("_repaired")
         merged = merged.withColumn(ACTION, F.when(repaired, F.lit("U")).otherwise(F.col(ACTION))).drop("_repaired")
@@ -252,7 +268,10 @@ def write_fact(
         state["waiting"] = waiting.add(before["waiting"], now) if "waiting" in before else waiting.start(now)
     else:
         state = {**{k: v for k, v in before.items() if k != "keys"}, **state}
-    return store.commit(draft, _with_needs(name, state))
+    version = store.commit(draft, _with_needs(name, state))
+    for stage, written in stages.items():
+        store.discard(stage, written)
+    return version
 
 
 def _with_needs(name: str, state: dict) -> dict:
@@ -263,18 +282,18 @@ def _with_needs(name: str, state: dict) -> dict:
     return {**state, "needs": needs}
 
 
-def _fixes(store, name, waiting, before, rows, products) -> DataFrame | None:
-    """Keys for stored sales whose members have come, written once; None when there is nothing new."""
+def _fixes(store, name, waiting, before, rows, products) -> int | None:
+    """Keys for stored sales whose members have come, written once: their version; None when there is nothing new."""
     if products is None or "waiting" not in before:
         return None
     members = late.new_members(store, before.get("members", {}))
-    found = late.repairs(waiting.read(before["waiting"]), PERIOD, members, products) if members else None
+    single = not before["waiting"]["runs"]
+    found = late.repairs(waiting.read(before["waiting"]), PERIOD, members, products, single) if members else None
     if found is None:
         return None
     # A sale that comes again now has its keys from today's dimensions.
     left = found.join(rows.select("sale_id"), "sale_id", "left_anti")
-    version = store.write(left, f"{name}_repairs")
-    return store.read(f"{name}_repairs", version) if store.manifest(f"{name}_repairs", version).counts.get("rows", 0) else None
+    return store.write(left, f"{name}_repairs")
 
 
 def read_fact(store: TableStore, name: str = "fact_sales") -> DataFrame:

@@ -347,7 +347,7 @@ class LandingZone:
         marked = marked.withColumn("loaded_at", F.current_timestamp()).observe(
             counted, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(STATUS) == LOADED).alias("good")
         )
-        marked.write.partitionBy(STATUS).parquet(folder)
+        marked.write.partitionBy(STATUS).option("compression", "zstd").parquet(folder)
         counts = counted.get
         if not counts.get("rows") and not files:
             return None

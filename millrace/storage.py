@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import time
 import uuid
@@ -51,6 +52,12 @@ class FileSystem:
             stream.close()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished jobs now, not at the next long pause."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 

@@ -40,10 +40,12 @@ def merge_sales_delta(
     products = raw.get("products", products)
     star.merge_members(store, raw)
     sales = star.stage_sales(store, delta, products, "clean_sales_delta")
+    staged = store.versions("clean_sales_delta")[-1]
     star.write_calendar(store, sales, "clean_sales_delta")
     rows = star.keyed_sales(sales, *star.dimensions(store), sizes=star.sizes(store))
     star.write_fact(store, rows, bookmark=upto, products=products)
     star.log_fact(store, "MERGE of changes", "clean_sales_delta")
+    store.discard("clean_sales_delta", staged)
     return True
 
 

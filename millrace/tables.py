@@ -25,11 +25,12 @@ from pyspark.sql import types as T
 from .operators.changes import table_changes
 from .operators.joins import table_bytes
 from .operators.merge import ACTION, merge_counts
-from .storage import FileSystem
+from .storage import FileSystem, release
 
 _VERSION = "_v"
 _PUBLISHED = "_published"
 _ACTIONS = ("I", "U", "D")
+LARGE_BYTES = 256 * 1024 * 1024  # written rows from which on their shuffle files are dropped at once
 
 
 @dataclass(frozen=True)
@@ -128,6 +129,9 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(folder)
+        counts = {k: int(v) for k, v in observation.get.items() if v is not None}
+        if counts.get("bytes", 0) >= LARGE_BYTES:
+            release(self.spark)
         partitions: dict[str, str] = {}
         if len(partition_by) == 1:
             partitions = {
@@ -149,7 +153,7 @@ class TableStore:
                 partitions=partitions,
                 written=mark,
                 bookmark=bookmark,
-                counts={k: int(v) for k, v in observation.get.items() if v is not None},
+                counts=counts,
             ),
         )
 
@@ -324,6 +328,11 @@ class TableStore:
                         named.update(manifest.folders)
         return named
 
+    def discard(self, name: str, version: int) -> None:
+        """Delete the rows that were written for a version of a working table; its manifest and counts stay."""
+        written = self.manifest(name, version).written
+        self._fs.delete(f"{self.root}/{name}/data/{_VERSION}={written}")
+
     def expire(self, name: str, keep: int = 1, grace: float = 86_400.0) -> list[str]:
         """Forget all versions of a table but the newest ``keep``; returns the folders deleted.
 

@@ -1189,13 +1189,13 @@ def late_members(spark, sf):
         "staff": every["staff"].filter("staff_id LIKE '%1' OR staff_id LIKE '%2'"),
     }
     for part, members in zip(_in_two(spark, sf), (early, every)):
-        stage_csv(part, stage)
+        stage_csv(part, stage, compression="gzip")
         zone.load(spec, stage)
         merge_sales_delta(store, zone, spec, members["products"], members)
-    rows = star.read_fact(store)
+    fact = rows = star.read_fact(store)
     for name, (business_id, key) in late.KINDS.items():
         members = store.read(name).select(F.col(key).alias("_member"), business_id)
-        rows = op.lookup(rows, members, key, "_member", [business_id])
+        rows = op.lookup(rows, members, key, "_member", [business_id], counted=fact)
     return rows.select("sale_id", *late.IDS, "sale_ts", "volume_sold", "price", "cost", "revenue")
 
 

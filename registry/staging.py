@@ -11,10 +11,11 @@ ROWS_PER_FILE = 500
 _LINE_SEP = "\x01"
 
 
-def stage_csv(df: DataFrame, path: str, mode: str = "append", by: str | None = None) -> str:
+def stage_csv(df: DataFrame, path: str, mode: str = "append", by: str | None = None, compression: str | None = None) -> str:
     """Comma-separated files with a header; ``by`` puts each of its values into one file."""
     out = df if by is None else df.repartition(by)
     writer = out.write.mode(mode).options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    writer = writer if compression is None else writer.option("compression", compression)
     (writer if by is None else writer.partitionBy(by)).csv(path)
     return path
 

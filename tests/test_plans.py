@@ -342,6 +342,66 @@ def test_late_members_give_the_same_fact_as_a_full_build(spark, tmp_path, folder
     assert {v for v in b if a.get(v) != b[v]} == {"2024-01", "2024-02", "2024-06", "2024-07"}
 
 
+def test_merge_leaves_no_working_rows(spark, tmp_path, folder):
+    """What only a merge reads goes with it; counts stay for the log."""
+    from millrace.storage import FileSystem
+
+    zone, spec, store = LandingZone(spark, f"{folder}/r"), SPECS["sales"], TableStore(spark, f"{folder}/t")
+    source = tmp_path / "sales"
+    source.mkdir()
+    for n, products in enumerate(([("1", "a", "c", "2.50")], [("1", "a", "c", "2.50"), ("2", "b", "c", "4.00")])):
+        (source / f"{n}.csv").write_text(header(f"{n},1,S1,2,2024-01-0{n + 1},2,,1,"))
+        zone.load(spec, str(source))
+        given = members_of(spark, products, [("1", "B", "N")], [("S1", "E1")])
+        assert merge_sales_delta(store, zone, spec, given["products"], given)
+    fs = FileSystem(spark, folder)
+    for name, versions in (("clean_sales_delta", 2), ("fact_sales_delta", 2), ("fact_sales_found", 1), ("fact_sales_repairs", 1)):
+        assert fs.names(f"{folder}/t/{name}/data") == [] and len(store.versions(name)) == versions
+        assert store.manifest(name).counts.get("rows", 0) == (0 if name == "fact_sales_found" else 1)
+    assert sorted(r["price"] for r in store.read("fact_sales").collect()) == [Decimal("4.00")] * 2
+
+
+def test_repairs_shuffle_entries_once_a_lookup(spark, folder, monkeypatch):
+    """Members too large to broadcast: keys are counted in the stored entries, and no lookup runs those before it again."""
+    from functools import partial
+
+    from millrace.operators import joins
+    from millrace.plans import late
+
+    counted, real = [], joins._salted_lookup
+
+    def salted(left, side, key, how, *rest):
+        counted.append((key, plan(rest[0] if rest else left)))
+        return real(left, side, key, how, *rest)
+
+    monkeypatch.setattr(joins, "_salted_lookup", salted)
+    monkeypatch.setattr(late, "lookup", partial(late.lookup, max_broadcast_bytes=0))
+    kind = f"sale_id decimal(38,0), {star.PERIOD} string, product_id decimal(38,0), branch_id decimal(38,0), staff_id string, run int"
+    entries = [(Decimal(k), "2024-01", Decimal(k % 3) if k % 4 else None, Decimal(k % 5), f"S{k % 7}" if k % 2 else None, 0) for k in range(60)]
+    entries += entries[:9]  # equal entries of one run
+    store = TableStore(spark, folder)
+    store.write(spark.createDataFrame(entries, kind), "waiting")
+    members = {
+        "dim_product": spark.createDataFrame([(Decimal(1), 11), (Decimal(2), 12)], "product_id decimal(38,0), product_key bigint"),
+        "dim_branch": spark.createDataFrame([(Decimal(4), 24)], "branch_id decimal(38,0), branch_key bigint"),
+        "dim_staff": spark.createDataFrame([("S3", 33)], "staff_id string, staff_key bigint"),
+    }
+    products = spark.createDataFrame([("1", "a", "c", "2.50"), ("2", "b", "c", "bad")], PRODUCTS)
+    got = rows(late.repairs(store.read("waiting"), star.PERIOD, members, products, True))
+    assert [k for k, _ in counted] == ["_id", "product_id", "branch_id", "staff_id"]
+    assert not any("Join" in p for k, p in counted if k != "_id")
+    want = []
+    for sale, period, product, branch, staff, _ in dict.fromkeys(entries):
+        keys = {1: 11, 2: 12}.get(product), 24 if branch == 4 else None, 33 if staff == "S3" else None
+        if any(keys):
+            left = [None if key else i for key, i in zip(keys, (product, branch, staff))]
+            want.append((sale, period, *keys, Decimal("2.50") if product == 1 else None, *left))
+    assert sorted(got, key=lambda r: r[0]) == want
+    assert got == rows(late.repairs(store.read("waiting"), star.PERIOD, members, products))
+    late.repairs(store.read("waiting"), star.PERIOD, {"dim_staff": members["dim_staff"]}, products, True).collect()
+    assert counted[-1][0] == "staff_id"  # no product is new, so no price is looked up
+
+
 def test_sizes_count_what_a_lookup_takes(spark, folder, monkeypatch):
     """Long names make a dimension large, not the key and id that sales are looked up by."""
     store = TableStore(spark, folder)
